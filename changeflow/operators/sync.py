@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from changeflow.functions.coerce import coerce_value
 from changeflow.model import TableMapping
 from changeflow.operators.compact import ARRIVAL
+from changeflow.operators.decode import decode, valid_changes
+from changeflow.operators.merge import effective_changes
 
 
 class Synced(NamedTuple):
@@ -19,6 +22,13 @@ class Synced(NamedTuple):
     to_upper: DataFrame
 
 
+def feed_changes(log: DataFrame, mapping: TableMapping) -> DataFrame:
+    """The valid changes of one feed, with text as it was sent: it may return to its sender."""
+    return valid_changes(decode(log, replace(mapping, empty_is_null=False))).select(
+        *mapping.targets, "outcome", "ts_ms", *ARRIVAL
+    )
+
+
 def resolve_conflicts(
     upper_feed: DataFrame,
     lower_feed: DataFrame,
@@ -67,3 +77,20 @@ def changes_for(winners: DataFrame, names: TableMapping, side: TableMapping) ->
             value = coerce_value(value, c, side.empty_is_null)
         columns.append(value.alias(c.target))
     return winners.select(*columns)
+
+
+def sync_changes(
+    lower: DataFrame,
+    upper: DataFrame,
+    winners: DataFrame,
+    to_lower: TableMapping,
+    to_upper: TableMapping,
+) -> Synced:
+    """What to write on each side. A change that its own side already holds is not among it.
+
+    ``winners`` is read twice; hand it over as a written table, not as a plan over the logs.
+    """
+    return Synced(
+        effective_changes(lower, changes_for(winners, to_lower, to_lower), to_lower),
+        effective_changes(upper, changes_for(winners, to_lower, to_upper), to_upper),
+    )

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from changeflow.model import LOG_SCHEMA
 
+# In a file log the topic is the folder.
+_RECORD_SCHEMA = LOG_SCHEMA.removeprefix("topic string, ")
+
 
 def write_log(records: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON lines, one folder per topic, so that a reader of one topic lists only its files."""
@@ -25,15 +28,16 @@ def stream_log(
     path: str,
     topic: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Subscribe to one topic of a file log."""
-    reader = spark.readStream.schema(LOG_SCHEMA).option("basePath", path)
+    reader = spark.readStream.schema(_RECORD_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.json(f"{path}/topic={topic}")
+    records = reader.json(f"{path}/topic={topic}")
+    return records.select(F.lit(topic).alias("topic"), "*")
 
 
 def kafka_options(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.model import VALID_OUTCOMES, TableMapping
 from changeflow.operators.compact import ARRIVAL, latest_per_key
 from changeflow.operators.decode import decode, valid_changes
-from changeflow.streaming.replica import write_batch
+from changeflow.streaming.replica import slim, write_batch
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,13 +38,8 @@ def apply_stream(
     Bad records become dead letters and never stop the query; a failing disk or node does
     fail the batch, which Spark then repeats. Counters are in ``recentProgress``.
     """
-    decoded = decode(log, mapping, key_policy)
     valid = F.col("outcome").isin(*VALID_OUTCOMES)
-    # Raw text is kept for the records that need it, not for the many that do not.
-    decoded = decoded.withColumn("value", F.when(~valid, F.col("value"))).withColumn(
-        "key", F.when(~valid, F.col("key"))
-    )
-    decoded = decoded.drop("message_key", "has_before", "has_after").observe(
+    decoded = slim(decode(log, mapping, key_policy), mapping).observe(
         "outcomes",
         F.count(F.lit(1)).alias("records"),
         *[F.count_if(F.col("outcome") == o).alias(f"{o}s") for o in VALID_OUTCOMES],
@@ -53,12 +47,7 @@ def apply_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Two tables come out of one parse; what does not fit in memory goes to disk.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_batch(batch, path, mapping, batch_id)
-        finally:
-            batch.unpersist()
+        write_batch(batch, path, mapping, batch_id)
 
     return _start(decoded, "append", checkpoint, interval, write)
 

@@ -7,9 +7,11 @@ own folders, so running it again changes nothing, and no batch rewrites the base
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changeflow.model import SQL_TYPES, TableMapping
+from changeflow.model import SQL_TYPES, VALID_OUTCOMES, TableMapping
 from changeflow.operators.compact import ARRIVAL, latest_per_key
 from changeflow.operators.decode import dead_letters, valid_changes
 from changeflow.operators.merge import apply_written
@@ -40,15 +42,41 @@ def create_replica(rows: DataFrame, path: str, mapping: TableMapping) -> None:
         )
 
 
-def write_batch(decoded: DataFrame, path: str, mapping: TableMapping, batch_id: int) -> None:
-    """Compact the valid changes of a batch and store them with its dead letters."""
-    changes = latest_per_key(valid_changes(decoded).select(*_change_columns(mapping)), mapping.key)
-    changes.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
-    dead_letters(decoded).write.mode("overwrite").parquet(
-        f"{path}/dead_letters/batch_id={batch_id}"
+def slim(decoded: DataFrame, mapping: TableMapping) -> DataFrame:
+    """What a batch has to carry: the raw record is kept where it becomes a dead letter only."""
+    dead = ~F.col("outcome").isin(*VALID_OUTCOMES)
+    return decoded.select(
+        "topic",
+        "partition",
+        "offset",
+        "timestamp",
+        F.when(dead, F.col("key")).alias("key"),
+        F.when(dead, F.col("value")).alias("value"),
+        "op",
+        "ts_ms",
+        "outcome",
+        "reason",
+        *mapping.targets,
     )
 
 
+def write_batch(slimmed: DataFrame, path: str, mapping: TableMapping, batch_id: int) -> None:
+    """Compact the valid changes of a batch and store them with its dead letters."""
+    # Two tables come out of one parse; what does not fit in memory goes to disk, and what is
+    # lost with an executor is decoded again from the log.
+    slimmed = slimmed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        valid = valid_changes(slimmed).select(*_change_columns(mapping))
+        latest_per_key(valid, mapping.key).write.mode("overwrite").parquet(
+            f"{path}/changes/batch_id={batch_id}"
+        )
+        dead_letters(slimmed).write.mode("overwrite").parquet(
+            f"{path}/dead_letters/batch_id={batch_id}"
+        )
+    finally:
+        slimmed.unpersist()
+
+
 def read_changes(spark: SparkSession, path: str, mapping: TableMapping) -> DataFrame:
     """The stored changes of all batches."""
     schema = f"{_change_schema(mapping)}, batch_id bigint"
