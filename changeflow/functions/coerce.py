@@ -10,8 +10,8 @@ from changeflow.model import Column
 KEY_POLICIES = ("reference", "strict")
 
 
-def coerce_key(text: SparkColumn, policy: str = "reference") -> SparkColumn:
-    """BIGINT key of a text, NULL when the key cannot be used.
+def coerce_key(text: str, policy: str = "reference") -> str:
+    """SQL for the BIGINT key of a text, NULL when the key cannot be used.
 
     A fraction is cut off and a whole double such as ``1.0`` counts as an integer.
     Under ``reference`` a missing or non-numeric text becomes 0; under ``strict`` those
@@ -19,30 +19,30 @@ def coerce_key(text: SparkColumn, policy: str = "reference") -> SparkColumn:
     """
     if policy not in KEY_POLICIES:
         raise ValueError(f"unknown key policy {policy!r}")
-    number = text.try_cast("double")
-    whole = F.coalesce(text.try_cast("bigint"), number.try_cast("bigint"))
+    number = f"try_cast({text} AS DOUBLE)"
+    whole = f"coalesce(try_cast({text} AS BIGINT), try_cast({number} AS BIGINT))"
     if policy == "strict":
-        return F.when(whole.cast("double") == number, whole)
-    return (
-        F.when(text.isin("true", "false"), F.lit(None).cast("bigint"))
-        .when(text.isNull() | number.isNull(), F.lit(0).cast("bigint"))
-        .otherwise(whole)
-    )
+        return f"CASE WHEN CAST({whole} AS DOUBLE) = {number} THEN {whole} END"
+    return f"""CASE WHEN {text} IN ('true', 'false') THEN NULL
+      WHEN {number} IS NULL THEN 0 ELSE {whole} END"""
 
 
-def coerce_value(text: SparkColumn, column: Column, empty_is_null: bool = False) -> SparkColumn:
-    """Replica value of a text; NULL when the text does not fit the type."""
+def coerce_value(text: str, column: Column, empty_is_null: bool = False) -> str:
+    """SQL for the replica value of a text; NULL when the text does not fit the type."""
     if column.type == "string":
-        return F.nullif(text, F.lit("")) if empty_is_null else text
-    if column.type in ("double", "int", "bigint"):
-        if column.type == "double":
-            return text.try_cast("double")
-        return F.coalesce(
-            text.try_cast(column.type), text.try_cast("double").try_cast(column.type)
-        )
+        return f"nullif({text}, '')" if empty_is_null else text
+    if column.type == "double":
+        return f"try_cast({text} AS DOUBLE)"
     if column.type == "timestamp_millis":
-        return F.timestamp_millis(text.try_cast("bigint"))
-    return F.date_from_unix_date(text.try_cast("int"))
+        return f"timestamp_millis(try_cast({text} AS BIGINT))"
+    if column.type == "date_days":
+        return f"date_from_unix_date(try_cast({text} AS INT))"
+    exact = f"try_cast({text} AS {column.type})"
+    return f"coalesce({exact}, try_cast(try_cast({text} AS DOUBLE) AS {column.type}))"
+
+
+def text_length(value: str, unit: str) -> str:
+    return f"octet_length({value})" if unit == "bytes" else f"char_length({value})"
 
 
 def to_wire(value: SparkColumn, column: Column) -> SparkColumn:

@@ -1,54 +1,68 @@
-"""JSON helpers that follow last-wins on duplicate names and keep missing apart from null."""
+"""JSON expressions that follow last-wins on duplicate names and keep missing apart from null.
+
+Expressions are SQL text: one text per projection reaches the JVM in one call, where a tree
+of Column objects takes one call per node.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Plain JSON only: Spark would otherwise also take single quotes and NaN.
-STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 TEXT_MAP = "map<string,string>"
+# Plain JSON only: Spark would otherwise also take single quotes and NaN.
+_STRICT = "'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false'"
 
 
-def text_map(text: SparkColumn) -> SparkColumn:
-    """A JSON object as map of name to text, duplicates kept; NULL for anything else."""
-    return F.from_json(text, TEXT_MAP, STRICT_JSON)
+def quoted(text: str) -> str:
+    """A text as SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def last_value(entries: SparkColumn, name: str) -> SparkColumn:
-    """Value of the last entry called ``name``; NULL when missing or null."""
-    return value_at(F.map_values(entries), place_of(last_first(entries), name))
+def parsed(text: str, schema: str, flawed: str | None = None) -> str:
+    """A JSON text as ``schema``; ``flawed`` names the field that keeps a bad record."""
+    keep = f", 'columnNameOfCorruptRecord', {quoted(flawed)}" if flawed else ""
+    return f"from_json({text}, '{schema}', map({_STRICT}{keep}))"
 
 
-def last_first(entries: SparkColumn) -> SparkColumn:
+def text_map(text: str) -> str:
+    """A JSON object as map of name to text, duplicates kept; NULL for anything else."""
+    return parsed(text, TEXT_MAP)
+
+
+def last_first(entries: str) -> str:
     """The names of a map from the last to the first, so that a search finds the last one."""
-    return F.reverse(F.map_keys(entries))
+    return f"reverse(map_keys({entries}))"
 
 
-def place_of(names: SparkColumn, name: str) -> SparkColumn:
+def place_of(names: str, name: str) -> str:
     """Place of a name counted from the end of the map; NULL when missing."""
-    return F.nullif(F.array_position(names, name), F.lit(0)).cast("int")
+    return f"CAST(nullif(array_position({names}, {quoted(name)}), 0) AS INT)"
+
 
+def value_at(values: str, place: str) -> str:
+    return f"try_element_at({values}, -{place})"
 
-def value_at(values: SparkColumn, place: SparkColumn) -> SparkColumn:
-    return F.try_element_at(values, -place)
+
+def last_value(entries: str, name: str) -> str:
+    """Value of the last entry called ``name``; NULL when missing or null."""
+    return value_at(f"map_values({entries})", place_of(last_first(entries), name))
 
 
-def is_json(text: SparkColumn) -> SparkColumn:
-    """Whether a text that is no JSON object is JSON all the same (array, scalar, null)."""
-    # The second parse covers arrays holding objects with duplicate names.
-    return (
-        F.try_parse_json(text).isNotNull()
-        | F.from_json(text, "array<string>", STRICT_JSON).isNotNull()
-    )
+def is_other_json(text: str) -> str:
+    """Whether a text that could not be read as JSON object is JSON of another kind."""
+    # An array is not tried as variant, which takes no objects with duplicate names.
+    return f"""CASE left(ltrim(' \\t\\r\\n', {text}), 1)
+      WHEN '{{' THEN FALSE
+      WHEN '[' THEN {parsed(text, "array<string>")} IS NOT NULL
+      ELSE try_parse_json({text}) IS NOT NULL END"""
 
 
-def once(df: DataFrame, **columns: SparkColumn) -> DataFrame:
+def once(df: DataFrame, **columns: str) -> DataFrame:
     """Add costly columns so that each is computed once per row.
 
     A filter on a projected column is pushed below the projection and repeats its
     expression there. A generator is a barrier to that, and still runs inside generated code.
     """
-    named = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select("*", F.inline(F.array(named)))
+    named = ", ".join(f"{value} AS {name}" for name, value in columns.items())
+    return df.selectExpr("*", f"inline(array(struct({named})))")

@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow import model as m
-from changeflow.functions.coerce import coerce_key, coerce_value
+from changeflow.functions.coerce import coerce_key, coerce_value, text_length
 from changeflow.functions.json_text import (
-    STRICT_JSON,
     TEXT_MAP,
-    is_json,
+    is_other_json,
     last_first,
     last_value,
     once,
+    parsed,
     place_of,
+    quoted,
     text_map,
     value_at,
 )
-from changeflow.model import TableMapping
+from changeflow.model import Column, TableMapping
+
+_ENVELOPE = f"op string, before {TEXT_MAP}, after {TEXT_MAP}, ts_ms string, _flawed string"
+
 
-_FLAWED = "_flawed"
-_ENVELOPE = f"op string, before {TEXT_MAP}, after {TEXT_MAP}, ts_ms string, {_FLAWED} string"
+def _in(names) -> str:
+    return f"({', '.join(quoted(n) for n in names)})"
 
 
 def _parse(log: DataFrame) -> DataFrame:
@@ -37,47 +38,40 @@ def _parse(log: DataFrame) -> DataFrame:
     parsing ends here: parsers do not take part in whole-stage code generation, and what
     follows should.
     """
-    options = {**STRICT_JSON, "columnNameOfCorruptRecord": _FLAWED}
-    df = once(log, _typed=F.from_json("value", _ENVELOPE, options))
-    typed, root, late = F.col("_typed"), F.col("_root"), F.col("_late")
-    unsettled = typed.isNotNull() & (typed[_FLAWED].isNotNull() | typed["op"].isNull())
-    df = once(df, _root=F.when(unsettled, text_map(F.col("value"))), _unsettled=unsettled)
-    unsettled = F.col("_unsettled")
-
-    def row_image(name: str) -> SparkColumn:
-        as_object = F.from_json("value", f"{name} {TEXT_MAP}", STRICT_JSON)[name]
-        return F.when(as_object.isNotNull(), text_map(last_value(root, name)))
-
-    second_look = F.struct(
-        last_value(root, "op").alias("op"),
-        last_value(root, "ts_ms").alias("ts_ms"),
-        last_value(root, "before").isNotNull().alias("has_before"),
-        last_value(root, "after").isNotNull().alias("has_after"),
-        F.map_contains_key(root, F.lit("op")).alias("has_op"),
-        F.when(last_value(root, "op") == m.DELETE_OP, row_image("before"))
-        .otherwise(row_image("after"))
-        .alias("image"),
-        (root.isNotNull() | is_json(F.col("value"))).alias("is_json"),
+    unsettled = "(_typed IS NOT NULL AND (_typed._flawed IS NOT NULL OR _typed.op IS NULL))"
+    df = once(log, _typed=parsed("value", _ENVELOPE, "_flawed"))
+    df = once(df, _unsettled=unsettled, _root=f"CASE WHEN {unsettled} THEN {text_map('value')} END")
+
+    def root(name: str) -> str:
+        return last_value("_root", name)
+
+    def row_image(name: str) -> str:
+        is_object = f"{parsed('value', f'{name} {TEXT_MAP}')}.{name} IS NOT NULL"
+        return f"CASE WHEN {is_object} THEN {text_map(root(name))} END"
+
+    second_look = f"""struct({root("op")} AS op, {root("ts_ms")} AS ts_ms,
+      {root("before")} IS NOT NULL AS has_before, {root("after")} IS NOT NULL AS has_after,
+      map_contains_key(_root, 'op') AS has_op,
+      CASE {root("op")} WHEN {quoted(m.DELETE_OP)} THEN {row_image("before")}
+        ELSE {row_image("after")} END AS image)"""
+    df = once(
+        df,
+        _late=f"CASE WHEN _root IS NOT NULL THEN {second_look} END",
+        _malformed=f"_unsettled AND _root IS NULL AND NOT {is_other_json('value')}",
     )
-    df = once(df, _late=F.when(unsettled, second_look))
-
-    def settled(in_time: SparkColumn, name: str) -> SparkColumn:
-        return F.when(unsettled, late[name]).otherwise(in_time)
-
-    op = settled(typed["op"], "op")
-    in_time = F.when(typed["op"] == m.DELETE_OP, typed["before"]).otherwise(typed["after"])
-    image = settled(in_time, "image")
+    in_time = f"IF(_typed.op = {quoted(m.DELETE_OP)}, _typed.before, _typed.after)"
+    image = f"IF(_unsettled, _late.image, {in_time})"
+    has = "coalesce(IF(_unsettled, _late.has_{0}, _typed.{0} IS NOT NULL), FALSE)"
     return once(
         df,
-        op=op,
-        ts_ms=settled(typed["ts_ms"], "ts_ms").try_cast("bigint"),
-        has_before=F.coalesce(settled(typed["before"].isNotNull(), "has_before"), F.lit(False)),
-        has_after=F.coalesce(settled(typed["after"].isNotNull(), "has_after"), F.lit(False)),
-        _blank=typed.isNull(),
-        _malformed=unsettled & ~late["is_json"],
-        _no_op=unsettled & ~F.coalesce(late["has_op"], F.lit(False)),
+        op="IF(_unsettled, _late.op, _typed.op)",
+        ts_ms="try_cast(IF(_unsettled, _late.ts_ms, _typed.ts_ms) AS BIGINT)",
+        has_before=has.format("before"),
+        has_after=has.format("after"),
+        _blank="_typed IS NULL",
+        _no_op="_unsettled AND NOT coalesce(_late.has_op, FALSE)",
         _names=last_first(image),
-        _values=F.map_values(image),
+        _values=f"map_values({image})",
     )
 
 
@@ -92,77 +86,70 @@ def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference")
     df = _parse(log.where(F.col("topic") == mapping.topic))
     # Small steps, each column computed once: one large expression would make a method that
     # the JVM refuses to compile.
-    numbered = list(enumerate(mapping.columns))
-    df = once(df, **{f"_place{i}": place_of(F.col("_names"), c.source) for i, c in numbered})
-    place = {c: F.col(f"_place{i}") for i, c in numbered}
-    df = once(df, **{f"_text{i}": value_at(F.col("_values"), place[c]) for i, c in numbered})
-    text = {c: F.col(f"_text{i}") for i, c in numbered}
-    steps = {
-        f"_value{i}": coerce_value(text[c], c, mapping.empty_is_null) for i, c in numbered[1:]
+    columns = list(enumerate(mapping.columns))
+    df = once(df, **{f"_place{i}": place_of("_names", c.source) for i, c in columns})
+    df = once(df, **{f"_text{i}": value_at("_values", f"_place{i}") for i, _ in columns})
+    values = {
+        f"_value{i}": coerce_value(f"_text{i}", c, mapping.empty_is_null) for i, c in columns[1:]
     }
-    df = once(df, _value0=coerce_key(F.col("_text0"), key_policy), **steps)
-    value = {c: F.col(f"_value{i}") for i, c in numbered}
-
-    op, image = F.col("op"), F.col("_names")
-    upserts, deletes = op.isin(*m.UPSERT_OPS), op == m.DELETE_OP
-    missing = {c: place[c].isNull() for c in mapping.columns}
-    broken = {c: _breaks(text[c], value[c], c, mapping) for c in mapping.payload}
-    broken = {c: rule for c, rule in broken.items() if rule is not None}
-    any_broken = reduce(or_, broken.values(), F.lit(False))
-
-    outcome = (
-        F.when(F.col("value").isNull(), m.ERROR_TOMBSTONE)
-        .when(F.col("_blank"), m.SKIP_NO_OP)
-        .when(F.col("_malformed"), m.ERROR_MALFORMED)
-        .when(F.col("_no_op"), m.SKIP_NO_OP)
-        .when(op.isNull() | ~op.isin(*m.OP_NAMES), m.SKIP_UNKNOWN_OP)
-        .when(upserts & ~F.col("has_after"), m.SKIP_NO_AFTER)
-        .when(upserts & (image.isNull() | reduce(or_, missing.values())), m.ERROR_MISSING_COLUMN)
-        .when(deletes & (image.isNull() | missing[mapping.columns[0]]), m.SKIP_NO_BEFORE_KEY)
-        .when(F.col("_value0").isNull(), m.ERROR_BAD_KEY)
-        .when(upserts & any_broken, m.ERROR_CONSTRAINT)
-        .when(upserts, m.UPSERT)
-        .otherwise(m.DELETE)
-    )
-    df = once(df, outcome=outcome)
-    outcome = F.col("outcome")
-    reason = (
-        F.when(outcome == m.ERROR_MISSING_COLUMN, _names(missing))
-        .when(outcome == m.ERROR_CONSTRAINT, _names(broken))
-        .when(outcome == m.ERROR_BAD_KEY, F.col("_text0"))
-        .when(outcome == m.SKIP_UNKNOWN_OP, op)
+    df = once(df, _value0=coerce_key("_text0", key_policy), **values)
+
+    upserts, deletes = f"op IN {_in(m.UPSERT_OPS)}", f"op = {quoted(m.DELETE_OP)}"
+    missing = [(c, f"_place{i} IS NULL") for i, c in columns]
+    broken = [(c, _breaks(i, c, mapping)) for i, c in columns[1:]]
+    broken = [(c, rule) for c, rule in broken if rule is not None]
+    any_missing = " OR ".join(rule for _, rule in missing)
+    any_broken = " OR ".join(rule for _, rule in broken) or "FALSE"
+    df = once(
+        df,
+        outcome=f"""CASE
+          WHEN value IS NULL THEN '{m.ERROR_TOMBSTONE}'
+          WHEN _blank THEN '{m.SKIP_NO_OP}'
+          WHEN _malformed THEN '{m.ERROR_MALFORMED}'
+          WHEN _no_op THEN '{m.SKIP_NO_OP}'
+          WHEN op IS NULL OR op NOT IN {_in(m.OP_NAMES)} THEN '{m.SKIP_UNKNOWN_OP}'
+          WHEN {upserts} AND NOT has_after THEN '{m.SKIP_NO_AFTER}'
+          WHEN {upserts} AND ({any_missing}) THEN '{m.ERROR_MISSING_COLUMN}'
+          WHEN {deletes} AND _place0 IS NULL THEN '{m.SKIP_NO_BEFORE_KEY}'
+          WHEN _value0 IS NULL THEN '{m.ERROR_BAD_KEY}'
+          WHEN {upserts} AND ({any_broken}) THEN '{m.ERROR_CONSTRAINT}'
+          WHEN {upserts} THEN '{m.UPSERT}'
+          ELSE '{m.DELETE}' END""",
     )
-    message_key = last_value(text_map(F.col("key")), mapping.source_key)
-    return df.select(
+    reason = f"""CASE outcome
+      WHEN '{m.ERROR_MISSING_COLUMN}' THEN {_listed(missing)}
+      WHEN '{m.ERROR_CONSTRAINT}' THEN {_listed(broken)}
+      WHEN '{m.ERROR_BAD_KEY}' THEN _text0
+      WHEN '{m.SKIP_UNKNOWN_OP}' THEN op END"""
+    valid = f"outcome IN {_in(m.VALID_OUTCOMES)}"
+    return df.selectExpr(
         *log.columns,
-        message_key.alias("message_key"),
+        f"{last_value(text_map('key'), mapping.source_key)} AS message_key",
         "op",
         "ts_ms",
         "has_before",
         "has_after",
         "outcome",
-        reason.alias("reason"),
-        F.when(outcome.isin(*m.VALID_OUTCOMES), F.col("_value0")).alias(mapping.key),
-        *[F.when(outcome == m.UPSERT, value[c]).alias(c.target) for c in mapping.payload],
+        f"{reason} AS reason",
+        f"IF({valid}, _value0, NULL) AS {mapping.key}",
+        *[f"IF(outcome = '{m.UPSERT}', _value{i}, NULL) AS {c.target}" for i, c in columns[1:]],
     )
 
 
-def _breaks(text, value, column, mapping) -> SparkColumn | None:
+def _breaks(i: int, column: Column, mapping: TableMapping) -> str | None:
     """Condition under which the replica would refuse the value; NULL values always fit."""
     if column.type != "string":
-        return text.isNotNull() & value.isNull()
+        return f"(_text{i} IS NOT NULL AND _value{i} IS NULL)"
     if column.max_length is None:
         return None
-    return F.coalesce(text_length(value, mapping.length_unit) > column.max_length, F.lit(False))
-
-
-def text_length(value: SparkColumn, unit: str) -> SparkColumn:
-    return F.octet_length(value) if unit == "bytes" else F.char_length(value)
+    size = text_length(f"_value{i}", mapping.length_unit)
+    return f"coalesce({size} > {column.max_length}, FALSE)"
 
 
-def _names(conditions) -> SparkColumn:
-    """Feed names of the columns whose condition holds, as one text."""
-    return F.concat_ws(",", *[F.when(rule, F.lit(c.source)) for c, rule in conditions.items()])
+def _listed(rules) -> str:
+    """Feed names of the columns whose rule holds, as one text."""
+    names = [f"IF({rule}, {quoted(c.source)}, NULL)" for c, rule in rules]
+    return f"concat_ws(',', {', '.join(names)})" if names else "NULL"
 
 
 def valid_changes(decoded: DataFrame) -> DataFrame:

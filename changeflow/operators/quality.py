@@ -8,8 +8,8 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.functions.coerce import text_length
 from changeflow.model import VALID_OUTCOMES, TableMapping
-from changeflow.operators.decode import text_length
 
 
 def constraint_violations(table: DataFrame, mapping: TableMapping) -> DataFrame:
@@ -22,7 +22,7 @@ def constraint_violations(table: DataFrame, mapping: TableMapping) -> DataFrame:
     checks = []
     for c in mapping.payload:
         if c.type == "string" and c.max_length is not None:
-            size = text_length(F.col(c.target), mapping.length_unit)
+            size = F.expr(text_length(c.target, mapping.length_unit))
             checks.append(
                 F.when(size > c.max_length, _violation("length", c.target, size))
             )

@@ -72,10 +72,10 @@ def changes_for(winners: DataFrame, names: TableMapping, side: TableMapping) ->
     """The winners under the column names and text rules of one side."""
     columns = [F.col(names.key).alias(side.key), F.col("outcome"), F.col("ts_ms")]
     for low, c in zip(names.payload, side.payload):
-        value = F.col(low.target)
+        value = low.target
         if c.type == "string":
             value = coerce_value(value, c, side.empty_is_null)
-        columns.append(value.alias(c.target))
+        columns.append(F.expr(value).alias(c.target))
     return winners.select(*columns)
 
 

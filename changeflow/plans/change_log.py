@@ -6,11 +6,7 @@ number in ``props`` which of the record shapes below it gets.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from changeflow.model import CUSTOMERS_TO_LOWER, CUSTOMERS_TO_UPPER, TableMapping
 
@@ -24,67 +20,57 @@ CUT_AT = 40
 
 def change_log(events: DataFrame) -> DataFrame:
     """The records of both feeds."""
-    feeds = [_feed(events, CUSTOMERS_TO_LOWER, True), _feed(events, CUSTOMERS_TO_UPPER, False)]
-    return reduce(DataFrame.unionByName, feeds)
-
-
-def _feed(events: DataFrame, mapping: TableMapping, upper: bool) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    side = F.col("value") < SIDE_SPLIT
-    mine = events.where(side if upper else ~side).select(
-        "event_id", "user_id", "event_type", "ts", k.alias("k")
+    upper = _feed(events.where(f"value < {SIDE_SPLIT}"), CUSTOMERS_TO_LOWER, "concat('L', k)")
+    lower = _feed(
+        events.where(f"NOT value < {SIDE_SPLIT}"),
+        CUSTOMERS_TO_UPPER,
+        "IF(k < 55, '', concat('L', k))",
     )
-    names = [c.source for c in mapping.columns]
-    k, kind = F.col("k"), F.col("event_type")
-    last_name = F.concat(F.lit("L"), k.cast("string"))
-    if not upper:
-        last_name = F.when(k < 55, F.lit("")).otherwise(last_name)
-    email = F.format_string("u%d.%d@example.com", F.col("user_id"), k)
-    long_mail = (kind == "purchase") & (k < 5)
-    number = F.col("user_id") * ID_STEP
-    row = [
-        number.alias(names[0]),
-        kind.alias(names[1]),
-        F.when(k >= 50, last_name).alias(names[2]),
-        F.when(long_mail, F.rpad(email, TOO_LONG, "x")).otherwise(email).alias(names[3]),
-    ]
-    _, schema, table = mapping.topic.split(".")
-    source = F.struct(F.lit(schema).alias("schema"), F.lit(table).alias("table")).alias("source")
-    ts_ms = F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms")
-    nothing = F.lit(None).cast("string")
+    return upper.unionByName(lower)
 
-    def envelope(op: str | None, before: SparkColumn, after: SparkColumn) -> SparkColumn:
-        fields = [before.alias("before"), after.alias("after"), source, ts_ms]
-        if op is not None:
-            fields.insert(0, F.lit(op).alias("op"))
-        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
-    full, without_mail = F.struct(*row), F.struct(*row[:3])
-    update = envelope("u", nothing, full)
-    as_double = F.regexp_replace(update, rf'("{names[0]}":\d+)', r"$1.0")
-    empty = F.from_json(F.lit("{}"), "map<string,string>")
-    error = (
-        F.when(k < 35, envelope("d", full, nothing))
-        .when(k < 45, envelope("d", empty, nothing))
-        .when(k < 55, nothing)
-        .when(k < 70, F.left(update, F.lit(CUT_AT)))
-        .when(k < 85, envelope(None, nothing, nothing))
-        .otherwise(envelope("t", nothing, nothing))
-    )
-    value = (
-        F.when(kind == "signup", envelope("c", nothing, full))
-        .when((kind == "view") & (k < 5), envelope("r", nothing, without_mail))
-        .when(kind == "view", envelope("r", nothing, full))
-        .when((kind == "click") & (k < 5), envelope("u", nothing, nothing))
-        .when((kind == "purchase") & (k >= 5) & (k < 10), as_double)
-        .when(kind == "error", error)
-        .otherwise(update)
+def _feed(events: DataFrame, mapping: TableMapping, last_name: str) -> DataFrame:
+    key, first, last, mail = [c.source for c in mapping.columns]
+    _, schema, table = mapping.topic.split(".")
+    email = "concat('u', user_id, '.', k, '@example.com')"
+    row = f"""struct(
+      user_id * {ID_STEP} AS {key}, event_type AS {first},
+      IF(k >= 50, {last_name}, NULL) AS {last},
+      IF(event_type = 'purchase' AND k < 5, rpad({email}, {TOO_LONG}, 'x'), {email}) AS {mail})"""
+    op = """CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r'
+      WHEN 'error' THEN CASE WHEN k < 45 THEN 'd' WHEN k < 85 THEN 'u' ELSE 't' END
+      ELSE 'u' END"""
+    no_after = """(event_type = 'click' AND k < 5
+      OR event_type = 'error' AND (k < 45 OR k >= 70))"""
+    # Explicit nulls are part of an envelope.
+    sound = f"""to_json(struct(
+        {op} AS op,
+        IF(event_type = 'error' AND k < 35, {row}, NULL) AS before,
+        IF({no_after}, NULL, {row}) AS after,
+        struct('{schema}' AS schema, '{table}' AS table) AS source,
+        unix_millis(CAST(ts AS TIMESTAMP)) AS ts_ms),
+      map('ignoreNullFields', 'false'))"""
+    value = f"""CASE
+      WHEN event_type = 'view' AND k < 5 THEN regexp_replace(sound, ',"{mail}":"[^"]*"', '')
+      WHEN event_type = 'purchase' AND k BETWEEN 5 AND 9
+        THEN regexp_replace(sound, '("{key}":[0-9]+)', '$1.0')
+      WHEN event_type <> 'error' OR k < 35 OR k >= 85 THEN sound
+      WHEN k < 45 THEN replace(sound, '"before":null', '"before":{{}}')
+      WHEN k < 55 THEN NULL
+      WHEN k < 70 THEN left(sound, {CUT_AT})
+      ELSE replace(sound, '"op":"u",', '') END"""
+    numbered = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "ts",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     )
-    return mine.select(
-        F.lit(mapping.topic).alias("topic"),
-        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.to_json(F.struct(number.alias(names[0]))).alias("key"),
-        value.alias("value"),
+    return numbered.selectExpr("*", f"{sound} AS sound").selectExpr(
+        f"'{mapping.topic}' AS topic",
+        f"CAST(user_id % {PARTITIONS} AS INT) AS partition",
+        "event_id AS offset",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        f"to_json(struct(user_id * {ID_STEP} AS {key})) AS key",
+        f"{value} AS value",
     )

@@ -221,11 +221,11 @@ def coerce_keys(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("value") < 20, F.concat(F.lit("99999999999999"), number, F.lit("00000")))
         .when(F.col("value") < 30, "1e30")
     )
-    return _table(spark, sf, "events").select(
-        "event_id",
-        text.alias("key_text"),
-        coerce_key(text).alias("reference_key"),
-        coerce_key(text, "strict").alias("strict_key"),
+    keyed = _table(spark, sf, "events").select("event_id", text.alias("key_text"))
+    return keyed.select(
+        "*",
+        F.expr(coerce_key("key_text")).alias("reference_key"),
+        F.expr(coerce_key("key_text", "strict")).alias("strict_key"),
     )
 
 
