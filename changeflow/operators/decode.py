@@ -38,38 +38,45 @@ def _parse(log: DataFrame) -> DataFrame:
     parsing ends here: parsers do not take part in whole-stage code generation, and what
     follows should.
     """
-    unsettled = "(_typed IS NOT NULL AND (_typed._flawed IS NOT NULL OR _typed.op IS NULL))"
     df = once(log, _typed=parsed("value", _ENVELOPE, "_flawed"))
-    df = once(df, _unsettled=unsettled, _root=f"CASE WHEN {unsettled} THEN {text_map('value')} END")
 
     def root(name: str) -> str:
-        return last_value("_root", name)
+        return last_value("root", name)
 
     def row_image(name: str) -> str:
         is_object = f"{parsed('value', f'{name} {TEXT_MAP}')}.{name} IS NOT NULL"
         return f"CASE WHEN {is_object} THEN {text_map(root(name))} END"
 
-    second_look = f"""struct({root("op")} AS op, {root("ts_ms")} AS ts_ms,
-      {root("before")} IS NOT NULL AS has_before, {root("after")} IS NOT NULL AS has_after,
-      map_contains_key(_root, 'op') AS has_op,
-      CASE {root("op")} WHEN {quoted(m.DELETE_OP)} THEN {row_image("before")}
-        ELSE {row_image("after")} END AS image)"""
+    # The lambda binds the second parse to a name, so that it is made once per record.
+    second_look = f"""transform(array({text_map("value")}), root -> struct(
+        {root("op")} AS op,
+        {root("ts_ms")} AS ts_ms,
+        {root("before")} IS NOT NULL AS has_before,
+        {root("after")} IS NOT NULL AS has_after,
+        coalesce(map_contains_key(root, 'op'), FALSE) AS has_op,
+        root IS NULL AND NOT {is_other_json("value")} AS malformed,
+        CASE WHEN root IS NULL THEN NULL
+          WHEN {root("op")} = {quoted(m.DELETE_OP)} THEN {row_image("before")}
+          ELSE {row_image("after")} END AS image))[0]"""
+    unsettled = "_typed IS NOT NULL AND (_typed._flawed IS NOT NULL OR _typed.op IS NULL)"
     df = once(
         df,
-        _late=f"CASE WHEN _root IS NOT NULL THEN {second_look} END",
-        _malformed=f"_unsettled AND _root IS NULL AND NOT {is_other_json('value')}",
+        _late=f"CASE WHEN {unsettled} THEN {second_look} END",
+        _tombstone="value IS NULL",
     )
+    unsettled = "_late IS NOT NULL"
     in_time = f"IF(_typed.op = {quoted(m.DELETE_OP)}, _typed.before, _typed.after)"
-    image = f"IF(_unsettled, _late.image, {in_time})"
-    has = "coalesce(IF(_unsettled, _late.has_{0}, _typed.{0} IS NOT NULL), FALSE)"
+    image = f"IF({unsettled}, _late.image, {in_time})"
+    has = f"coalesce(IF({unsettled}, _late.has_{{0}}, _typed.{{0}} IS NOT NULL), FALSE)"
     return once(
         df,
-        op="IF(_unsettled, _late.op, _typed.op)",
-        ts_ms="try_cast(IF(_unsettled, _late.ts_ms, _typed.ts_ms) AS BIGINT)",
+        op=f"IF({unsettled}, _late.op, _typed.op)",
+        ts_ms=f"try_cast(IF({unsettled}, _late.ts_ms, _typed.ts_ms) AS BIGINT)",
         has_before=has.format("before"),
         has_after=has.format("after"),
         _blank="_typed IS NULL",
-        _no_op="_unsettled AND NOT coalesce(_late.has_op, FALSE)",
+        _malformed="coalesce(_late.malformed, FALSE)",
+        _no_op="NOT coalesce(_late.has_op, TRUE)",
         _names=last_first(image),
         _values=f"map_values({image})",
     )
@@ -103,7 +110,7 @@ def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference")
     df = once(
         df,
         outcome=f"""CASE
-          WHEN value IS NULL THEN '{m.ERROR_TOMBSTONE}'
+          WHEN _tombstone THEN '{m.ERROR_TOMBSTONE}'
           WHEN _blank THEN '{m.SKIP_NO_OP}'
           WHEN _malformed THEN '{m.ERROR_MALFORMED}'
           WHEN _no_op THEN '{m.SKIP_NO_OP}'

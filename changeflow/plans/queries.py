@@ -349,21 +349,24 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def bidirectional_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Both sides hold their own changes; afterwards both hold the winners."""
-    log = _log(spark, sf)
-    feeds = {m.topic: sync.feed_changes(log, m) for m in (TO_LOWER, TO_UPPER)}
+    log, base = _log(spark, sf), workspace(spark, "sync")
+    # Each feed is decoded once and cut down to one row per key.
+    upper_feed, lower_feed = [
+        written(latest_per_key(sync.feed_changes(log, m), m.key), f"{base}/{m.topic}")
+        for m in (TO_LOWER, TO_UPPER)
+    ]
     winners = written(
-        sync.resolve_conflicts(feeds[TO_LOWER.topic], feeds[TO_UPPER.topic], TO_LOWER, TO_UPPER),
-        workspace(spark, "winners"),
+        sync.resolve_conflicts(upper_feed, lower_feed, TO_LOWER, TO_UPPER), f"{base}/winners"
     )
-    own = {}
-    for side, feed in ((TO_LOWER, TO_UPPER), (TO_UPPER, TO_LOWER)):
-        latest = latest_per_key(feeds[feed.topic], feed.key)
-        latest = sync.changes_for(latest, feed, side)
-        own[side.topic] = merge.apply_batch(_customers(spark, sf, side), latest, side)
-    lower, upper = own[TO_LOWER.topic], own[TO_UPPER.topic]
+    own_lower = sync.changes_for(lower_feed, TO_UPPER, TO_LOWER)
+    own_upper = sync.changes_for(upper_feed, TO_LOWER, TO_UPPER)
+    lower = merge.apply_written(_customers(spark, sf, TO_LOWER), own_lower, TO_LOWER)
+    upper = merge.apply_written(_customers(spark, sf, TO_UPPER), own_upper, TO_UPPER)
     writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
-    lower = merge.apply_batch(lower, writes.to_lower, TO_LOWER).withColumn("side", F.lit("lower"))
-    upper = merge.apply_batch(upper, writes.to_upper, TO_UPPER).withColumn("side", F.lit("upper"))
+    to_lower = written(writes.to_lower, f"{base}/to_lower")
+    to_upper = written(writes.to_upper, f"{base}/to_upper")
+    lower = merge.apply_written(lower, to_lower, TO_LOWER).withColumn("side", F.lit("lower"))
+    upper = merge.apply_written(upper, to_upper, TO_UPPER).withColumn("side", F.lit("upper"))
     return lower.union(upper)
 
 

@@ -11,10 +11,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.model import SQL_TYPES, VALID_OUTCOMES, TableMapping
+from changeflow.model import SQL_TYPES, UPSERT, VALID_OUTCOMES, TableMapping
 from changeflow.operators.compact import ARRIVAL, latest_per_key
 from changeflow.operators.decode import dead_letters, valid_changes
-from changeflow.operators.merge import apply_written
+from changeflow.operators.merge import merge_delete
 
 _DEAD_SCHEMA = (
     "topic string, partition int, offset bigint, timestamp timestamp, key string, "
@@ -90,8 +90,11 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
 def read_replica(spark: SparkSession, path: str, mapping: TableMapping, order=ARRIVAL) -> DataFrame:
     """The rows of the replica as of the last batch."""
     base = spark.read.schema(mapping.replica_schema).parquet(f"{path}/base")
-    last = latest_per_key(read_changes(spark, path, mapping), mapping.key, order)
-    return apply_written(base, last, mapping)
+    changes = read_changes(spark, path, mapping)
+    # Which base rows are outdated needs the keys alone; the rows are combined once only.
+    kept = merge_delete(base, changes.select(mapping.key).distinct(), mapping)
+    last = latest_per_key(changes, mapping.key, order).where(F.col("outcome") == UPSERT)
+    return kept.unionByName(last.select(*mapping.targets))
 
 
 def compact_replica(
