@@ -58,11 +58,17 @@ def is_other_json(text: str) -> str:
       ELSE try_parse_json({text}) IS NOT NULL END"""
 
 
-def once(df: DataFrame, **columns: str) -> DataFrame:
-    """Add costly columns so that each is computed once per row.
+def also(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns to those there are."""
+    return df.selectExpr("*", *[f"{value} AS {name}" for name, value in columns.items()])
 
-    A filter on a projected column is pushed below the projection and repeats its
-    expression there. A generator is a barrier to that, and still runs inside generated code.
+
+def settled(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns that later filters leave alone.
+
+    A filter on a projected column is pushed below the projection, down to the scan if it can,
+    and repeats every expression on its way, parses included. A generator is a barrier to
+    that, and still runs inside generated code.
     """
     named = ", ".join(f"{value} AS {name}" for name, value in columns.items())
     return df.selectExpr("*", f"inline(array(struct({named})))")

@@ -10,13 +10,14 @@ from changeflow import model as m
 from changeflow.functions.coerce import coerce_key, coerce_value, text_length
 from changeflow.functions.json_text import (
     TEXT_MAP,
+    also,
     is_other_json,
     last_first,
     last_value,
-    once,
     parsed,
     place_of,
     quoted,
+    settled,
     text_map,
     value_at,
 )
@@ -38,7 +39,7 @@ def _parse(log: DataFrame) -> DataFrame:
     parsing ends here: parsers do not take part in whole-stage code generation, and what
     follows should.
     """
-    df = once(log, _typed=parsed("value", _ENVELOPE, "_flawed"))
+    df = also(log, _typed=parsed("value", _ENVELOPE, "_flawed"))
 
     def root(name: str) -> str:
         return last_value("root", name)
@@ -59,7 +60,7 @@ def _parse(log: DataFrame) -> DataFrame:
           WHEN {root("op")} = {quoted(m.DELETE_OP)} THEN {row_image("before")}
           ELSE {row_image("after")} END AS image))[0]"""
     unsettled = "_typed IS NOT NULL AND (_typed._flawed IS NOT NULL OR _typed.op IS NULL)"
-    df = once(
+    df = also(
         df,
         _late=f"CASE WHEN {unsettled} THEN {second_look} END",
         _tombstone="value IS NULL",
@@ -68,12 +69,12 @@ def _parse(log: DataFrame) -> DataFrame:
     in_time = f"IF(_typed.op = {quoted(m.DELETE_OP)}, _typed.before, _typed.after)"
     image = f"IF({unsettled}, _late.image, {in_time})"
     has = f"coalesce(IF({unsettled}, _late.has_{{0}}, _typed.{{0}} IS NOT NULL), FALSE)"
-    return once(
+    return also(
         df,
-        op=f"IF({unsettled}, _late.op, _typed.op)",
-        ts_ms=f"try_cast(IF({unsettled}, _late.ts_ms, _typed.ts_ms) AS BIGINT)",
-        has_before=has.format("before"),
-        has_after=has.format("after"),
+        _op=f"IF({unsettled}, _late.op, _typed.op)",
+        _ts_ms=f"try_cast(IF({unsettled}, _late.ts_ms, _typed.ts_ms) AS BIGINT)",
+        _has_before=has.format("before"),
+        _has_after=has.format("after"),
         _blank="_typed IS NULL",
         _malformed="coalesce(_late.malformed, FALSE)",
         _no_op="NOT coalesce(_late.has_op, TRUE)",
@@ -94,34 +95,38 @@ def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference")
     # Small steps, each column computed once: one large expression would make a method that
     # the JVM refuses to compile.
     columns = list(enumerate(mapping.columns))
-    df = once(df, **{f"_place{i}": place_of("_names", c.source) for i, c in columns})
-    df = once(df, **{f"_text{i}": value_at("_values", f"_place{i}") for i, _ in columns})
+    df = also(df, **{f"_place{i}": place_of("_names", c.source) for i, c in columns})
+    df = also(df, **{f"_text{i}": value_at("_values", f"_place{i}") for i, _ in columns})
     values = {
         f"_value{i}": coerce_value(f"_text{i}", c, mapping.empty_is_null) for i, c in columns[1:]
     }
-    df = once(df, _value0=coerce_key("_text0", key_policy), **values)
+    df = also(df, _value0=coerce_key("_text0", key_policy), **values)
 
-    upserts, deletes = f"op IN {_in(m.UPSERT_OPS)}", f"op = {quoted(m.DELETE_OP)}"
+    upserts, deletes = f"_op IN {_in(m.UPSERT_OPS)}", f"_op = {quoted(m.DELETE_OP)}"
     missing = [(c, f"_place{i} IS NULL") for i, c in columns]
     broken = [(c, _breaks(i, c, mapping)) for i, c in columns[1:]]
     broken = [(c, rule) for c, rule in broken if rule is not None]
     any_missing = " OR ".join(rule for _, rule in missing)
     any_broken = " OR ".join(rule for _, rule in broken) or "FALSE"
-    df = once(
+    df = settled(
         df,
         outcome=f"""CASE
           WHEN _tombstone THEN '{m.ERROR_TOMBSTONE}'
           WHEN _blank THEN '{m.SKIP_NO_OP}'
           WHEN _malformed THEN '{m.ERROR_MALFORMED}'
           WHEN _no_op THEN '{m.SKIP_NO_OP}'
-          WHEN op IS NULL OR op NOT IN {_in(m.OP_NAMES)} THEN '{m.SKIP_UNKNOWN_OP}'
-          WHEN {upserts} AND NOT has_after THEN '{m.SKIP_NO_AFTER}'
+          WHEN _op IS NULL OR _op NOT IN {_in(m.OP_NAMES)} THEN '{m.SKIP_UNKNOWN_OP}'
+          WHEN {upserts} AND NOT _has_after THEN '{m.SKIP_NO_AFTER}'
           WHEN {upserts} AND ({any_missing}) THEN '{m.ERROR_MISSING_COLUMN}'
           WHEN {deletes} AND _place0 IS NULL THEN '{m.SKIP_NO_BEFORE_KEY}'
           WHEN _value0 IS NULL THEN '{m.ERROR_BAD_KEY}'
           WHEN {upserts} AND ({any_broken}) THEN '{m.ERROR_CONSTRAINT}'
           WHEN {upserts} THEN '{m.UPSERT}'
           ELSE '{m.DELETE}' END""",
+        op="_op",
+        ts_ms="_ts_ms",
+        has_before="_has_before",
+        has_after="_has_after",
     )
     reason = f"""CASE outcome
       WHEN '{m.ERROR_MISSING_COLUMN}' THEN {_listed(missing)}
