@@ -34,13 +34,19 @@ def coerce_value(text: str, column: Column, empty_is_null: bool = False) -> str:
     if column.type == "double":
         return f"try_cast({text} AS DOUBLE)"
     if column.type == "timestamp_millis":
-        return f"timestamp_millis(try_cast({text} AS BIGINT))"
+        return from_millis(f"try_cast({text} AS BIGINT)")
     if column.type == "date_days":
         return f"date_from_unix_date(try_cast({text} AS INT))"
     exact = f"try_cast({text} AS {column.type})"
     return f"coalesce({exact}, try_cast(try_cast({text} AS DOUBLE) AS {column.type}))"
 
 
+def from_millis(millis: str) -> str:
+    """SQL for the timestamp of epoch milliseconds, NULL when no timestamp is that far away."""
+    limit = (2**63 - 1) // 1000
+    return f"timestamp_millis(IF({millis} BETWEEN -{limit} AND {limit}, {millis}, NULL))"
+
+
 def text_length(value: str, unit: str) -> str:
     return f"octet_length({value})" if unit == "bytes" else f"char_length({value})"
 

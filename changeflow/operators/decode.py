@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow import model as m
-from changeflow.functions.coerce import coerce_key, coerce_value, text_length
+from changeflow.functions.coerce import coerce_key, coerce_value, from_millis, text_length
 from changeflow.functions.json_text import (
     TEXT_MAP,
     also,
@@ -87,9 +87,10 @@ def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference")
     """Decode and classify the records of ``mapping.topic``.
 
     Returns the log columns, ``message_key`` (the key field of the record key), ``op``,
-    ``ts_ms``, ``has_before``, ``has_after``, ``outcome``, ``reason`` and the replica
-    columns, which are filled for the outcomes ``upsert`` and ``delete`` (key only) alone.
-    Narrow: no shuffle, no Python.
+    ``ts_ms``, ``event_time``, ``source`` (as JSON text), ``has_before``, ``has_after``,
+    ``outcome``, ``reason`` and the replica columns, which are filled for the outcomes
+    ``upsert`` and ``delete`` (key only) alone. Narrow: no shuffle, no Python. Only columns
+    that are used cost anything.
     """
     df = _parse(log.where(F.col("topic") == mapping.topic))
     # Small steps, each column computed once: one large expression would make a method that
@@ -139,6 +140,8 @@ def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference")
         f"{last_value(text_map('key'), mapping.source_key)} AS message_key",
         "op",
         "ts_ms",
+        f"{from_millis('ts_ms')} AS event_time",
+        "IF(_malformed, NULL, get_json_object(value, '$.source')) AS source",
         "has_before",
         "has_after",
         "outcome",

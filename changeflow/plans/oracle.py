@@ -208,6 +208,11 @@ UNION ALL SELECT *, 'upper' FROM customers WHERE id = 200""",
     "decode_envelope": f"""WITH {FEED}
 SELECT topic, "offset", CAST(id AS VARCHAR) AS message_key, op,
   CASE WHEN outcome NOT IN ('error_tombstone', 'error_malformed') THEN ts_ms END AS ts_ms,
+  CASE WHEN outcome NOT IN ('error_tombstone', 'error_malformed')
+    THEN make_timestamp(ts_ms * 1000) END AS event_time,
+  CASE WHEN outcome IN ('error_tombstone', 'error_malformed') THEN NULL
+    WHEN is_upper THEN '{{"schema":"DBZUSER","table":"CUSTOMERS"}}'
+    ELSE '{{"schema":"public","table":"customers"}}' END AS source,
   coalesce(op = 'd', FALSE) AS has_before,
   coalesce(op IN ('c', 'u', 'r') AND outcome <> 'skip_no_after', FALSE) AS has_after
 FROM feed""",

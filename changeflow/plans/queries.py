@@ -91,14 +91,8 @@ def _customers(spark: SparkSession, sf: str, mapping: TableMapping) -> DataFrame
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:
     """Both feeds, without the row columns that the two sides name alike."""
     log = _log(spark, sf)
-    common = [
-        *log.columns, "message_key", "op", "ts_ms", "has_before", "has_after", "outcome", "reason"
-    ]
-    return (
-        decode(log, TO_LOWER)
-        .select(*common)
-        .unionByName(decode(log, TO_UPPER).select(*common))
-    )
+    upper, lower = decode(log, TO_LOWER), decode(log, TO_UPPER)
+    return upper.drop(*TO_LOWER.targets).unionByName(lower.drop(*TO_UPPER.targets))
 
 
 def _latest(spark: SparkSession, sf: str, mapping: TableMapping) -> DataFrame:
@@ -194,7 +188,15 @@ def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def decode_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return _decoded(spark, sf).select(
-        "topic", "offset", "message_key", "op", "ts_ms", "has_before", "has_after"
+        "topic",
+        "offset",
+        "message_key",
+        "op",
+        "ts_ms",
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+        "source",
+        "has_before",
+        "has_after",
     )
 
 

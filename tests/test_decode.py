@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from changeflow import CUSTOMERS_TO_LOWER, CUSTOMERS_TO_UPPER
+from changeflow import CUSTOMERS_TO_LOWER, CUSTOMERS_TO_UPPER, Column, TableMapping
 from changeflow.operators.decode import dead_letters, decode, op_name, valid_changes
 from pyspark.sql import functions as F
 
@@ -98,6 +98,7 @@ CASES = [
         "error_missing_column",
         None,
     ),
+    ('{"op":"c","after":' + "[" * 1500 + "]" * 1500 + "}", "error_malformed", None),
     (create(row_json(EMAIL="x" * 256)), "error_constraint", None),
     (create(row_json(EMAIL="x" * 255)), "upsert", 1),
     (create(row_json(EMAIL="é" * 255)), "upsert", 1),
@@ -207,6 +208,53 @@ def test_reasons_and_metadata(spark):
     assert {r.message_key for r in rows} == {"31"}
 
 
+def test_envelope_metadata(spark):
+    values = [
+        '{"op":"t","source":{"table":"T","lsn":1},"ts_ms":1642000000123}',
+        '{"op":"t","ts_ms":9223372036854775807}',
+        '{"op":"t","ts_ms":"soon","source":null}',
+        '{"op":"t","source":{"table":"T"},"ts_ms":1642000000123',
+    ]
+    decoded = decode(make_log(spark, values), CUSTOMERS_TO_LOWER)
+    decoded = decoded.withColumn("millis", F.unix_millis("event_time"))
+    got = [(r.millis, r.source) for r in decoded_rows(decoded)]
+    assert got == [(1642000000123, '{"table":"T","lsn":1}'), (None, None), (None, None), (None, None)]
+
+
+def test_typed_columns_that_do_not_fit(spark):
+    mapping = TableMapping(
+        topic=UPPER,
+        columns=(
+            Column("ID", "id", "bigint"),
+            Column("N", "n", "int"),
+            Column("D", "d", "double"),
+            Column("T", "t", "timestamp_millis"),
+            Column("DAY", "day", "date_days"),
+        ),
+    )
+
+    def image(**changes):
+        return create(json.dumps({"ID": 1, "N": 2, "D": 0.5, "T": 1000, "DAY": 1, **changes}))
+
+    values = [
+        image(),
+        image(N=None, D=None, T=None, DAY=None),
+        image(N=2.0, D=3),
+        image(N="x"),
+        image(N=3000000000),
+        image(D="x"),
+        image(T=9223372036854775807),
+        image(DAY="1970-01-01"),
+    ]
+    rows = decoded_rows(decode(make_log(spark, values), mapping))
+    assert [r.outcome for r in rows] == ["upsert"] * 3 + ["error_constraint"] * 5
+    assert [r.reason for r in rows[3:]] == ["N", "N", "D", "T", "DAY"]
+    first, second, third = rows[:3]
+    assert (first.n, first.d, first.t.second, str(first.day)) == (2, 0.5, 1, "1970-01-02")
+    assert (second.n, second.d, second.t, second.day) == (None, None, None, None)
+    assert (third.n, third.d) == (2, 3.0)
+
+
 def test_other_topics_are_left_out(spark):
     log = make_log(spark, [c[0] for c in CASES], topic="oracle.DBZUSER.OTHER")
     assert decode(log, CUSTOMERS_TO_LOWER).count() == 0
