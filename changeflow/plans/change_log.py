@@ -22,7 +22,7 @@ def change_log(events: DataFrame) -> DataFrame:
     """The records of both feeds."""
     upper = _feed(events.where(f"value < {SIDE_SPLIT}"), CUSTOMERS_TO_LOWER, "concat('L', k)")
     lower = _feed(
-        events.where(f"NOT value < {SIDE_SPLIT}"),
+        events.where(f"value >= {SIDE_SPLIT} OR value IS NULL"),
         CUSTOMERS_TO_UPPER,
         "IF(k < 55, '', concat('L', k))",
     )

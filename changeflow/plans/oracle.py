@@ -13,7 +13,7 @@ CAPTURED_AT = 1704067200000
 # One row per event: what its record says and what must become of it.
 FEED = f"""
 numbered AS (
-  SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value < 35 AS is_upper,
+  SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k, coalesce(value < 35, FALSE) AS is_upper,
          user_id * 12 AS id FROM events),
 feed AS (
   SELECT event_id AS "offset", ts, epoch_us(ts) // 1000 AS ts_ms, event_type AS kind, k, is_upper, id,

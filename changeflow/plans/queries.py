@@ -447,10 +447,11 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     base = workspace(spark, "stream")
     create_replica(_customers(spark, sf, TO_LOWER), f"{base}/replica", TO_LOWER)
     events = _table(spark, sf, "events")
-    second, third = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
+    second, third = [
+        F.to_timestamp_ntz(F.lit(start)) for start in ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+    ]
     ts = F.col("ts").cast("timestamp_ntz")
-    edges = [F.to_timestamp_ntz(F.lit(edge)) for edge in (second, third)]
-    parts = [ts < edges[0], (ts >= edges[0]) & (ts < edges[1]), ts >= edges[1]]
+    parts = [ts < second, (ts >= second) & (ts < third), (ts >= third) | ts.isNull()]
     for part in parts:
         write_log(derive_log(events.where(part)), f"{base}/log", mode="append")
         log = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)

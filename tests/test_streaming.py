@@ -80,6 +80,32 @@ def test_a_repeated_batch_replaces_itself(spark, case):
     assert as_state(store.read_replica(spark, path, LOWER)) == replay(rows, values)
 
 
+def test_a_batch_that_fails_half_way_is_repeated(spark, case, monkeypatch):
+    rows, values, base, path = case
+    write_parts(spark, values, f"{base}/log", 3)
+    log = stream_log(spark, f"{base}/log", LOWER.topic, max_files=1)
+    calls = []
+
+    def broken(slimmed, path, mapping, batch_id):
+        store.write_batch(slimmed, path, mapping, batch_id)
+        calls.append(batch_id)
+        if batch_id == 1:
+            raise OSError("the disk is gone")
+
+    monkeypatch.setattr(streams, "write_batch", broken)
+    with pytest.raises(Exception, match="the disk is gone"):
+        streams.apply_stream(log, LOWER, path, f"{base}/checkpoint").awaitTermination()
+    monkeypatch.undo()
+    # The changes of batch 1 are written, but the stream does not know that.
+    assert calls[-1] == 1
+    follow(spark, base, path, max_files=1)
+    changes = store.read_changes(spark, path, LOWER)
+    assert {r.batch_id for r in changes.select("batch_id").distinct().collect()} == {0, 1, 2}
+    per_batch = changes.groupBy("batch_id", "id").count()
+    assert per_batch.where("count > 1").count() == 0
+    assert as_state(store.read_replica(spark, path, LOWER)) == replay(rows, values)
+
+
 def test_late_batch_with_older_offsets_does_not_undo_a_newer_change(spark, case):
     rows, values, base, path = case
     half = len(values) // 2
