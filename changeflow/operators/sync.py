@@ -14,6 +14,9 @@ from changeflow.operators.compact import ARRIVAL
 from changeflow.operators.decode import decode, valid_changes
 from changeflow.operators.merge import effective_changes
 
+UPPER = "upper"
+LOWER = "lower"
+
 
 class Synced(NamedTuple):
     """Changes to write on each side, one row per key, already freed of echoes."""
@@ -22,61 +25,59 @@ class Synced(NamedTuple):
     to_upper: DataFrame
 
 
-def feed_changes(log: DataFrame, mapping: TableMapping) -> DataFrame:
-    """The valid changes of one feed, with text as it was sent: it may return to its sender."""
-    return valid_changes(decode(log, replace(mapping, empty_is_null=False))).select(
-        *mapping.targets, "outcome", "ts_ms", *ARRIVAL
-    )
+def last_of_both(log: DataFrame, to_lower: TableMapping, to_upper: TableMapping) -> DataFrame:
+    """The last valid change per key of each feed, in one job over the whole log.
 
+    Column ``origin`` tells the side a change was made on; the rest has the names of the
+    lower-case side. Text is kept as it was sent: it may return to its sender.
+    """
+    names = [to_lower.key, "outcome", "ts_ms", *[c.target for c in to_lower.payload]]
 
-def resolve_conflicts(
-    upper_feed: DataFrame,
-    lower_feed: DataFrame,
-    to_lower: TableMapping,
-    to_upper: TableMapping,
-) -> DataFrame:
-    """One winning change per key out of the valid changes of both feeds.
+    def feed(mapping: TableMapping, origin: str) -> DataFrame:
+        changes = valid_changes(decode(log, replace(mapping, empty_is_null=False)))
+        columns = [mapping.key, "outcome", "ts_ms", *[c.target for c in mapping.payload]]
+        return changes.select(
+            *[F.col(c).alias(name) for c, name in zip(columns, names)],
+            *ARRIVAL,
+            F.lit(origin).alias("origin"),
+        )
+
+    both = feed(to_lower, UPPER).unionByName(feed(to_upper, LOWER))
+    # Combined before the shuffle, like every step over a log.
+    last = F.max_by(F.struct(*names[1:]), F.struct(*ARRIVAL)).alias("_last")
+    return both.groupBy("origin", names[0]).agg(last).select("origin", names[0], "_last.*")
 
-    Inside a feed the last arrival counts. Between the feeds the later ``ts_ms`` wins, and
-    the upper-case side, the source of truth, wins a tie. One shuffle for both steps: per
-    key, a map-side combined ``max_by`` for each feed.
+
+def resolve_conflicts(last: DataFrame, to_lower: TableMapping) -> DataFrame:
+    """One winning change per key out of ``last_of_both``.
+
+    Inside a feed the last arrival counts, and that is settled already. Between the feeds the
+    later ``ts_ms`` wins, a missing one is earlier than any, and the upper-case side, the
+    source of truth, wins a tie.
     """
-    names = ["key", "outcome", "ts_ms", *[c.target for c in to_lower.payload]]
-
-    def feed(df: DataFrame, mapping: TableMapping, origin: str) -> DataFrame:
-        renamed = [F.col(mapping.key).alias("key"), F.col("outcome"), F.col("ts_ms")]
-        renamed += [
-            F.col(c.target).alias(low.target) for c, low in zip(mapping.payload, to_lower.payload)
-        ]
-        return df.select(*renamed, *ARRIVAL, F.lit(origin).alias("origin"))
-
-    both = feed(upper_feed, to_lower, "upper").unionByName(feed(lower_feed, to_upper, "lower"))
-    row, arrival = F.struct(*names[1:]), F.struct(*ARRIVAL)
-
-    def last(origin: str):
-        mine = F.col("origin") == origin
-        return F.max_by(F.when(mine, row), F.when(mine, arrival)).alias(origin)
-
-    per_key = both.groupBy("key").agg(last("upper"), last("lower"))
-    time = {side: F.coalesce(F.col(f"{side}.ts_ms"), F.lit(-(2**63))) for side in ("upper", "lower")}
-    upper_wins = F.col("lower").isNull() | (
-        F.col("upper").isNotNull() & (time["upper"] >= time["lower"])
-    )
-    winner = F.when(upper_wins, F.col("upper")).otherwise(F.col("lower"))
-    return per_key.select("key", winner.alias("w")).select(
-        F.col("key").alias(to_lower.key), "w.*"
-    )
+    row = F.struct("outcome", "ts_ms", *[c.target for c in to_lower.payload])
+    # A greater struct is later: NULL is the least value of a column.
+    strength = F.struct("ts_ms", F.col("origin") == UPPER)
+    winner = F.max_by(row, strength).alias("_winner")
+    return last.groupBy(to_lower.key).agg(winner).select(to_lower.key, "_winner.*")
 
 
-def changes_for(winners: DataFrame, names: TableMapping, side: TableMapping) -> DataFrame:
-    """The winners under the column names and text rules of one side."""
+def changes_for(changes: DataFrame, names: TableMapping, side: TableMapping) -> DataFrame:
+    """Changes under the column names and text rules of one side."""
     columns = [F.col(names.key).alias(side.key), F.col("outcome"), F.col("ts_ms")]
     for low, c in zip(names.payload, side.payload):
         value = low.target
         if c.type == "string":
             value = coerce_value(value, c, side.empty_is_null)
         columns.append(F.expr(value).alias(c.target))
-    return winners.select(*columns)
+    return changes.select(*columns)
+
+
+def own_changes(
+    last: DataFrame, origin: str, names: TableMapping, side: TableMapping
+) -> DataFrame:
+    """What a side has changed itself."""
+    return changes_for(last.where(F.col("origin") == origin), names, side)
 
 
 def sync_changes(
@@ -88,7 +89,7 @@ def sync_changes(
 ) -> Synced:
     """What to write on each side. A change that its own side already holds is not among it.
 
-    ``winners`` is read twice; hand it over as a written table, not as a plan over the logs.
+    ``winners`` is read twice; have it come from a written table, not from a plan over the log.
     """
     return Synced(
         effective_changes(lower, changes_for(winners, to_lower, to_lower), to_lower),

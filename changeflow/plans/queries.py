@@ -351,17 +351,11 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def bidirectional_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Both sides hold their own changes; afterwards both hold the winners."""
-    log, base = _log(spark, sf), workspace(spark, "sync")
-    # Each feed is decoded once and cut down to one row per key.
-    upper_feed, lower_feed = [
-        written(latest_per_key(sync.feed_changes(log, m), m.key), f"{base}/{m.topic}")
-        for m in (TO_LOWER, TO_UPPER)
-    ]
-    winners = written(
-        sync.resolve_conflicts(upper_feed, lower_feed, TO_LOWER, TO_UPPER), f"{base}/winners"
-    )
-    own_lower = sync.changes_for(lower_feed, TO_UPPER, TO_LOWER)
-    own_upper = sync.changes_for(upper_feed, TO_LOWER, TO_UPPER)
+    base = workspace(spark, "sync")
+    last = written(sync.last_of_both(_log(spark, sf), TO_LOWER, TO_UPPER), f"{base}/last")
+    winners = sync.resolve_conflicts(last, TO_LOWER)
+    own_lower = sync.own_changes(last, sync.LOWER, TO_LOWER, TO_LOWER)
+    own_upper = sync.own_changes(last, sync.UPPER, TO_LOWER, TO_UPPER)
     lower = merge.apply_written(_customers(spark, sf, TO_LOWER), own_lower, TO_LOWER)
     upper = merge.apply_written(_customers(spark, sf, TO_UPPER), own_upper, TO_UPPER)
     writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)

@@ -84,9 +84,7 @@ def test_conflicting_seeds(spark):
     )
     upper_as_feed = snapshot_events(upper.toDF(*TO_LOWER.targets), TO_LOWER, 9)
     log = with_position(lower_as_feed.union(upper_as_feed), F.lit(0))
-    winners = sync.resolve_conflicts(
-        sync.feed_changes(log, TO_LOWER), sync.feed_changes(log, TO_UPPER), TO_LOWER, TO_UPPER
-    )
+    winners = sync.resolve_conflicts(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER)
     writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
     assert writes.to_upper.count() == 0
     new_lower = merge.apply_batch(lower, writes.to_lower, TO_LOWER)
@@ -122,9 +120,7 @@ def test_conflicts(spark):
     log = log.select(
         "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"), "key", "value"
     )
-    winners = sync.resolve_conflicts(
-        sync.feed_changes(log, TO_LOWER), sync.feed_changes(log, TO_UPPER), TO_LOWER, TO_UPPER
-    )
+    winners = sync.resolve_conflicts(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER)
     got = {r.id: (r.outcome, r.first_name) for r in winners.collect()}
     assert got == {
         1: ("upsert", "other"),
