@@ -209,7 +209,7 @@ UNION ALL SELECT *, 'upper' FROM customers WHERE id = 200""",
 SELECT topic, "offset", CAST(id AS VARCHAR) AS message_key, op,
   CASE WHEN outcome NOT IN ('error_tombstone', 'error_malformed') THEN ts_ms END AS ts_ms,
   CASE WHEN outcome NOT IN ('error_tombstone', 'error_malformed')
-    THEN make_timestamp(ts_ms * 1000) END AS event_time,
+    THEN ts_ms * 1000 END AS event_micros,
   CASE WHEN outcome IN ('error_tombstone', 'error_malformed') THEN NULL
     WHEN is_upper THEN '{{"schema":"DBZUSER","table":"CUSTOMERS"}}'
     ELSE '{{"schema":"public","table":"customers"}}' END AS source,
@@ -234,7 +234,7 @@ SELECT event_id,
 FROM events""",
     "typed_columns": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-  CAST(o_orderdate AS DATE) AS o_day FROM orders""",
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_day FROM orders""",
     "dead_letters": f"""WITH {LOG} SELECT {_DEAD} FROM log WHERE {_NOT_VALID}""",
     "op_labels": f"""WITH {FEED}
 SELECT topic, "offset", op, CASE op WHEN 'c' THEN 'create' WHEN 'u' THEN 'update'

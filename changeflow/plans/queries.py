@@ -193,7 +193,7 @@ def decode_envelope(spark: SparkSession, sf: str) -> DataFrame:
         "message_key",
         "op",
         "ts_ms",
-        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+        F.unix_micros("event_time").alias("event_micros"),
         "source",
         "has_before",
         "has_after",
@@ -236,8 +236,12 @@ def typed_columns(spark: SparkSession, sf: str) -> DataFrame:
     events = snapshot_events(_orders(spark, sf), ORDERS_FEED, CAPTURED_AT)
     key = F.get_json_object("key", "$.O_ORDERKEY").cast("bigint")
     rows = valid_changes(decode(with_position(events, key), ORDERS_FEED))
-    return rows.select(*ORDERS_FEED.targets).withColumn(
-        "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")
+    # As the orders table has it: a time stamp without zone; the day in its usual spelling.
+    return rows.select(*ORDERS_FEED.targets).withColumns(
+        {
+            "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz"),
+            "o_day": F.col("o_day").cast("string"),
+        }
     )
 
 
