@@ -3,8 +3,11 @@
 import pytest
 
 from changeflow import CUSTOMERS_TO_LOWER as LOWER
+from changeflow.operators import merge, quality
+from changeflow.operators.capture import diff_events
 from changeflow.operators.decode import decode
 from changeflow.sources.log import read_log, stream_log, write_log
+from changeflow.sources.tables import save_bucketed
 from changeflow.sources.workspace import workspace, written
 from changeflow.streaming import apply as streams
 from changeflow.streaming import replica as store
@@ -56,6 +59,15 @@ def test_many_batches_equal_one(spark, case):
     )
 
 
+def test_a_log_in_parquet(spark, case):
+    rows, values, base, path = case
+    write_log(make_log(spark, values), f"{base}/log", file_format="parquet")
+    again = read_log(spark, f"{base}/log", file_format="parquet")
+    assert sorted(r.offset for r in again.collect()) == list(range(len(values)))
+    follow(spark, base, path, file_format="parquet")
+    assert as_state(store.read_replica(spark, path, LOWER)) == replay(rows, values)
+
+
 def test_resume_and_nothing_new(spark, case):
     rows, values, base, path = case
     half = len(values) // 2
@@ -168,10 +180,7 @@ def test_written_table_keeps_rows_and_knows_its_size(spark, tmp_path):
     assert sorted(table.collect()) == sorted(frame.collect())
 
 
-def test_bucketed_replicas_merge_without_moving(spark, tmp_path):
-    from changeflow.operators.merge import apply_batch
-    from changeflow.sources.tables import save_bucketed
-
+def test_bucketed_replicas_do_not_move(spark, tmp_path):
     rows = spark.range(2000).selectExpr(
         "id", "'a' AS first_name", "'b' AS last_name", "CAST(id AS STRING) AS email"
     )
@@ -180,11 +189,31 @@ def test_bucketed_replicas_merge_without_moving(spark, tmp_path):
         "id + 500 AS id", "'new' AS first_name", "last_name", "email", "'upsert' AS outcome"
     )
     changes = save_bucketed(changed, "changes_bucketed", "id", 4, str(tmp_path / "b"))
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
     try:
-        merged = apply_batch(target, changes, LOWER)
-        assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+        merged = merge.apply_batch(target, changes, LOWER)
+        assert exchanges(merged) == 0
         assert merged.count() == 2500
         assert merged.where("first_name = 'new'").count() == 1000
+        upper = changes.select(
+            *[F.col(c.target).alias(c.source) for c in LOWER.columns]
+        )
+        compared = quality.reconcile(target, upper, LOWER)
+        assert exchanges(compared) == 0
+        assert compared.count() == 2500
+        captured = diff_events(target, changes, LOWER, 1)
+        assert exchanges(captured) == 0
+        assert captured.count() == 2500
+        # Against a side that is stored in any other way, only that side moves.
+        moving = rows.repartition(3).withColumn("outcome", F.lit("upsert"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        one_side = merge.apply_batch(target, moving, LOWER)
+        assert one_side.count() == 2000
+        assert exchanges(one_side) == 2  # the repartition above and the move to the buckets
     finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE replica_bucketed")
         spark.sql("DROP TABLE changes_bucketed")
