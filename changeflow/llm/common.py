@@ -43,6 +43,84 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def text_mark(text: Column) -> Column:
+    """A 64-bit mark that tells rows with the same id apart by their text."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+#: Words of 64 bits in the bitmap that spares most rows a shuffle: 2**18, 4 MB, whatever the data.
+BITMAP_WORDS = 1 << 18
+
+
+def _bit(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_WORDS * 64))
+
+
+def perhaps_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``perhaps``: false where ``doc_id`` is surely not among those of ``ids``.
+
+    The ids are hashed into a bitmap of a fixed size, which is broadcast; rows it rules out need
+    not be shuffled for a join. The more ids, the fewer it rules out; results stay the same.
+    """
+    bit = _bit(F.col("doc_id"))
+    words = (
+        ids.select((bit / 64).cast("int").alias("word"), F.pmod(bit, F.lit(64)).cast("int").alias("b"))
+        .distinct()
+        .groupBy("word")
+        .agg(F.expr("bit_or(shiftleft(1L, b))").alias("bits"))
+    )
+    placed = rows.withColumn("word", (bit / 64).cast("int"))
+    has = F.expr(f"shiftright(bits, cast(pmod(pmod(xxhash64(doc_id), {BITMAP_WORDS * 64}), 64) as int)) & 1L") == 1
+    found = placed.join(F.broadcast(words), "word", "left")
+    return found.withColumn("perhaps", F.coalesce(has, F.lit(False))).drop("word", "bits")
+
+
+def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` joined with ``ids`` by ``doc_id``; rows without a partner are mostly not moved."""
+    return perhaps_in(rows, ids.select("doc_id")).filter("perhaps").drop("perhaps").join(ids, "doc_id")
+
+
+def text_mark(text: Column) -> Column:
+    """A 64-bit mark that tells rows with the same id apart by their text."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _keyed(docs: DataFrame, key: Column, id_col: str) -> DataFrame:
+    """All columns in one struct, so that none can clash, with the id and a key beside it."""
+    return docs.select(
+        F.struct(*map(quoted, docs.columns)).alias("row"), quoted(id_col).cast("long").alias("doc_id"), key.alias("key")
+    )
+
+
+def _rows(keyed: DataFrame, names: list[str]) -> DataFrame:
+    return keyed.select(*[F.col("row").getField(c).alias(c) for c in names])
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: Column, id_col: str) -> DataFrame:
+    """Rows of ``docs`` that ``dropped`` (doc_id, key) does not name, with all their columns.
+
+    ``key`` tells texts under one id apart. Only rows whose id may be dropped are moved.
+    """
+    keyed = perhaps_in(_keyed(docs, key, id_col), dropped)
+    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct()
+    looked_up = keyed.filter("perhaps").join(
+        gone, (F.col("key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti"
+    )
+    return _rows(keyed.filter("not perhaps").unionByName(looked_up), docs.columns)
+
+
+def one_of_twins(docs: DataFrame, twins: DataFrame, key: Column, id_col: str) -> DataFrame:
+    """``docs`` with one row left of each (doc_id, key) in ``twins``; other rows stay."""
+    keyed = perhaps_in(_keyed(docs, key, id_col), twins)
+    named = twins.select(F.col("doc_id").alias("twin_id"), F.col("key").alias("twin_key")).distinct()
+    same = (F.col("key") == F.col("twin_key")) & F.col("doc_id").eqNullSafe(F.col("twin_id"))
+    looked_up = keyed.filter("perhaps")
+    others = looked_up.join(named, same, "left_anti").select("row")
+    single = looked_up.join(named, same, "left_semi").groupBy("doc_id", "key").agg(F.first("row").alias("row"))
+    rows = keyed.filter("not perhaps").select("row").unionByName(others).unionByName(single.select("row"))
+    return _rows(rows, docs.columns)
+
+
 def words_of(text: str, fold: bool = False) -> list[bytes]:
     """Words of a text in UTF-8: runs without the six ASCII white space characters.
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import lower_ascii, partitions, quoted, saved, texts
+from changeflow.llm.common import lower_ascii, one_of_twins, partitions, quoted, saved, texts, without
 
 #: What a row weighs besides its text when the load of a group is estimated.
 ROW_BYTES = 64
+#: Leading bytes of a text that splitters hold.
+HEAD = 32
 
 
 def exact_dedup(
@@ -18,7 +20,8 @@ def exact_dedup(
 
     Texts are equal when they are identical after lower-casing A-Z. Spark samples splitters,
     range-partitions the normalised bytes and sorts each range with spilling; the window over
-    equal bytes then compares each row with its neighbour in full.
+    equal bytes then compares each row with its neighbour in full. Splitters hold the first
+    bytes and a hash of the rest, so that what the driver samples stays small whatever the texts.
 
     A text whose copies outweigh one partition is divided into as many parts as it needs, by a
     hash of the id. Each part finds its own survivor, and a second, equal sort of the parts'
@@ -48,10 +51,15 @@ def exact_dedup(
     )
     way = F.when(F.col("ways").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("doc_id"), "ways"))
     dealt = marked.join(F.broadcast(heavy), "mark", "left").select(
-        "doc_id", lower_ascii(F.col("text")).cast("binary").alias("bytes"), way.alias("way")
+        "doc_id", "mark", lower_ascii(F.col("text")).cast("binary").alias("bytes"), way.alias("way")
     )
-    ordered = dealt.repartitionByRange("bytes", "way").sortWithinPartitions("bytes", "way", order)
-    run = Window.partitionBy("bytes", "way").orderBy(order)
+    key = ("head", "mark", "way")
+    ordered = (
+        dealt.withColumn("head", F.substring("bytes", 1, HEAD))
+        .repartitionByRange(*key)
+        .sortWithinPartitions(*key, "bytes", order)
+    )
+    run = Window.partitionBy(*key, "bytes").orderBy(order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.row_number().over(run) == 1
     neighbours = ordered.select(
@@ -112,22 +120,15 @@ def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns."""
-    if not docs.columns:
-        return docs
-    kept = exact_dedup(docs, id_col, text_col, keep).filter("kept")
-    names = docs.columns
-    keyed = docs.select(F.struct(*map(quoted, names)).alias("row"))
-    row_id = F.col("row").getField(id_col).cast("long")
-    row_text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
-    keyed = keyed.select(
-        "row", row_id.alias("doc_id"), F.sha2(lower_ascii(row_text).cast("binary"), 256).alias("text_sha256")
-    )
-    marks = kept.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), "repeated")
-    joined = keyed.join(
-        marks, keyed["doc_id"].eqNullSafe(marks["id"]) & (keyed["text_sha256"] == marks["sha"])
-    )
-    single = joined.filter(~F.col("repeated")).select("row")
-    twins = joined.filter("repeated").groupBy("doc_id", "text_sha256").agg(F.first("row").alias("row"))
-    return single.unionByName(twins.select("row")).select(
-        *[F.col("row").getField(c).alias(c) for c in names]
+    groups = saved(
+        exact_dedup(docs, id_col, text_col, keep)
+        .filter("not kept or repeated")
+        .select("doc_id", F.col("text_sha256").alias("key"), "kept"),
+        "exact-dedup",
     )
+    normal = lower_ascii(F.coalesce(quoted(text_col).cast("string"), F.lit("")))
+    key = F.sha2(normal.cast("binary"), 256)
+    # A kept row and its twins have the same id and text, so both kinds of rows name it.
+    twins = groups.filter("kept")
+    dropped = groups.filter("not kept").join(twins.select("doc_id", "key"), ["doc_id", "key"], "left_anti")
+    return one_of_twins(without(docs, dropped, key, id_col), twins, key, id_col)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import quoted, saved, texts, words_of
+from changeflow.llm.common import quoted, rows_of, saved, texts, words_of
 
 #: Buckets that words and pairs of words are hashed into.
 BUCKETS = 10_007
@@ -106,7 +106,7 @@ def resample_quality(
         .select("doc_id")
         .distinct()
     )
-    target = rows.join(good, "doc_id", "left_semi")
+    target = rows_of(rows, good)
     raw_model, target_model = bucket_model(rows, buckets), bucket_model(target, buckets)
     uniform_model = np.allclose(target_model, target_model[0])
     ratio = np.zeros(buckets) if uniform_model else target_model - raw_model

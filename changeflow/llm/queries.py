@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.llm.chat import preference_turns, swapped_replies, tokenized
+from changeflow.llm.decontaminate import find_contaminated
 from changeflow.llm.exact_dedup import exact_dedup
+from changeflow.llm.ngram_join import ngram_components
+from changeflow.llm.packing import pack_documents
+from changeflow.llm.phrase_dedup import remove_repeats
+from changeflow.llm.quality import resample_quality
 from changeflow.llm.secrets import scan_secrets
+from changeflow.llm.token_files import token_digests, write_token_files
+from changeflow.llm.toxicity import score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +26,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "items", "coverage")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -30,10 +52,40 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(write_token_files(table(spark, sf_dir, "documents")))
+
+
+def op9_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, pairs = swapped_replies(table(spark, sf_dir, "conversations"))
+    return tokenized(preference_turns(turns, pairs)).drop("ids", "mask")
+
+
+def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_ngram_join,
+        op3_decontamination,
+        op4_best_fit_packing,
         op5_secret_scan,
+        op6_toxicity,
+        op7_quality,
+        op8_token_files,
+        op9_preference_chat,
+        op10_phrase_dedup,
     )
 }

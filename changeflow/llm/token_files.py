@@ -126,7 +126,7 @@ def _writer(path: str, tokenizer: str, end_id: int) -> Callable:
                 file = f"{path}/tokens-{part:05d}-{uuid.uuid4().hex}.zst"
                 system, place = _open(file)
                 system.create_dir(place.rpartition("/")[0], recursive=True)
-                out = system.open_output_stream(place)
+                out = system.open_output_stream(place, compression=None)
                 writer = TokenFileWriter(out, width)
             ids = batch["doc_id"].astype("Int64")
             for i in range(0, len(batch), 500):

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import quoted, saved, texts
+from changeflow.llm.common import quoted, rows_of, saved, text_mark, texts
 
 #: Symbols have five bits: 26 letters, white space, digits and four kinds of other signs.
 BITS = 5
@@ -165,7 +165,7 @@ def score_toxicity(
     threshold: float = 0.3,
     fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, held_out, score, predicted``.
+    """One row per input row: ``doc_id, text_mark, held_out, score, predicted``.
 
     Rows of fold 2 are held out: their labels are never used. The counts of both models cover
     every labelled row of folds 0 and 1, and the two weights that turn the evidence into a score are
@@ -185,7 +185,7 @@ def score_toxicity(
         .filter("doc_id is not null and label in (0, 1)")
         .distinct()
     )
-    learn = rows.filter(fold(F.col("doc_id")) < 2).join(known.filter(fold(F.col("doc_id")) < 2), "doc_id")
+    learn = rows_of(rows, known.filter(fold(F.col("doc_id")) < 2))
     counts = class_counts(learn.select("text", "label"), order).toPandas()
     seen, unseen = ratios(counts, order)
     both = len(counts) and counts["toxic"].any() and counts["ordinary"].any()
@@ -196,11 +196,14 @@ def score_toxicity(
         for b in batches:
             found = [evidence(t, *tables, order) for t in b["text"]]
             mean, peak = zip(*found, strict=True) if found else ((), ())
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "mean": mean, "peak": peak}).astype(
-                {"mean": float, "peak": float}
-            )
+            yield pd.DataFrame(
+                {"doc_id": b["doc_id"].astype("Int64"), "text_mark": b["text_mark"], "mean": mean, "peak": peak}
+            ).astype({"mean": float, "peak": float})
 
-    weighed = saved(rows.mapInPandas(weigh, "doc_id long, mean double, peak double"), "toxicity")
+    marked = rows.withColumn("text_mark", text_mark(F.col("text")))
+    weighed = saved(
+        marked.mapInPandas(weigh, "doc_id long, text_mark long, mean double, peak double"), "toxicity"
+    )
     fit = (
         weighed.filter(fold(F.col("doc_id")) == 3)
         .join(known, "doc_id")
@@ -215,5 +218,5 @@ def score_toxicity(
         w = fit_weights(fit[["mean", "peak"]].to_numpy(), fit["label"].to_numpy(float))
         z = F.lit(float(w[0])) + F.col("mean") * float(w[1]) + F.col("peak") * float(w[2])
         score = 1 / (1 + F.exp(-z))
-    scored = weighed.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    scored = weighed.select("doc_id", "text_mark", held_out.alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
