@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import quoted
-from changeflow.llm.tokens import TextEncoder, default_tokenizer
+from changeflow.llm.tokens import default_tokenizer, encoder_for
 
 #: How a turn is written; the role of a null is empty.
 TURN = "<|{role}|>\n{text}\n"
@@ -26,7 +26,7 @@ def clean_turns(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, t
     return (
         turns.select(
             quoted(conv_col).cast("long").alias("conv"),
-            quoted(turn_col).cast("int").alias("turn"),
+            quoted(turn_col).cast("long").alias("turn"),
             F.struct(
                 F.coalesce(quoted(role_col).cast("string"), empty).alias("role"),
                 F.coalesce(quoted(text_col).cast("string"), empty).alias("text"),
@@ -113,7 +113,7 @@ def tokenized(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or default_tokenizer()
 
     def encode(batches):
-        encoder = TextEncoder(path)
+        encoder = encoder_for(path)
         for b in batches:
             found = [x for i in range(0, len(b), 500) for x in encoder.encode(b["rendered"][i : i + 500].tolist())]
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in found]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import saved, texts
-from changeflow.llm.tokens import TextEncoder, default_tokenizer
+from changeflow.llm.tokens import default_tokenizer, encoder_for
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, place long"
 #: A kind of sequence: how many there are, and (length, how many of it) in order.
@@ -158,7 +158,7 @@ def plan_sequences(counts: dict[int, int], capacity: int) -> list[Kind]:
 
 def _cutter(tokenizer: str, capacity: int, end_id: int) -> Callable:
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = TextEncoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         seen = [0] * (capacity + 1)
         task = TaskContext.get().partitionId()

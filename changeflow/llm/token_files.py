@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import saved, texts
-from changeflow.llm.tokens import TextEncoder, default_tokenizer
+from changeflow.llm.tokens import default_tokenizer, encoder_for, largest_id
 from changeflow.sources.workspace import workspace
 
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC, CHECKED = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -109,7 +109,7 @@ class TokenFile:
         return data if self.width == 4 else np.frombuffer(data, f"<u{self.width}").astype("<u4").tobytes()
 
 
-def _writer(path: str, tokenizer: str, end_id: int) -> Callable:
+def _writer(path: str, tokenizer: str, end_id: int, largest: int) -> Callable:
     def write(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = writer = None
         n_ids = 0
@@ -117,9 +117,8 @@ def _writer(path: str, tokenizer: str, end_id: int) -> Callable:
             if not len(batch):
                 continue
             if writer is None:
-                encoder = TextEncoder(tokenizer)
-                width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-                encoder.kind = f"<u{width}"
+                width = 2 if max(largest, end_id) < 1 << 16 else 4
+                encoder = encoder_for(tokenizer, width)
                 end = np.array([end_id], encoder.kind).tobytes()
                 # A name of its own for each attempt: the manifest lists the one that counts.
                 part = TaskContext.get().partitionId()
@@ -160,11 +159,13 @@ def write_token_files(
     manifest has the file of the attempt that Spark committed.
     """
     path = path or workspace(docs.sparkSession, "token-files")
+    tokenizer = tokenizer or default_tokenizer()
+    largest = largest_id(tokenizer)
     rows = texts(docs, id_col, text_col)
     ties = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id"), ties).sortWithinPartitions(F.col("doc_id"), ties)
     return saved(
-        ordered.mapInPandas(_writer(path, tokenizer or default_tokenizer(), end_id), MANIFEST), "token-manifest"
+        ordered.mapInPandas(_writer(path, tokenizer, end_id, largest), MANIFEST), "token-manifest"
     )
 
 

@@ -15,9 +15,9 @@ from changeflow.llm.common import quoted, rows_of, saved, text_mark, texts
 #: Symbols have five bits: 26 letters, white space, digits and four kinds of other signs.
 BITS = 5
 SPACE, DIGIT, STOP, QUOTE, SIGN, OTHER = 26, 27, 28, 29, 30, 31
-ORDER = 5
+ORDER = 4
 #: Length of the passages whose highest mean is the second feature.
-PASSAGE = 64
+PASSAGE = 16
 DISCOUNT = 0.75
 #: Labelled rows that the two weights are fitted on, at most.
 FIT_ROWS = 20_000

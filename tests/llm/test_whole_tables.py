@@ -101,3 +101,26 @@ def test_phrase_dedup(spark, sf_dir, documents):
     got = [tuple(r) for r in QUERIES["op10_phrase_dedup"](spark, sf_dir).collect()]
     assert sorted(got) == sorted(plain.repeats(documents, 50))
     assert any(r[2] for r in got)
+
+
+def test_pipeline(spark, sf_dir):
+    """Each stage on its own input: what it drops and keeps, and what the last one packs."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r["doc_id"], r["text"]) for r in docs.collect()]
+        after = stage(spark, docs, sf_dir)
+        left = {r["doc_id"] for r in after.collect()}
+        assert left <= {i for i, _ in before}
+        if name == "exact dedup":
+            assert left == {best for _, best, _, _ in plain.exact(before, min)}
+        if name == "n-gram jaccard join":
+            want = plain.jaccard(before, 5, 80)
+            assert left == {c for _, c in want.values()}
+        if name == "benchmark decontamination":
+            items = pq.read_table(f"{sf_dir}/benchmark.parquet")["text"].to_pylist()
+            assert not any(item in text for i, text in before if i in left for item in items)
+        if name == "best-fit packing":
+            assert left == {i for i, _ in before}
+        docs = after
