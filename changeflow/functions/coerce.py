@@ -10,35 +10,48 @@ from changeflow.model import Column
 KEY_POLICIES = ("reference", "strict")
 
 
-def coerce_key(text: str, policy: str = "reference") -> str:
-    """SQL for the BIGINT key of a text, NULL when the key cannot be used.
+def coerce_key(text: str, policy: str = "reference", type_: str = "bigint") -> str:
+    """SQL for a key of a text, NULL when the key cannot be used.
 
-    A fraction is cut off and a whole double such as ``1.0`` counts as an integer.
-    Under ``reference`` a missing or non-numeric text becomes 0; under ``strict`` those
-    and fractions are unusable. Booleans and numbers beyond BIGINT are unusable always.
+    A text key is the text, a date its days. For integers a fraction is cut off and a whole double
+    such as ``1.0`` counts as an integer. Under ``reference`` a missing or non-numeric text becomes
+    0; under ``strict`` those and fractions are unusable. Booleans and numbers beyond the type are
+    unusable always.
     """
     if policy not in KEY_POLICIES:
         raise ValueError(f"unknown key policy {policy!r}")
+    if type_ == "string":
+        return text
+    if type_ == "date_days":
+        return f"date_from_unix_date(try_cast({text} AS INT))"
     number = f"try_cast({text} AS DOUBLE)"
     whole = f"coalesce(try_cast({text} AS BIGINT), try_cast({number} AS BIGINT))"
+    fits = whole if type_ == "bigint" else f"try_cast({whole} AS {type_})"
     if policy == "strict":
-        return f"CASE WHEN CAST({whole} AS DOUBLE) = {number} THEN {whole} END"
+        return f"CASE WHEN CAST({whole} AS DOUBLE) = {number} THEN {fits} END"
     return f"""CASE WHEN {text} IN ('true', 'false') THEN NULL
-      WHEN {number} IS NULL THEN 0 ELSE {whole} END"""
+      WHEN {number} IS NULL THEN CAST(0 AS {type_}) ELSE {fits} END"""
 
 
 def coerce_value(text: str, column: Column, empty_is_null: bool = False) -> str:
-    """SQL for the replica value of a text; NULL when the text does not fit the type."""
+    """SQL for the replica value of a text; NULL when the text does not fit the type.
+
+    A number with a fraction does not fit an integer column; ``2.0`` does.
+    """
     if column.type == "string":
         return f"nullif({text}, '')" if empty_is_null else text
     if column.type == "double":
         return f"try_cast({text} AS DOUBLE)"
+    whole = "BIGINT" if column.type == "timestamp_millis" else "INT"
+    whole = column.type if column.type in ("bigint", "int") else whole
+    digits = f"IF({text} RLIKE '^[+-]?[0-9]+$', try_cast({text} AS {whole}), NULL)"
+    number = f"try_cast({text} AS DOUBLE)"
+    exact = f"coalesce({digits}, IF({number} = floor({number}), try_cast({number} AS {whole}), NULL))"
     if column.type == "timestamp_millis":
-        return from_millis(f"try_cast({text} AS BIGINT)")
+        return from_millis(exact)
     if column.type == "date_days":
-        return f"date_from_unix_date(try_cast({text} AS INT))"
-    exact = f"try_cast({text} AS {column.type})"
-    return f"coalesce({exact}, try_cast(try_cast({text} AS DOUBLE) AS {column.type}))"
+        return f"date_from_unix_date({exact})"
+    return exact
 
 
 def from_millis(millis: str) -> str:

@@ -18,6 +18,7 @@ DELETE_OP = "d"
 # Every record gets exactly one of these outcomes; only the first two change a replica.
 UPSERT = "upsert"
 DELETE = "delete"
+ERROR_TORN = "error_torn"
 ERROR_TOMBSTONE = "error_tombstone"
 ERROR_MALFORMED = "error_malformed"
 ERROR_MISSING_COLUMN = "error_missing_column"
@@ -29,6 +30,10 @@ SKIP_NO_AFTER = "skip_no_after"
 SKIP_NO_BEFORE_KEY = "skip_no_before_key"
 VALID_OUTCOMES = (UPSERT, DELETE)
 
+# A change row has the columns of its replica and one struct with everything else, under this
+# name, so that a table may call its columns whatever it likes otherwise.
+CHANGE = "_change"
+
 # How a column travels in the JSON: SQL type of the replica column by mapping type.
 # Decimals are sent as doubles, timestamps as epoch milliseconds, dates as epoch days.
 SQL_TYPES = {
@@ -39,6 +44,14 @@ SQL_TYPES = {
     "timestamp_millis": "timestamp",
     "date_days": "date",
 }
+# Types a key may have: those whose text names one value.
+KEY_TYPES = ("bigint", "int", "string", "date_days")
+
+
+def ident(name: str) -> str:
+    """A column name as SQL identifier, whatever characters it has."""
+    escaped = name.replace("`", "``")
+    return f"`{escaped}`"
 
 
 @dataclass(frozen=True)
@@ -53,7 +66,9 @@ class Column:
 
 @dataclass(frozen=True)
 class TableMapping:
-    """How the feed of one table is written to its replica. The first column is the key.
+    """How the feed of one table is written to its replica.
+
+    The first ``key_columns`` columns are the key.
 
     ``length_unit`` and ``empty_is_null`` describe the replica that receives the rows:
     whether its text limits count characters or bytes, and whether it stores an empty
@@ -64,6 +79,7 @@ class TableMapping:
     columns: tuple[Column, ...]
     length_unit: str = "characters"
     empty_is_null: bool = False
+    key_columns: int = 1
 
     def __post_init__(self) -> None:
         if self.length_unit not in ("characters", "bytes"):
@@ -71,19 +87,28 @@ class TableMapping:
         unknown = [c.type for c in self.columns if c.type not in SQL_TYPES]
         if unknown:
             raise ValueError(f"unknown column types {unknown}")
+        if not 1 <= self.key_columns <= len(self.columns):
+            raise ValueError("a key has at least one column and at most all of them")
+        unfit = [c.type for c in self.key_fields if c.type not in KEY_TYPES]
+        if unfit:
+            raise ValueError(f"a key cannot have the types {unfit}")
+        for names in (self.targets, [c.source for c in self.columns]):
+            if len(set(names)) < len(names) or CHANGE in names:
+                raise ValueError(f"column names must be unique and not {CHANGE!r}: {names}")
 
     @property
-    def key(self) -> str:
-        return self.columns[0].target
+    def key_fields(self) -> tuple[Column, ...]:
+        return self.columns[: self.key_columns]
 
     @property
-    def source_key(self) -> str:
-        return self.columns[0].source
+    def keys(self) -> list[str]:
+        """Names of the key in the replica."""
+        return [c.target for c in self.key_fields]
 
     @property
     def payload(self) -> tuple[Column, ...]:
         """The columns behind the key."""
-        return self.columns[1:]
+        return self.columns[self.key_columns :]
 
     @property
     def targets(self) -> list[str]:
@@ -91,7 +116,7 @@ class TableMapping:
 
     @property
     def replica_schema(self) -> str:
-        return ", ".join(f"{c.target} {SQL_TYPES[c.type]}" for c in self.columns)
+        return ", ".join(f"{ident(c.target)} {SQL_TYPES[c.type]}" for c in self.columns)
 
 
 # The two directions of the customers table. Topic names, column names in

@@ -7,17 +7,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.coerce import to_wire
-from changeflow.model import TableMapping
+from changeflow.model import CHANGE, TableMapping
+from changeflow.operators.merge import named, same_key, same_payload
 
 # Explicit nulls are part of an envelope: a null column is not a missing column.
 _WITH_NULLS = {"ignoreNullFields": "false"}
 
 
-def _image(mapping: TableMapping, prefix: str = "") -> SparkColumn:
+def _image(mapping: TableMapping, side: str = "") -> SparkColumn:
     """A replica row under the column names of the feed."""
-    return F.struct(
-        *[to_wire(F.col(f"{prefix}{c.target}"), c).alias(c.source) for c in mapping.columns]
-    )
+    values = zip(named(mapping.targets, side), mapping.columns)
+    return F.struct(*[to_wire(v, c).alias(c.source) for v, c in values])
 
 
 def _records(
@@ -26,11 +26,11 @@ def _records(
     op: SparkColumn,
     before: SparkColumn,
     after: SparkColumn,
-    key: SparkColumn,
+    key: list[SparkColumn],
     ts_ms: int | SparkColumn,
 ) -> DataFrame:
     ts_ms = ts_ms if isinstance(ts_ms, SparkColumn) else F.lit(ts_ms).cast("bigint")
-    _, schema, table = mapping.topic.split(".")
+    _, schema, table = mapping.topic.rsplit(".", 2)
     envelope = F.struct(
         op.alias("op"),
         before.alias("before"),
@@ -38,43 +38,43 @@ def _records(
         F.struct(F.lit(schema).alias("schema"), F.lit(table).alias("table")).alias("source"),
         ts_ms.alias("ts_ms"),
     )
+    row_key = F.struct(*[to_wire(k, c).alias(c.source) for k, c in zip(key, mapping.key_fields)])
     return df.select(
         F.lit(mapping.topic).alias("topic"),
-        F.to_json(F.struct(key.alias(mapping.source_key))).alias("key"),
+        F.to_json(row_key).alias("key"),
         F.to_json(envelope, _WITH_NULLS).alias("value"),
+        ts_ms.alias("ts_ms"),
+        row_key.alias("row_key"),
     )
 
 
 def snapshot_events(table: DataFrame, mapping: TableMapping, ts_ms: int | SparkColumn) -> DataFrame:
-    """One ``r`` event per row, ``topic, key, value``. Narrow."""
-    row = _image(mapping)
-    return _records(
-        table, mapping, F.lit("r"), F.lit(None).cast("string"), row, F.col(mapping.key), ts_ms
-    )
+    """One ``r`` event per row: ``topic, key, value``, and the time and key as columns. Narrow."""
+    nothing = F.lit(None).cast("string")
+    key = named(mapping.keys)
+    return _records(table, mapping, F.lit("r"), nothing, _image(mapping), key, ts_ms)
 
 
 def diff_events(
     old: DataFrame, new: DataFrame, mapping: TableMapping, ts_ms: int | SparkColumn
 ) -> DataFrame:
-    """The events that lead from one state of a table to another, ``topic, key, value``.
+    """The events that lead from one state of a table to another, as ``snapshot_events`` has them.
 
     ``c``, ``u`` and ``d`` carry full images; a changed key becomes a ``d`` and a ``c``.
     """
-    a = old.select(*mapping.targets).withColumn("_found", F.lit(True)).alias("a")
-    b = new.select(*mapping.targets).withColumn("_found", F.lit(True)).alias("b")
-    joined = a.join(b, F.col(f"a.{mapping.key}") == F.col(f"b.{mapping.key}"), "full_outer")
-    in_a, in_b = F.col("a._found").isNotNull(), F.col("b._found").isNotNull()
-    same = F.lit(True)
-    for c in mapping.payload:
-        same = same & F.col(f"a.{c.target}").eqNullSafe(F.col(f"b.{c.target}"))
+    columns = named(mapping.targets)
+    a = old.select(*columns).withColumn(CHANGE, F.lit(True)).alias("a")
+    b = new.select(*columns).withColumn(CHANGE, F.lit(True)).alias("b")
+    joined = a.join(b, same_key(mapping, "a", "b"), "full_outer")
+    in_a, in_b = F.col(f"a.{CHANGE}").isNotNull(), F.col(f"b.{CHANGE}").isNotNull()
     op = F.when(~in_a, "c").when(~in_b, "d").otherwise("u")
     return _records(
-        joined.where(~(in_a & in_b & same)),
+        joined.where(~(in_a & in_b & same_payload(mapping, "a", "b"))),
         mapping,
         op,
-        F.when(in_a, _image(mapping, "a.")),
-        F.when(in_b, _image(mapping, "b.")),
-        F.coalesce(F.col(f"a.{mapping.key}"), F.col(f"b.{mapping.key}")),
+        F.when(in_a, _image(mapping, "a")),
+        F.when(in_b, _image(mapping, "b")),
+        [F.coalesce(p, q) for p, q in zip(named(mapping.keys, "a"), named(mapping.keys, "b"))],
         ts_ms,
     )
 
@@ -83,7 +83,8 @@ def with_position(events: DataFrame, offset: str | SparkColumn, partition=0) ->
     """Give captured events a place in a file log. A broker assigns its own instead.
 
     Within one key the offsets must grow with time; a capture holds at most one event per
-    key, so any number above those already in the log will do.
+    key, so any number above those already in the log will do. ``offset`` may use the captured
+    columns ``ts_ms`` and ``row_key``, so that nothing is parsed back out of the event.
     """
     offset = F.expr(offset) if isinstance(offset, str) else offset
     partition = partition if isinstance(partition, SparkColumn) else F.lit(partition)
@@ -91,7 +92,7 @@ def with_position(events: DataFrame, offset: str | SparkColumn, partition=0) ->
         "topic",
         partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),
-        F.timestamp_millis(F.get_json_object("value", "$.ts_ms").cast("bigint")).alias("timestamp"),
+        F.timestamp_millis("ts_ms").alias("timestamp"),
         "key",
         "value",
     )

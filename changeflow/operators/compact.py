@@ -7,19 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.model import CHANGE, ident
+
 # A key stays in one partition of its topic, where offsets grow with arrival, so the
 # offset alone orders the changes of a key; the partition only makes ties impossible.
-ARRIVAL = ("offset", "partition")
+ARRIVAL = (f"{CHANGE}.offset", f"{CHANGE}.partition")
 
 
-def latest_per_key(changes: DataFrame, key: str, order: Sequence[str] = ARRIVAL) -> DataFrame:
+def latest_per_key(
+    changes: DataFrame, keys: str | Sequence[str], order: Sequence[str] = ARRIVAL
+) -> DataFrame:
     """One row per key, the one that is last in ``order``.
 
     ``max_by`` is combined before the shuffle, so a task sends at most one row per key and
     a key that holds a third of the log costs no more than any other. Filter to valid
     changes first: a later bad record must not hide an earlier good one. For a source whose
-    offsets can start over put the batch first, ``("batch_id", "offset")``.
+    offsets can start over put the batch first, ``("batch_id", *ARRIVAL)``.
     """
-    payload = F.struct(*[F.col(c) for c in changes.columns if c != key])
-    last = F.max_by(payload, F.struct(*order)).alias("_last")
-    return changes.groupBy(key).agg(last).select(key, "_last.*").select(*changes.columns)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    rest = [c for c in changes.columns if c not in keys]
+    last = F.max_by(F.struct(*[F.col(ident(c)) for c in rest]), F.struct(*order)).alias(CHANGE)
+    combined = changes.groupBy(*[F.col(ident(k)) for k in keys]).agg(last)
+    return combined.select(
+        *[F.col(ident(c)) if c in keys else F.col(CHANGE)[c].alias(c) for c in changes.columns]
+    )

@@ -23,6 +23,8 @@ from changeflow.functions.json_text import (
 )
 from changeflow.model import Column, TableMapping
 
+# Columns that are worked on in one step.
+BLOCK = 5
 _ENVELOPE = f"op string, before {TEXT_MAP}, after {TEXT_MAP}, ts_ms string, _flawed string"
 
 
@@ -86,75 +88,123 @@ def _parse(log: DataFrame) -> DataFrame:
 def decode(log: DataFrame, mapping: TableMapping, key_policy: str = "reference") -> DataFrame:
     """Decode and classify the records of ``mapping.topic``.
 
-    Returns the log columns, ``message_key`` (the key field of the record key), ``op``,
+    Returns the log columns, ``message_key`` (the first key field of the record key), ``op``,
     ``ts_ms``, ``event_time``, ``source`` (as JSON text), ``has_before``, ``has_after``,
-    ``outcome``, ``reason`` and the replica columns, which are filled for the outcomes
-    ``upsert`` and ``delete`` (key only) alone. Narrow: no shuffle, no Python. Only columns
-    that are used cost anything.
+    ``outcome``, ``reason`` and ``row``, a struct of the replica columns, which are filled for the
+    outcomes ``upsert`` and ``delete`` (key only) alone. Narrow: no shuffle, no Python. Only
+    columns that are used cost anything.
     """
-    df = _parse(log.where(F.col("topic") == mapping.topic))
-    # Small steps, each column computed once: one large expression would make a method that
-    # the JVM refuses to compile.
+    log = log.where(F.col("topic") == mapping.topic)
+    kept = [c for c in log.columns if c != "torn"]
+    df = _parse(log)
+    # Small steps, each column computed once and few columns at a time: one large expression
+    # would make a method that the JVM refuses to compile.
+    n = mapping.key_columns
     columns = list(enumerate(mapping.columns))
-    df = also(df, **{f"_place{i}": place_of("_names", c.source) for i, c in columns})
-    df = also(df, **{f"_text{i}": value_at("_values", f"_place{i}") for i, _ in columns})
-    values = {
-        f"_value{i}": coerce_value(f"_text{i}", c, mapping.empty_is_null) for i, c in columns[1:]
-    }
-    df = also(df, _value0=coerce_key("_text0", key_policy), **values)
-
+    blocks = [columns[i : i + BLOCK] for i in range(0, len(columns), BLOCK)]
+    for b, block in enumerate(blocks):
+        df = also(df, **{f"_place{i}": place_of("_names", c.source) for i, c in block})
+        df = also(df, **{f"_text{i}": value_at("_values", f"_place{i}") for i, _ in block})
+        df = also(df, **{f"_value{i}": _value(i, c, mapping, key_policy) for i, c in block})
+        missing = [(c, f"_place{i} IS NULL") for i, c in block]
+        broken = [(c, rule) for i, c in block if (rule := _breaks(i, c, mapping, n)) is not None]
+        # Projections in a row become one method; a generator between them starts another one.
+        add = also if len(blocks) == 1 else settled
+        done = {
+            f"_row{b}": f"named_struct({', '.join(f'{_q(i)}, _value{i}' for i, _ in block)})",
+            f"_missing{b}": _listed(missing),
+            f"_broken{b}": _listed(broken),
+        }
+        keys = [i for i, _ in block if i < n]
+        if keys:
+            done |= {
+                f"_no_key{b}": " OR ".join(f"_place{i} IS NULL" for i in keys),
+                f"_bad_key{b}": " OR ".join(f"_value{i} IS NULL" for i in keys),
+                f"_bad_text{b}": f"coalesce({', '.join(f'IF(_value{i} IS NULL, _text{i}, NULL)' for i in keys)}, NULL)",
+            }
+        df = add(df, **done)
+        if len(blocks) > 1:
+            df = df.drop(*[f"_{kind}{i}" for i, _ in block for kind in ("place", "text", "value")])
+    key_blocks = range(-(-n // BLOCK))
+    any_of = lambda name: " OR ".join(f"{name}{b} IS NOT NULL" for b in range(len(blocks)))
+    all_of = lambda name: f"concat_ws(',', {', '.join(f'{name}{b}' for b in range(len(blocks)))})"
+    df = also(
+        df,
+        _missing=f"CASE WHEN {any_of('_missing')} THEN {all_of('_missing')} END",
+        _broken=f"CASE WHEN {any_of('_broken')} THEN {all_of('_broken')} END",
+        _no_key=" OR ".join(f"_no_key{b}" for b in key_blocks),
+        _bad_key=" OR ".join(f"_bad_key{b}" for b in key_blocks),
+        _bad_text=f"coalesce({', '.join(f'_bad_text{b}' for b in key_blocks)}, NULL)",
+    )
+    torn = "coalesce(torn, FALSE)" if "torn" in log.columns else "FALSE"
     upserts, deletes = f"_op IN {_in(m.UPSERT_OPS)}", f"_op = {quoted(m.DELETE_OP)}"
-    missing = [(c, f"_place{i} IS NULL") for i, c in columns]
-    broken = [(c, _breaks(i, c, mapping)) for i, c in columns[1:]]
-    broken = [(c, rule) for c, rule in broken if rule is not None]
-    any_missing = " OR ".join(rule for _, rule in missing)
-    any_broken = " OR ".join(rule for _, rule in broken) or "FALSE"
     df = settled(
         df,
         outcome=f"""CASE
+          WHEN {torn} THEN '{m.ERROR_TORN}'
           WHEN _tombstone THEN '{m.ERROR_TOMBSTONE}'
           WHEN _blank THEN '{m.SKIP_NO_OP}'
           WHEN _malformed THEN '{m.ERROR_MALFORMED}'
           WHEN _no_op THEN '{m.SKIP_NO_OP}'
           WHEN _op IS NULL OR _op NOT IN {_in(m.OP_NAMES)} THEN '{m.SKIP_UNKNOWN_OP}'
           WHEN {upserts} AND NOT _has_after THEN '{m.SKIP_NO_AFTER}'
-          WHEN {upserts} AND ({any_missing}) THEN '{m.ERROR_MISSING_COLUMN}'
-          WHEN {deletes} AND _place0 IS NULL THEN '{m.SKIP_NO_BEFORE_KEY}'
-          WHEN _value0 IS NULL THEN '{m.ERROR_BAD_KEY}'
-          WHEN {upserts} AND ({any_broken}) THEN '{m.ERROR_CONSTRAINT}'
+          WHEN {upserts} AND _missing IS NOT NULL THEN '{m.ERROR_MISSING_COLUMN}'
+          WHEN {deletes} AND _no_key THEN '{m.SKIP_NO_BEFORE_KEY}'
+          WHEN _bad_key THEN '{m.ERROR_BAD_KEY}'
+          WHEN {upserts} AND _broken IS NOT NULL THEN '{m.ERROR_CONSTRAINT}'
           WHEN {upserts} THEN '{m.UPSERT}'
           ELSE '{m.DELETE}' END""",
-        op="_op",
-        ts_ms="_ts_ms",
-        has_before="_has_before",
-        has_after="_has_after",
+        op=f"IF({torn}, NULL, _op)",
+        ts_ms=f"IF({torn}, NULL, _ts_ms)",
+        has_before=f"NOT {torn} AND _has_before",
+        has_after=f"NOT {torn} AND _has_after",
     )
     reason = f"""CASE outcome
-      WHEN '{m.ERROR_MISSING_COLUMN}' THEN {_listed(missing)}
-      WHEN '{m.ERROR_CONSTRAINT}' THEN {_listed(broken)}
-      WHEN '{m.ERROR_BAD_KEY}' THEN _text0
+      WHEN '{m.ERROR_MISSING_COLUMN}' THEN _missing
+      WHEN '{m.ERROR_CONSTRAINT}' THEN _broken
+      WHEN '{m.ERROR_BAD_KEY}' THEN _bad_text
       WHEN '{m.SKIP_UNKNOWN_OP}' THEN op END"""
     valid = f"outcome IN {_in(m.VALID_OUTCOMES)}"
+    source = f"IF(_malformed OR {torn}, NULL, get_json_object(value, '$.source'))"
+
+    def field(i: int, c: Column) -> str:
+        filled = valid if i < n else f"outcome = '{m.UPSERT}'"
+        return f"{quoted(c.target)}, IF({filled}, _row{i // BLOCK}.{_c(i)}, NULL)"
+
     return df.selectExpr(
-        *log.columns,
-        f"{last_value(text_map('key'), mapping.source_key)} AS message_key",
+        *kept,
+        f"{last_value(text_map('key'), mapping.columns[0].source)} AS message_key",
         "op",
         "ts_ms",
         f"{from_millis('ts_ms')} AS event_time",
-        "IF(_malformed, NULL, get_json_object(value, '$.source')) AS source",
+        f"{source} AS source",
         "has_before",
         "has_after",
         "outcome",
         f"{reason} AS reason",
-        f"IF({valid}, _value0, NULL) AS {mapping.key}",
-        *[f"IF(outcome = '{m.UPSERT}', _value{i}, NULL) AS {c.target}" for i, c in columns[1:]],
+        f"named_struct({', '.join(field(i, c) for i, c in columns)}) AS row",
     )
 
 
-def _breaks(i: int, column: Column, mapping: TableMapping) -> str | None:
+def _c(i: int) -> str:
+    return f"c{i}"
+
+
+def _q(i: int) -> str:
+    return quoted(_c(i))
+
+
+def _value(i: int, column: Column, mapping: TableMapping, key_policy: str) -> str:
+    if i >= mapping.key_columns:
+        return coerce_value(f"_text{i}", column, mapping.empty_is_null)
+    text = f"nullif(_text{i}, '')" if column.type == "string" and mapping.empty_is_null else f"_text{i}"
+    return coerce_key(text, key_policy, column.type)
+
+
+def _breaks(i: int, column: Column, mapping: TableMapping, n: int) -> str | None:
     """Condition under which the replica would refuse the value; NULL values always fit."""
     if column.type != "string":
-        return f"(_text{i} IS NOT NULL AND _value{i} IS NULL)"
+        return None if i < n else f"(_text{i} IS NOT NULL AND _value{i} IS NULL)"
     if column.max_length is None:
         return None
     size = text_length(f"_value{i}", mapping.length_unit)
@@ -162,9 +212,11 @@ def _breaks(i: int, column: Column, mapping: TableMapping) -> str | None:
 
 
 def _listed(rules) -> str:
-    """Feed names of the columns whose rule holds, as one text."""
+    """Feed names of the columns whose rule holds, as one text; NULL if none does."""
+    if not rules:
+        return "CAST(NULL AS STRING)"
     names = [f"IF({rule}, {quoted(c.source)}, NULL)" for c, rule in rules]
-    return f"concat_ws(',', {', '.join(names)})" if names else "NULL"
+    return f"CASE WHEN {' OR '.join(r for _, r in rules)} THEN concat_ws(',', {', '.join(names)}) END"
 
 
 def valid_changes(decoded: DataFrame) -> DataFrame:
@@ -172,6 +224,13 @@ def valid_changes(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("outcome").isin(*m.VALID_OUTCOMES))
 
 
+def change_rows(decoded: DataFrame, mapping: TableMapping) -> DataFrame:
+    """The valid changes as rows of the replica, all else of a change in one struct."""
+    change = F.struct("outcome", "op", "ts_ms", "topic", "partition", "offset").alias(m.CHANGE)
+    row = [F.col("row")[c].alias(c) for c in mapping.targets]
+    return valid_changes(decoded).select(*row, change)
+
+
 def dead_letters(decoded: DataFrame) -> DataFrame:
     """The records that do not: raw record, outcome and reason."""
     return decoded.where(~F.col("outcome").isin(*m.VALID_OUTCOMES)).select(

@@ -9,37 +9,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.coerce import text_length
-from changeflow.model import VALID_OUTCOMES, TableMapping
+from changeflow.model import CHANGE, VALID_OUTCOMES, TableMapping, ident
+from changeflow.operators.merge import named, same_key
 
 
-def constraint_violations(table: DataFrame, mapping: TableMapping) -> DataFrame:
+def constraint_violations(
+    table: DataFrame, checks: TableMapping | dict[str, TableMapping]
+) -> DataFrame:
     """Rows ``rule, column_name, key, detail`` for every broken rule of the replica.
 
     ``not_null`` and ``unique`` on the key, ``length`` on text columns; ``detail`` is the
-    number of rows with that key or the measured length.
+    number of rows with that key or the measured length. Several mappings of one table with the
+    same key, by name, are checked together and told apart by column ``checked``.
     """
-    key = F.col(mapping.key)
-    checks = []
-    for c in mapping.payload:
-        if c.type == "string" and c.max_length is not None:
-            size = F.expr(text_length(c.target, mapping.length_unit))
-            checks.append(
-                F.when(size > c.max_length, _violation("length", c.target, size))
-            )
-    checks.append(F.when(key.isNull(), _violation("not_null", mapping.key, F.lit(1))))
-    per_row = table.select(key.cast("string").alias("key"), F.inline(F.array_compact(F.array(*checks))))
-    counted = table.where(key.isNotNull()).groupBy(key.cast("string").alias("key")).count()
-    twice = counted.where("count > 1").select(
-        F.lit("unique").alias("rule"),
-        F.lit(mapping.key).alias("column_name"),
+    mappings = checks if isinstance(checks, dict) else {"": checks}
+    first = next(iter(mappings.values()))
+    if any(m.keys != first.keys for m in mappings.values()):
+        raise ValueError("mappings that are checked together need the same key")
+    key = key_text(first)
+    name = ", ".join(first.keys)
+    incomplete = reduce(lambda a, b: a | b, [k.isNull() for k in named(first.keys)])
+    rules = []
+    for checked, mapping in mappings.items():
+        for c in mapping.payload:
+            if c.type == "string" and c.max_length is not None:
+                size = F.expr(text_length(ident(c.target), mapping.length_unit))
+                rules.append(F.when(size > c.max_length, _violation(checked, "length", c.target, size)))
+        rules.append(F.when(incomplete, _violation(checked, "not_null", name, F.lit(1))))
+    per_row = table.select(key.alias("key"), F.inline(F.array_compact(F.array(*rules))))
+    counted = table.where(~incomplete).groupBy(key.alias("key")).count().where("count > 1")
+    twice = counted.select(
         "key",
-        F.col("count").alias("detail"),
+        F.inline(F.array(*[_violation(c, "unique", name, F.col("count")) for c in mappings])),
     )
-    return per_row.select("rule", "column_name", "key", "detail").unionByName(twice)
+    columns = ["rule", "column_name", "key", "detail"]
+    if isinstance(checks, dict):
+        columns = ["checked", *columns]
+    return per_row.select(*columns).unionByName(twice.select(*columns))
+
 
+def key_text(mapping: TableMapping) -> SparkColumn:
+    """The key as text: the value of a single column, else a JSON object."""
+    keys = named(mapping.keys)
+    return keys[0].cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys))
 
-def _violation(rule: str, column: str, detail: SparkColumn) -> SparkColumn:
+
+def _violation(checked: str, rule: str, column: str, detail: SparkColumn) -> SparkColumn:
     return F.struct(
+        F.lit(checked).alias("checked"),
         F.lit(rule).alias("rule"),
         F.lit(column).alias("column_name"),
         detail.cast("bigint").alias("detail"),
@@ -52,7 +69,7 @@ def replica_counts(replicas: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("replica"),
             "row_count",
-            F.concat(F.lit("Table Row Count: "), F.col("row_count").cast("string")).alias("label"),
+            F.concat(F.lit("rows held: "), F.col("row_count").cast("string")).alias("label"),
         )
         for name, df in replicas.items()
     ]
@@ -63,29 +80,32 @@ def reconcile(lower: DataFrame, upper: DataFrame, mapping: TableMapping) -> Data
     """Compare two replicas key by key: ``key, status``.
 
     ``mapping`` leads from the names of ``upper`` to those of ``lower``. Status is ``match``,
-    ``differ``, ``only_lower`` or ``only_upper``. An empty text counts as NULL, because one
+    ``differ``, ``only_lower`` or ``only_upper``; a key of several columns is a struct. An empty text counts as NULL, because one
     side cannot store it.
     """
 
     def plain(df: DataFrame, names: list[str]) -> DataFrame:
         values = [
-            F.nullif(F.col(n), F.lit("")) if c.type == "string" else F.col(n)
-            for n, c in zip(names, mapping.columns)
+            F.nullif(v, F.lit("")) if c.type == "string" else v
+            for v, c in zip(named(names), mapping.columns)
         ]
-        row = F.struct(*[v.alias(c.target) for v, c in zip(values[1:], mapping.payload)])
-        return df.select(values[0].alias("key"), row.alias("row"))
+        values = [v.alias(c.target) for v, c in zip(values, mapping.columns)]
+        n = mapping.key_columns
+        return df.select(*values[:n], F.struct(F.lit(1), *values[n:]).alias(CHANGE))
 
     a = plain(lower, mapping.targets).alias("a")
     b = plain(upper, [c.source for c in mapping.columns]).alias("b")
+    left, right = F.col(f"a.{CHANGE}"), F.col(f"b.{CHANGE}")
     status = (
-        F.when(F.col("b.row").isNull(), "only_lower")
-        .when(F.col("a.row").isNull(), "only_upper")
-        .when(F.col("a.row") == F.col("b.row"), "match")
+        F.when(right.isNull(), "only_lower")
+        .when(left.isNull(), "only_upper")
+        .when(left == right, "match")
         .otherwise("differ")
     )
-    return a.join(b, F.col("a.key") == F.col("b.key"), "full_outer").select(
-        F.coalesce("a.key", "b.key").alias("key"), status.alias("status")
-    )
+    keys = [F.coalesce(p, q) for p, q in zip(named(mapping.keys, "a"), named(mapping.keys, "b"))]
+    key = keys[0] if len(keys) == 1 else F.struct(*[k.alias(n) for k, n in zip(keys, mapping.keys)])
+    joined = a.join(b, same_key(mapping, "a", "b"), "full_outer")
+    return joined.select(key.alias("key"), status.alias("status"))
 
 
 def outcome_stats(decoded: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def change_log(events: DataFrame) -> DataFrame:
 
 def _feed(events: DataFrame, mapping: TableMapping, last_name: str) -> DataFrame:
     key, first, last, mail = [c.source for c in mapping.columns]
-    _, schema, table = mapping.topic.split(".")
+    _, schema, table = mapping.topic.rsplit(".", 2)
     email = "concat('u', user_id, '.', k, '@example.com')"
     row = f"""struct(
       user_id * {ID_STEP} AS {key}, event_type AS {first},

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 UPPER_TOPIC = "oracle.DBZUSER.CUSTOMERS"
 LOWER_TOPIC = "postgres.public.customers"
+DOTTED_TOPIC = "oracle.site-2.west.GEO.REGION"
 CAPTURED_AT = 1704067200000
 
 # One row per event: what its record says and what must become of it.
@@ -130,7 +131,7 @@ log AS (
 
 
 def _captured(topic: str, op: str, before: str, after: str) -> str:
-    _, schema, table = topic.split(".")
+    _, schema, table = topic.rsplit(".", 2)
     return (
         f"""'{{"op":"' || {op} || '","before":' || {before} || ',"after":' || {after} || """
         f"""',"source":{{"schema":"{schema}","table":"{table}"}},"ts_ms":{CAPTURED_AT}}}'"""
@@ -143,11 +144,21 @@ all_topics AS (
   UNION ALL SELECT 'postgres.public.orders' FROM orders
   UNION ALL SELECT 'oracle.DBZUSER.NATION' FROM nation
   UNION ALL SELECT 'oracle.SYS.REGION' FROM region
-  UNION ALL SELECT 'schema-changes.oracle' FROM region)"""
+  UNION ALL SELECT 'oracle.site-2.west.GEO.REGION' FROM region
+  UNION ALL SELECT 'ddl-journal.upper' FROM region)"""
 
 _APPLIED_LOWER = f"WITH {STATES} SELECT * FROM lower_after"
 _APPLIED_UPPER = f"""WITH {STATES} SELECT id AS "ID", first_name AS "FIRST_NAME",
   last_name AS "LAST_NAME", email AS "EMAIL" FROM upper_after"""
+_WINNERS = """
+winners AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, is_upper DESC) AS rank
+    FROM last_own) WHERE rank = 1)"""
+_SYNCED = f"""WITH {FEED}, {_WINNERS},
+merged AS ({_merged("winners")})
+SELECT 'lower' AS side, id, first_name, last_name, email FROM merged
+UNION ALL SELECT 'upper', id, first_name, nullif(last_name, ''), email FROM merged"""
 _DEAD = 'topic, "partition", "offset", key, value, op, outcome, reason'
 _NOT_VALID = "outcome NOT IN ('upsert', 'delete')"
 
@@ -175,10 +186,20 @@ def _documents(unit: str, measure: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     "change_log": f"""WITH {LOG}
 SELECT topic, "partition", "offset", timestamp_ms, key, value FROM log""",
-    "include_list": f"""WITH {LOG} SELECT topic, key, value FROM log""",
+    "include_list": f"""WITH {LOG} SELECT topic, key, value FROM log
+UNION ALL SELECT '{DOTTED_TOPIC}', '{{"R_REGIONKEY":' || r_regionkey || '}}',
+  {_captured(
+      DOTTED_TOPIC,
+      "'r'",
+      "'null'",
+      """'{"R_REGIONKEY":' || r_regionkey || ',"R_NAME":"' || r_name || '"}'""",
+  )} FROM region""",
     "topic_route": f"""WITH {FEED}, {_ALL_TOPICS}
-SELECT topic, split_part(topic, '.', 1) AS origin, nullif(split_part(topic, '.', 2), '')
-    AS schema_name, nullif(split_part(topic, '.', 3), '') AS table_name,
+SELECT topic, CASE WHEN topic LIKE '%.GEO.REGION' THEN 'oracle.site-2.west'
+    ELSE split_part(topic, '.', 1) END AS origin,
+  CASE WHEN topic LIKE '%.GEO.REGION' THEN 'GEO' ELSE split_part(topic, '.', 2) END AS schema_name,
+  CASE WHEN topic LIKE '%.GEO.REGION' THEN 'REGION'
+    ELSE nullif(split_part(topic, '.', 3), '') END AS table_name,
   topic LIKE 'oracle.%' OR topic LIKE 'postgres.%' AS is_feed, count(*) AS records
 FROM all_topics GROUP BY ALL""",
     "snapshot_events": f"""WITH {FEED}
@@ -233,8 +254,11 @@ SELECT event_id,
   CASE WHEN event_type IN ('signup', 'view') THEN event_id END AS strict_key
 FROM events""",
     "typed_columns": """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_day FROM orders""",
+SELECT 'upsert' AS outcome, NULL AS reason, o_orderkey AS key, o_orderkey, o_custkey,
+  o_orderstatus, o_totalprice, o_orderdate, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_day
+FROM orders
+UNION ALL
+SELECT 'error_constraint', 'O_CUSTKEY', o_orderkey, NULL, NULL, NULL, NULL, NULL, NULL FROM orders""",
     "dead_letters": f"""WITH {LOG} SELECT {_DEAD} FROM log WHERE {_NOT_VALID}""",
     "op_labels": f"""WITH {FEED}
 SELECT topic, "offset", op, CASE op WHEN 'c' THEN 'create' WHEN 'u' THEN 'update'
@@ -264,20 +288,73 @@ WHERE CASE WHEN n.outcome = 'delete' THEN o.id IS NOT NULL
     "apply_to_lower": _APPLIED_LOWER,
     "apply_to_upper": _APPLIED_UPPER,
     "publish_roundtrip": _APPLIED_LOWER,
-    "bidirectional_sync": f"""WITH {FEED},
-winners AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, is_upper DESC) AS rank
-    FROM last_own) WHERE rank = 1),
-merged AS ({_merged("winners")})
-SELECT 'lower' AS side, id, first_name, last_name, email FROM merged
-UNION ALL SELECT 'upper', id, first_name, nullif(last_name, ''), email FROM merged""",
+    "bidirectional_sync": _SYNCED,
+    "sync_split": _SYNCED,
+    "stream_sync": _SYNCED,
+    "sync_writes": f"""WITH {STATES}, {_WINNERS},
+own_lower AS (SELECT * FROM last_own WHERE NOT is_upper),
+own_upper AS (SELECT * REPLACE (nullif(last_name, '') AS last_name) FROM last_own WHERE is_upper),
+held_lower AS ({_merged("own_lower")}),
+held_upper AS ({_merged("own_upper")}),
+sent AS (
+  SELECT CASE WHEN is_upper THEN 'lower' ELSE 'upper' END AS side, outcome, id, first_name,
+    CASE WHEN is_upper THEN last_name ELSE nullif(last_name, '') END AS last_name, email FROM winners),
+held AS (SELECT 'lower' AS side, * FROM held_lower UNION ALL SELECT 'upper', * FROM held_upper)
+SELECT s.side, CASE WHEN s.outcome = 'delete' THEN 'delete' WHEN h.id IS NULL THEN 'insert'
+  ELSE 'update' END AS action, s.id, s.first_name, s.last_name, s.email
+FROM sent s LEFT JOIN held h ON s.side = h.side AND s.id = h.id
+WHERE CASE WHEN s.outcome = 'delete' THEN h.id IS NOT NULL ELSE
+  (s.id, s.first_name, s.last_name, s.email)
+    IS DISTINCT FROM (h.id, h.first_name, h.last_name, h.email) END""",
+    "sync_unequal_limits": f"""WITH {FEED},
+wide AS (
+  SELECT * EXCLUDE (last_name, place), CASE WHEN outcome = 'upsert' AND NOT is_upper AND "offset" % 3 = 0
+    THEN repeat('é', 200) ELSE last_name END AS last_name FROM numbered_valid WHERE place = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, is_upper DESC) AS rank,
+    strlen(last_name) > 255 AS too_wide FROM wide),
+winner AS (SELECT * FROM ranked WHERE rank = 1),
+for_upper AS (
+  SELECT * FROM winner WHERE is_upper OR NOT coalesce(too_wide, FALSE)
+  UNION ALL SELECT r.* FROM ranked r JOIN winner w ON r.id = w.id
+  WHERE r.is_upper AND r.rank = 2 AND w.too_wide),
+lower_side AS ({_merged("winner")}),
+upper_side AS ({_merged("for_upper")})
+SELECT 'lower' AS side, 'held' AS outcome, * FROM lower_side
+UNION ALL SELECT 'upper', 'held', id, first_name, nullif(last_name, ''), email FROM upper_side
+UNION ALL SELECT 'upper', 'error_constraint', id, first_name, last_name, email FROM winner
+WHERE NOT is_upper AND too_wide""",
+    "effective_echo": f"""WITH {STATES}
+SELECT 'update' AS action, id, first_name, last_name, email || '.new' AS email
+FROM to_lower WHERE outcome = 'upsert' AND id % 7 = 0""",
+    "text_keys": """
+WITH ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events)
+SELECT CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS outcome,
+  'u' || user_id AS user_name, CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+  nullif(event_type, 'error') AS event_type
+FROM ranked WHERE place = 1""",
+    "mirror_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "mirror_events": """
+SELECT event_id, user_id AS "offset", event_type AS outcome, value, props AS "a $.b" FROM events""",
+    "mirror_conversations": "SELECT conv_id, turn, role, text FROM conversations",
+    "torn_lines": f"""WITH {LOG},
+letters AS (
+  SELECT topic, CASE WHEN torn THEN NULL ELSE "offset" END AS "offset",
+    CASE WHEN torn THEN 'error_torn' ELSE outcome END AS outcome,
+    CASE WHEN torn THEN left('{{"partition":' || "partition" || ',"offset":' || "offset" || ',"timestamp":', 25)
+      END AS line
+  FROM (SELECT *, "offset" % 10 = 3 AS torn FROM log) WHERE torn OR {_NOT_VALID})
+SELECT 'batch' AS read, * FROM letters UNION ALL SELECT 'stream', * FROM letters""",
+    "stream_counters": f"""WITH {FEED}
+SELECT topic, op, outcome, count(*) AS records FROM feed WHERE is_upper GROUP BY topic, op, outcome""",
+    "compact_then_follow": _APPLIED_LOWER,
     "replica_counts": f"""WITH {STATES},
 counts AS (
   SELECT 'customers' AS replica, count(*) AS row_count FROM customers
   UNION ALL SELECT 'lower', count(*) FROM lower_after
   UNION ALL SELECT 'upper', count(*) FROM upper_after)
-SELECT replica, row_count, 'Table Row Count: ' || row_count AS label FROM counts""",
+SELECT replica, row_count, 'rows held: ' || row_count AS label FROM counts""",
     "reconcile": f"""WITH {STATES}
 SELECT coalesce(a.id, b.id) AS key,
   CASE WHEN b.id IS NULL THEN 'only_lower' WHEN a.id IS NULL THEN 'only_upper'
@@ -299,7 +376,18 @@ SELECT * FROM checks UNION ALL SELECT 'all', bool_and(ok), NULL FROM checks""",
     "stream_apply_reverse": _APPLIED_UPPER,
     "stream_latest": f"""WITH {FEED}
 SELECT "offset", outcome, id, first_name, last_name, email FROM latest WHERE is_upper""",
-    "stream_resume": _APPLIED_LOWER,
+    "stream_resume": f"""WITH {FEED},
+parted AS (
+  SELECT v.*, CASE WHEN f.ts < TIMESTAMP '2024-01-11' THEN 0 WHEN f.ts < TIMESTAMP '2024-01-21' THEN 1
+    ELSE 2 END AS part
+  FROM valid v JOIN feed f ON v."offset" = f."offset" WHERE v.is_upper),
+runs AS (SELECT part, dense_rank() OVER (ORDER BY part) - 1 AS batch_id FROM
+  (SELECT DISTINCT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0 WHEN ts < TIMESTAMP '2024-01-21' THEN 1
+    ELSE 2 END AS part FROM feed WHERE is_upper)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY part, id ORDER BY "offset" DESC) AS place FROM parted)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, "offset", outcome, id, first_name, last_name, email
+FROM ranked JOIN runs USING (part) WHERE place = 1""",
     "stream_dead_letters": f"""WITH {LOG}
 SELECT {_DEAD} FROM log WHERE {_NOT_VALID} AND topic = '{UPPER_TOPIC}'""",
     "bootstrap_then_stream": _APPLIED_LOWER,

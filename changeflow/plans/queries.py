@@ -16,7 +16,9 @@ from changeflow.operators import merge, quality, route, sync
 from changeflow.operators.capture import diff_events, snapshot_events, with_position
 from changeflow.operators.compact import latest_per_key
 from changeflow.operators.decode import dead_letters as dead_letters_of
-from changeflow.operators.decode import decode, op_name, valid_changes
+from changeflow.model import CHANGE, ERROR_TORN, ident
+from changeflow.operators.decode import change_rows, decode, op_name
+from changeflow.operators.merge import OUTCOME, named
 from changeflow.plans.change_log import change_log as derive_log
 from changeflow.sources.log import read_log, stream_log, write_log
 from changeflow.sources.tables import lookup, scan_replica
@@ -24,11 +26,16 @@ from changeflow.sources.workspace import workspace, written
 from changeflow.streaming.apply import apply_stream, latest_stream, read_latest
 from changeflow.streaming.replica import (
     create_replica,
+    create_store,
+    fold_replica,
+    read_changes,
+    read_counters,
     read_dead_letters,
     read_replica,
     slim,
     write_batch,
 )
+from changeflow.streaming.sync import create_sync, read_side, sync_stream
 
 # Fixed time stamp of captured events, so that a capture can be compared as text.
 CAPTURED_AT = 1704067200000
@@ -66,7 +73,54 @@ REGION_FEED = TableMapping(
     topic="oracle.SYS.REGION",
     columns=(Column("R_REGIONKEY", "r_regionkey", "bigint"), Column("R_NAME", "r_name")),
 )
-HISTORY_TOPIC = "schema-changes.oracle"
+DOCUMENTS_FEED = TableMapping(
+    topic="postgres.public.documents",
+    columns=(
+        Column("doc_id", "doc_id", "bigint"),
+        Column("text", "text"),
+        Column("lang", "lang"),
+        Column("source", "source"),
+        Column("n_chars", "n_chars", "bigint"),
+    ),
+)
+EVENTS_FEED = TableMapping(
+    topic="postgres.public.events",
+    columns=(
+        Column("event id", "event_id", "bigint"),
+        Column("offset", "offset", "bigint"),
+        Column("outcome", "outcome"),
+        Column("value", "value", "double"),
+        Column("a $.b", "a $.b"),
+    ),
+)
+TURNS_FEED = TableMapping(
+    topic="postgres.public.conversations",
+    columns=(
+        Column("conv_id", "conv_id", "bigint"),
+        Column("turn", "turn", "bigint"),
+        Column("role", "role"),
+        Column("text", "text"),
+    ),
+    key_columns=2,
+)
+USERS_FEED = TableMapping(
+    topic="postgres.public.users",
+    columns=(
+        Column("name", "user_name", "string", max_length=64),
+        Column("event_id", "event_id", "bigint"),
+        Column("event_type", "event_type"),
+    ),
+)
+# A prefix may have dots of its own.
+DOTTED_FEED = replace(REGION_FEED, topic="oracle.site-2.west.GEO.REGION")
+# A topic that is no feed of a table.
+HISTORY_TOPIC = "ddl-journal.upper"
+# Share of the lines that ``torn_lines`` cuts, and after how many characters.
+TORN_EVERY, TORN_AT = 10, 25
+# A text of so many two-byte characters fits 255 characters and not 255 bytes.
+WIDE = 200
+# Share of the events that are sent again with a change.
+CHANGED_EVERY = 7
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -92,15 +146,15 @@ def _decoded(spark: SparkSession, sf: str) -> DataFrame:
     """Both feeds, without the row columns that the two sides name alike."""
     log = _log(spark, sf)
     upper, lower = decode(log, TO_LOWER), decode(log, TO_UPPER)
-    return upper.drop(*TO_LOWER.targets).unionByName(lower.drop(*TO_UPPER.targets))
+    return upper.drop("row").unionByName(lower.drop("row"))
 
 
 def _latest(spark: SparkSession, sf: str, mapping: TableMapping) -> DataFrame:
-    changes = valid_changes(decode(_log(spark, sf), mapping))
-    changes = changes.select(
-        *mapping.targets, "op", "outcome", "ts_ms", "topic", "partition", "offset"
-    )
-    return latest_per_key(changes, mapping.key)
+    return _latest_of(_log(spark, sf), mapping)
+
+
+def _latest_of(log: DataFrame, mapping: TableMapping) -> DataFrame:
+    return latest_per_key(change_rows(decode(log, mapping), mapping), mapping.keys)
 
 
 def _after(spark: SparkSession, sf: str, mapping: TableMapping) -> DataFrame:
@@ -119,10 +173,11 @@ def _all_feeds(spark: SparkSession, sf: str) -> DataFrame:
     orders = snapshot_events(_orders(spark, sf), ORDERS_FEED, CAPTURED_AT)
     nation = snapshot_events(_table(spark, sf, "nation"), NATION_FEED, CAPTURED_AT)
     region = snapshot_events(_table(spark, sf, "region"), REGION_FEED, CAPTURED_AT)
+    dotted = snapshot_events(_table(spark, sf, "region"), DOTTED_FEED, CAPTURED_AT)
     history = region.withColumn("topic", F.lit(HISTORY_TOPIC))
     log = _log(spark, sf).select("topic", "key", "value")
-    for feed in (orders, nation, region, history):
-        log = log.unionByName(feed)
+    for feed in (orders, nation, region, dotted, history):
+        log = log.unionByName(feed.select("topic", "key", "value"))
     return log
 
 
@@ -151,8 +206,8 @@ def change_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def include_list(spark: SparkSession, sf: str) -> DataFrame:
-    tables = ["DBZUSER.CUSTOMERS", "public.customers"]
-    kept = route.include_tables(_all_feeds(spark, sf), ["DBZUSER", "public"], tables)
+    tables = ["DBZUSER.CUSTOMERS", "public.customers", "GEO.REGION"]
+    kept = route.include_tables(_all_feeds(spark, sf), ["DBZUSER", "public", "GEO"], tables)
     return kept.select("topic", "key", "value")
 
 
@@ -164,11 +219,12 @@ def topic_route(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_of_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshot_events(_customers(spark, sf, TO_LOWER), TO_LOWER, CAPTURED_AT)
+    events = snapshot_events(_customers(spark, sf, TO_LOWER), TO_LOWER, CAPTURED_AT)
+    return events.select("topic", "key", "value")
 
 
 def capture_diff(spark: SparkSession, sf: str) -> DataFrame:
-    return _capture(spark, sf)
+    return _capture(spark, sf).select("topic", "key", "value")
 
 
 def replica_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,9 +262,12 @@ def classify_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def project_rows(spark: SparkSession, sf: str) -> DataFrame:
     log = _log(spark, sf)
-    lower = valid_changes(decode(log, TO_LOWER)).select("topic", "offset", *TO_LOWER.targets)
-    upper = valid_changes(decode(log, TO_UPPER)).select("topic", "offset", *TO_UPPER.targets)
-    return lower.union(upper)
+
+    def rows(mapping: TableMapping) -> DataFrame:
+        place = [F.col(f"{CHANGE}.{c}") for c in ("topic", "offset")]
+        return change_rows(decode(log, mapping), mapping).select(*place, *named(mapping.targets))
+
+    return rows(TO_LOWER).union(rows(TO_UPPER))
 
 
 def coerce_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,12 +291,22 @@ def coerce_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def typed_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as feed and back: doubles, epoch milliseconds, epoch days."""
+    """Orders as feed and back: doubles, epoch milliseconds, epoch days.
+
+    The same orders come once more with a customer number that has a fraction; those are refused.
+    """
     events = snapshot_events(_orders(spark, sf), ORDERS_FEED, CAPTURED_AT)
-    key = F.get_json_object("key", "$.O_ORDERKEY").cast("bigint")
-    rows = valid_changes(decode(with_position(events, key), ORDERS_FEED))
+    log = with_position(events, "row_key.O_ORDERKEY")
+    cut = F.regexp_replace("value", '("O_CUSTKEY":[0-9]+)', "$1.5")
+    log = log.unionByName(log.withColumn("value", cut))
+    decoded = decode(log, ORDERS_FEED).select("outcome", "reason", "key", "row.*")
     # As the orders table has it: a time stamp without zone; the day in its usual spelling.
-    return rows.select(*ORDERS_FEED.targets).withColumns(
+    return decoded.select(
+        "outcome",
+        "reason",
+        F.get_json_object("key", "$.O_ORDERKEY").cast("bigint").alias("key"),
+        *ORDERS_FEED.targets,
+    ).withColumns(
         {
             "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz"),
             "o_day": F.col("o_day").cast("string"),
@@ -245,6 +314,56 @@ def typed_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _mirrored(spark: SparkSession, table: DataFrame, mapping: TableMapping) -> DataFrame:
+    """A table through snapshot, log, decoding, compaction and the replica folders."""
+    base = workspace(spark, "mirror")
+    rows = table.select(*[F.col(ident(c.target)).alias(c.target) for c in mapping.columns])
+    write_log(with_position(snapshot_events(rows, mapping, CAPTURED_AT), F.lit(0)), f"{base}/log")
+    nothing = spark.createDataFrame([], mapping.replica_schema)
+    create_replica(nothing, f"{base}/replica", mapping)
+    log = stream_log(spark, f"{base}/log", mapping.topic, max_bytes=BATCH_BYTES)
+    _run(apply_stream(log, mapping, f"{base}/replica", f"{base}/checkpoint"))
+    return read_replica(spark, f"{base}/replica", mapping)
+
+
+def mirror_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns, one of them called like a field of the envelope."""
+    return _mirrored(spark, _table(spark, sf, "documents"), DOCUMENTS_FEED)
+
+
+def mirror_events(spark: SparkSession, sf: str) -> DataFrame:
+    """A column called like one of the log, and others called like those that decoding adds."""
+    events = _table(spark, sf, "events").selectExpr(
+        "event_id", "user_id AS offset", "event_type AS outcome", "value", "props AS `a $.b`"
+    )
+    return _mirrored(spark, events, EVENTS_FEED)
+
+
+def mirror_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """A key of two columns."""
+    return _mirrored(spark, _table(spark, sf, "conversations"), TURNS_FEED)
+
+
+def text_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The last event of every user under a text key; ``error`` events delete the user."""
+    user = "concat('u', user_id)"
+    gone = "event_type = 'error'"
+    image = f"struct({user} AS name, event_id, event_type)"
+    value = f"""to_json(struct(
+        IF({gone}, 'd', 'u') AS op, IF({gone}, {image}, NULL) AS before,
+        IF({gone}, NULL, {image}) AS after), map('ignoreNullFields', 'false'))"""
+    log = _table(spark, sf, "events").selectExpr(
+        f"'{USERS_FEED.topic}' AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
+        f"to_json(struct({user} AS name)) AS key",
+        f"{value} AS value",
+    )
+    latest = _latest_of(log, USERS_FEED)
+    return latest.select(F.col(OUTCOME).alias("outcome"), *named(USERS_FEED.targets))
+
+
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     log = _log(spark, sf)
     dead = dead_letters_of(decode(log, TO_LOWER)).unionByName(
@@ -277,42 +396,57 @@ def constraint_check(spark: SparkSession, sf: str) -> DataFrame:
             Column("text", "text", max_length=255),
         ),
     )
-    documents = _table(spark, sf, "documents")
-    checks = {
-        "documents, characters": (documents, texts),
-        "documents, bytes": (documents, replace(texts, length_unit="bytes")),
-        "conversations": (_table(spark, sf, "conversations"), turns),
+    by_unit = {
+        "documents, characters": texts,
+        "documents, bytes": replace(texts, length_unit="bytes"),
     }
-    result = None
-    for name, (table, mapping) in checks.items():
-        found = quality.constraint_violations(table, mapping).withColumn("checked", F.lit(name))
-        result = found if result is None else result.unionByName(found)
-    return result
+    documents = quality.constraint_violations(_table(spark, sf, "documents"), by_unit)
+    return documents.unionByName(
+        quality.constraint_violations(_table(spark, sf, "conversations"), {"conversations": turns})
+    )
 
 
 # --- merging ------------------------------------------------------------------------
 
 
 def both_latest(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["topic", "offset", "outcome"]
-    lower = _latest(spark, sf, TO_LOWER).select(*columns, *TO_LOWER.targets)
-    return lower.union(_latest(spark, sf, TO_UPPER).select(*columns, *TO_UPPER.targets))
+    def rows(mapping: TableMapping) -> DataFrame:
+        change = [F.col(f"{CHANGE}.{c}") for c in ("topic", "offset", "outcome")]
+        return _latest(spark, sf, mapping).select(*change, *named(mapping.targets))
+
+    return rows(TO_LOWER).union(rows(TO_UPPER))
 
 
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     latest = written(_latest(spark, sf, TO_LOWER), workspace(spark, "changes"))
-    upserts = latest.where(F.col("outcome") == "upsert")
+    upserts = latest.where(F.col(OUTCOME) == "upsert")
     return merge.merge_upsert(_customers(spark, sf, TO_LOWER), upserts, TO_LOWER)
 
 
 def merge_delete(spark: SparkSession, sf: str) -> DataFrame:
-    deletes = _latest(spark, sf, TO_LOWER).where(F.col("outcome") == "delete")
+    deletes = _latest(spark, sf, TO_LOWER).where(F.col(OUTCOME) == "delete")
     return merge.merge_delete(_customers(spark, sf, TO_LOWER), deletes, TO_LOWER)
 
 
+def _with_action(changes: DataFrame) -> DataFrame:
+    return changes.select(F.col(f"{CHANGE}.action").alias("action"), *named(TO_LOWER.targets))
+
+
 def effective_changes(spark: SparkSession, sf: str) -> DataFrame:
-    changes = merge.effective_changes(_customers(spark, sf, TO_LOWER), _latest(spark, sf, TO_LOWER), TO_LOWER)
-    return changes.select("action", *TO_LOWER.targets)
+    latest = written(_latest(spark, sf, TO_LOWER), workspace(spark, "changes"))
+    return _with_action(merge.effective_changes(_customers(spark, sf, TO_LOWER), latest, TO_LOWER))
+
+
+def effective_echo(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed is applied, then sent again with a real change in a share of its records."""
+    base = workspace(spark, "echo")
+    latest = written(_latest(spark, sf, TO_LOWER), f"{base}/latest")
+    held = merge.apply_written(_customers(spark, sf, TO_LOWER), latest, TO_LOWER)
+    changed = (F.col("id") % CHANGED_EVERY == 0) & (F.col(OUTCOME) == "upsert")
+    again = latest.withColumn(
+        "email", F.when(changed, F.concat("email", F.lit(".new"))).otherwise(F.col("email"))
+    )
+    return _with_action(merge.effective_changes(held, written(again, f"{base}/again"), TO_LOWER))
 
 
 def apply_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -330,7 +464,7 @@ def _sink(spark: SparkSession, sf: str, mapping: TableMapping) -> DataFrame:
     """Through the replica folders, the way a stream writes them."""
     path = workspace(spark, "replica")
     create_replica(_customers(spark, sf, mapping), path, mapping)
-    write_batch(slim(decode(_log(spark, sf), mapping), mapping), path, mapping, 0)
+    write_batch(slim(decode(_log(spark, sf), mapping)), path, mapping, 0)
     return read_replica(spark, path, mapping)
 
 
@@ -344,30 +478,71 @@ def apply_to_upper(spark: SparkSession, sf: str) -> DataFrame:
 
 def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Captured changes, published, read back and applied to the old state."""
-    key = F.get_json_object("key", "$.ID").cast("bigint")
     path = workspace(spark, "published")
-    write_log(with_position(_capture(spark, sf), key), path)
-    changes = valid_changes(decode(read_log(spark, path), TO_LOWER))
-    changes = changes.select(*TO_LOWER.targets, "outcome", "partition", "offset")
-    latest = latest_per_key(changes, TO_LOWER.key)
+    write_log(with_position(_capture(spark, sf), "row_key.ID"), path)
+    latest = _latest_of(read_log(spark, path), TO_LOWER)
     return merge.apply_batch(_customers(spark, sf, TO_LOWER), latest, TO_LOWER)
 
 
+def _decided(spark: SparkSession, *logs: DataFrame) -> DataFrame:
+    """What both sides are to have after logs that come one after the other."""
+    base, last = workspace(spark, "sync"), None
+    for i, log in enumerate(logs):
+        last = written(sync.last_of_both(log, TO_LOWER, TO_UPPER, last), f"{base}/last-{i}")
+    return written(sync.decide(last, TO_LOWER, TO_UPPER), f"{base}/decided")
+
+
+def _both_sides(spark: SparkSession, sf: str, decided: DataFrame) -> DataFrame:
+    """The customers of either side with the decided rows."""
+    sides = []
+    for origin, mapping in ((sync.LOWER, TO_LOWER), (sync.UPPER, TO_UPPER)):
+        settled = sync.settled_changes(decided, origin, TO_LOWER, mapping)
+        rows = merge.apply_written(_customers(spark, sf, mapping), settled, mapping)
+        sides.append(rows.withColumn("side", F.lit(origin)))
+    return sides[0].union(sides[1])
+
+
 def bidirectional_sync(spark: SparkSession, sf: str) -> DataFrame:
-    """Both sides hold their own changes; afterwards both hold the winners."""
-    base = workspace(spark, "sync")
-    last = written(sync.last_of_both(_log(spark, sf), TO_LOWER, TO_UPPER), f"{base}/last")
-    winners = sync.resolve_conflicts(last, TO_LOWER)
-    own_lower = sync.own_changes(last, sync.LOWER, TO_LOWER, TO_LOWER)
-    own_upper = sync.own_changes(last, sync.UPPER, TO_LOWER, TO_UPPER)
-    lower = merge.apply_written(_customers(spark, sf, TO_LOWER), own_lower, TO_LOWER)
-    upper = merge.apply_written(_customers(spark, sf, TO_UPPER), own_upper, TO_UPPER)
-    writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
-    to_lower = written(writes.to_lower, f"{base}/to_lower")
-    to_upper = written(writes.to_upper, f"{base}/to_upper")
-    lower = merge.apply_written(lower, to_lower, TO_LOWER).withColumn("side", F.lit("lower"))
-    upper = merge.apply_written(upper, to_upper, TO_UPPER).withColumn("side", F.lit("upper"))
-    return lower.union(upper)
+    """Afterwards both sides hold the winners."""
+    return _both_sides(spark, sf, _decided(spark, _log(spark, sf)))
+
+
+def sync_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same when the whole feed of one side comes before any of the other."""
+    log = _log(spark, sf)
+    upper_first = [log.where(F.col("topic") == m.topic) for m in (TO_LOWER, TO_UPPER)]
+    return _both_sides(spark, sf, _decided(spark, *upper_first))
+
+
+def sync_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """What is sent to each side."""
+    decided = _decided(spark, _log(spark, sf))
+    lower, upper = (_customers(spark, sf, m) for m in (TO_LOWER, TO_UPPER))
+    writes = sync.sync_changes(lower, upper, decided, TO_LOWER, TO_UPPER)
+    action = F.col(f"{CHANGE}.action").alias("action")
+    to_lower = writes.to_lower.select(F.lit("lower").alias("side"), action, *named(TO_LOWER.targets))
+    to_upper = writes.to_upper.select(F.lit("upper").alias("side"), action, *named(TO_UPPER.targets))
+    return to_lower.union(to_upper)
+
+
+def sync_unequal_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Names that only the lower side can store: it keeps them, the upper side gets none."""
+    wide = F.lit("é" * WIDE)
+    is_wide = (F.col("topic") == TO_UPPER.topic) & (F.col("offset") % 3 == 0)
+    named_wide = F.regexp_replace("value", '"last_name":(null|"[^"]*")', F.concat(F.lit('"last_name":"'), wide, F.lit('"')))
+    log = _log(spark, sf)
+    log = log.withColumn("value", F.when(is_wide, named_wide).otherwise(F.col("value")))
+    decided = _decided(spark, log)
+    sides = _both_sides(spark, sf, decided).withColumn("outcome", F.lit("held"))
+    refused = sync.refused_changes(decided, TO_LOWER).select(
+        F.col("key").cast("bigint").alias("id"),
+        F.get_json_object("row", "$.first_name").alias("first_name"),
+        F.get_json_object("row", "$.last_name").alias("last_name"),
+        F.get_json_object("row", "$.email").alias("email"),
+        "side",
+        "outcome",
+    )
+    return sides.unionByName(refused)
 
 
 # --- verification -------------------------------------------------------------------
@@ -408,6 +583,67 @@ def _run(query) -> None:
     query.awaitTermination()
 
 
+def torn_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """A log of all events with lines that a writer left unfinished, in batch and as a stream."""
+    base = workspace(spark, "torn")
+    fields = "partition, offset, date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSXXX\") AS timestamp, key, value"
+    line = f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
+    cut = f"IF(offset % {TORN_EVERY} = 3, left({line}, {TORN_AT}), {line})"
+    lines = _log(spark, sf).selectExpr("topic", f"{cut} AS line")
+    lines.write.partitionBy("topic").text(f"{base}/log")
+    both = None
+    for mapping in (TO_LOWER, TO_UPPER):
+        path = f"{base}/{mapping.topic}"
+        create_replica(spark.createDataFrame([], mapping.replica_schema), path, mapping)
+        log = stream_log(spark, f"{base}/log", mapping.topic, max_bytes=BATCH_BYTES)
+        _run(apply_stream(log, mapping, path, f"{path}-checkpoint"))
+        in_batch = dead_letters_of(decode(read_log(spark, f"{base}/log"), mapping))
+        for read, letters in (("batch", in_batch), ("stream", read_dead_letters(spark, path))):
+            torn = F.when(F.col("outcome") == ERROR_TORN, F.col("value")).alias("line")
+            found = letters.select(F.lit(read).alias("read"), "topic", "offset", "outcome", torn)
+            both = found if both is None else both.unionByName(found)
+    return both
+
+
+def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feeds followed by one stream, in parts, until both sides agree."""
+    base = workspace(spark, "sync-stream")
+    lower, upper = (_customers(spark, sf, m) for m in (TO_LOWER, TO_UPPER))
+    create_sync(lower, upper, f"{base}/sides", TO_LOWER, TO_UPPER)
+    log = _log(spark, sf)
+    for part in ("offset % 2 = 1", "offset % 2 = 0"):
+        write_log(log.where(part), f"{base}/log", mode="append")
+        feeds = [
+            stream_log(spark, f"{base}/log", m.topic, max_bytes=BATCH_BYTES) for m in (TO_LOWER, TO_UPPER)
+        ]
+        both = feeds[0].unionByName(feeds[1])
+        _run(sync_stream(both, TO_LOWER, TO_UPPER, f"{base}/sides", f"{base}/checkpoint"))
+    sides = [
+        read_side(spark, f"{base}/sides", side, mapping).withColumn("side", F.lit(side))
+        for side, mapping in ((sync.LOWER, TO_LOWER), (sync.UPPER, TO_UPPER))
+    ]
+    return sides[0].union(sides[1])
+
+
+def stream_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of every batch, summed up from what the batches stored."""
+    return read_counters(spark, _follow(spark, sf, TO_LOWER))
+
+
+def compact_then_follow(spark: SparkSession, sf: str) -> DataFrame:
+    """The later half of the log first, folded; then the earlier half, which must not win."""
+    base = workspace(spark, "fold")
+    create_replica(_customers(spark, sf, TO_LOWER), f"{base}/replica", TO_LOWER)
+    log = _log(spark, sf)
+    middle = _table(spark, sf, "events").agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    for part in (F.col("offset") > middle, F.col("offset") <= middle):
+        write_log(log.where(part), f"{base}/log", mode="append")
+        feed = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
+        _run(apply_stream(feed, TO_LOWER, f"{base}/replica", f"{base}/checkpoint"))
+        fold_replica(spark, f"{base}/replica", TO_LOWER)
+    return read_replica(spark, f"{base}/replica", TO_LOWER)
+
+
 def _follow(spark: SparkSession, sf: str, mapping: TableMapping) -> str:
     """A replica to which the log was applied by a stream; returns its folder."""
     base = workspace(spark, "stream")
@@ -435,13 +671,18 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     base = workspace(spark, "stream")
     write_log(_log(spark, sf), f"{base}/log")
     log = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
+    create_store(spark, f"{base}/latest", TO_LOWER)
     _run(latest_stream(log, TO_LOWER, f"{base}/latest", f"{base}/checkpoint"))
     latest = read_latest(spark, f"{base}/latest", TO_LOWER)
-    return latest.select("offset", "outcome", *TO_LOWER.targets)
+    change = [F.col(f"{CHANGE}.{c}") for c in ("offset", "outcome")]
+    return latest.select(*change, *named(TO_LOWER.targets))
 
 
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
-    """The log arrives in three parts, by operation time; each run resumes at the last one."""
+    """The log arrives in three parts, by operation time; each run resumes at the last one.
+
+    Which batch a change was stored with shows that no run read a part again.
+    """
     base = workspace(spark, "stream")
     create_replica(_customers(spark, sf, TO_LOWER), f"{base}/replica", TO_LOWER)
     events = _table(spark, sf, "events")
@@ -454,7 +695,9 @@ def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
         write_log(derive_log(events.where(part)), f"{base}/log", mode="append")
         log = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
         _run(apply_stream(log, TO_LOWER, f"{base}/replica", f"{base}/checkpoint"))
-    return read_replica(spark, f"{base}/replica", TO_LOWER)
+    changes = read_changes(spark, f"{base}/replica", TO_LOWER)
+    place = [F.col(f"{CHANGE}.{c}") for c in ("batch_id", "offset", "outcome")]
+    return changes.select(*place, *named(TO_LOWER.targets))
 
 
 def bootstrap_then_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -462,8 +705,8 @@ def bootstrap_then_stream(spark: SparkSession, sf: str) -> DataFrame:
     base = workspace(spark, "stream")
     customers = _customers(spark, sf, TO_LOWER)
     create_replica(spark.createDataFrame([], TO_LOWER.replica_schema), f"{base}/replica", TO_LOWER)
-    before_all = F.get_json_object("key", "$.ID").cast("bigint") - F.lit(BEFORE_ALL)
-    snapshot = with_position(snapshot_events(customers, TO_LOWER, CAPTURED_AT), before_all)
+    events = snapshot_events(customers, TO_LOWER, CAPTURED_AT)
+    snapshot = with_position(events, F.col("row_key.ID") - F.lit(BEFORE_ALL))
     for records in (snapshot, _log(spark, sf)):
         write_log(records, f"{base}/log", mode="append")
         log = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
@@ -507,4 +750,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_resume": stream_resume,
     "stream_dead_letters": stream_dead_letters,
     "bootstrap_then_stream": bootstrap_then_stream,
+    "mirror_documents": mirror_documents,
+    "mirror_events": mirror_events,
+    "mirror_conversations": mirror_conversations,
+    "text_keys": text_keys,
+    "effective_echo": effective_echo,
+    "sync_split": sync_split,
+    "sync_writes": sync_writes,
+    "sync_unequal_limits": sync_unequal_limits,
+    "stream_sync": stream_sync,
+    "torn_lines": torn_lines,
+    "stream_counters": stream_counters,
+    "compact_then_follow": compact_then_follow,
 }

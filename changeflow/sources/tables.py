@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.model import TableMapping
+from changeflow.model import DELETE, UPSERT, TableMapping, ident
+from changeflow.operators.merge import OUTCOME, named
 
 
 def scan_replica(spark: SparkSession, path: str, mapping: TableMapping) -> DataFrame:
     """Scan a Parquet table under its feed names and return it under the replica names."""
     return spark.read.parquet(path).select(
-        *[F.col(c.source).alias(c.target) for c in mapping.columns]
+        *[F.col(ident(c.source)).alias(c.target) for c in mapping.columns]
     )
 
 
-def lookup(replica: DataFrame, key: str, value: int) -> DataFrame:
+def lookup(replica: DataFrame, key: str, value: int | str) -> DataFrame:
     """The row with one key; the filter reaches the Parquet or JDBC scan."""
-    return replica.where(F.col(key) == F.lit(value))
+    return replica.where(F.col(ident(key)) == F.lit(value))
 
 
 def save_bucketed(replica: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
@@ -58,22 +59,45 @@ def read_jdbc(spark: SparkSession, driver_options: dict[str, str], **scan) -> Da
     return spark.read.format("jdbc").options(**jdbc_options(**scan), **driver_options).load()
 
 
-def stage_jdbc(changes: DataFrame, url: str, table: str, driver_options: dict[str, str]) -> None:
+#: Column of a staging table that tells upserts from deletes.
+STAGED_OUTCOME = "_outcome"
+
+
+def staged(changes: DataFrame, mapping: TableMapping) -> DataFrame:
+    """A compacted batch as a staging table has it."""
+    return changes.select(*named(mapping.targets), F.col(OUTCOME).alias(STAGED_OUTCOME))
+
+
+def stage_jdbc(
+    changes: DataFrame, mapping: TableMapping, url: str, table: str, driver_options: dict[str, str]
+) -> None:
     """Put a compacted batch into a staging table, replacing the one before."""
-    changes.write.format("jdbc").mode("overwrite").options(
+    staged(changes, mapping).write.format("jdbc").mode("overwrite").options(
         url=url, dbtable=table, truncate="true", **driver_options
     ).save()
 
 
 def merge_statements(mapping: TableMapping, target: str, staging: str) -> list[str]:
-    """The set-based statements that apply a staging table inside the database."""
-    key, names = mapping.key, mapping.targets
-    sets = ", ".join(f"{c.target} = s.{c.target}" for c in mapping.payload)
+    """The set-based statements that apply a staging table inside the database.
+
+    Names are quoted, as Spark quotes them when it creates the staging table; a database
+    that folds unquoted names would not find them otherwise.
+    """
+
+    def q(name: str) -> str:
+        return '"' + name.replace('"', '""') + '"'
+
+    def pairs(names) -> str:
+        return " AND ".join(f"t.{q(n)} = s.{q(n)}" for n in names)
+
+    names, outcome = mapping.targets, q(STAGED_OUTCOME)
+    sets = ", ".join(f"{q(c.target)} = s.{q(c.target)}" for c in mapping.payload)
+    update = f"WHEN MATCHED THEN UPDATE SET {sets} " if sets else ""
     return [
-        f"MERGE INTO {target} t USING (SELECT * FROM {staging} WHERE outcome = 'upsert') s "
-        f"ON (t.{key} = s.{key}) WHEN MATCHED THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED THEN INSERT ({', '.join(names)}) "
-        f"VALUES ({', '.join('s.' + n for n in names)})",
-        f"DELETE FROM {target} WHERE {key} IN "
-        f"(SELECT {key} FROM {staging} WHERE outcome = 'delete')",
+        f"MERGE INTO {target} t USING (SELECT * FROM {staging} WHERE {outcome} = '{UPSERT}') s "
+        f"ON ({pairs(mapping.keys)}) {update}"
+        f"WHEN NOT MATCHED THEN INSERT ({', '.join(map(q, names))}) "
+        f"VALUES ({', '.join('s.' + q(n) for n in names)})",
+        f"DELETE FROM {target} t WHERE EXISTS (SELECT 1 FROM {staging} s "
+        f"WHERE {pairs(mapping.keys)} AND s.{outcome} = '{DELETE}')",
     ]

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.model import VALID_OUTCOMES, TableMapping
-from changeflow.operators.compact import ARRIVAL, latest_per_key
-from changeflow.operators.decode import decode, valid_changes
-from changeflow.streaming.replica import slim, write_batch
+from changeflow.model import TableMapping
+from changeflow.operators.compact import latest_per_key
+from changeflow.operators.decode import change_rows, decode
+from changeflow.streaming.replica import read_state, slim, write_batch, write_changes
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,15 +35,10 @@ def apply_stream(
     Runs until stopped with ``interval``, else until the log is read to its end. The
     checkpoint is the position of this direction: the next run goes on where this one ended.
     Bad records become dead letters and never stop the query; a failing disk or node does
-    fail the batch, which Spark then repeats. Counters are in ``recentProgress``.
+    fail the batch, which Spark then repeats. Every batch stores its counts, see
+    ``read_counters``.
     """
-    valid = F.col("outcome").isin(*VALID_OUTCOMES)
-    decoded = slim(decode(log, mapping, key_policy), mapping).observe(
-        "outcomes",
-        F.count(F.lit(1)).alias("records"),
-        *[F.count_if(F.col("outcome") == o).alias(f"{o}s") for o in VALID_OUTCOMES],
-        F.count_if(~valid).alias("dead_letters"),
-    )
+    decoded = slim(decode(log, mapping, key_policy))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, path, mapping, batch_id)
@@ -62,17 +56,15 @@ def latest_stream(
 ) -> StreamingQuery:
     """Keep the last change per key as state of the stream.
 
-    Every batch writes the keys it touched, with their state, to ``path/batch_id=N``. The
+    Every batch writes the keys it touched, with their state, as changes of the store at
+    ``path`` (``create_store``), which ``fold_replica`` folds and ``read_latest`` reads. The
     state has one entry per key of the table and is kept on purpose; it lives in RocksDB,
     so it is bounded by the disks of the executors and not by their memory.
     """
-    changes = valid_changes(decode(log, mapping, key_policy)).select(
-        *mapping.targets, "outcome", "ts_ms", "partition", "offset"
-    )
-    latest = latest_per_key(changes, mapping.key)
+    latest = latest_per_key(change_rows(decode(log, mapping, key_policy), mapping), mapping.keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_changes(batch, path, mapping, batch_id)
 
     # A query copies the settings of its session when it starts.
     conf = log.sparkSession.conf
@@ -88,15 +80,5 @@ def latest_stream(
 
 
 def read_latest(spark: SparkSession, path: str, mapping: TableMapping) -> DataFrame:
-    """The last state that was written for every key."""
-    return latest_per_key(spark.read.parquet(path), mapping.key, ARRIVAL).drop("batch_id")
-
-
-def counters(query: StreamingQuery) -> dict[str, int]:
-    """Sum of the counters over the batches that the query still remembers."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get("outcomes")
-        for name, value in (row.asDict() if row else {}).items():
-            totals[name] = totals.get(name, 0) + value
-    return totals
+    """The last state that was written for every key, as change rows."""
+    return read_state(spark, path, mapping)

@@ -1,8 +1,11 @@
 """A replica that is written by micro-batches: Parquet folders, merged when read.
 
-``base`` holds rows, ``changes/batch_id=N`` the compacted changes of a batch, and
-``dead_letters/batch_id=N`` what that batch could not apply. A batch only ever replaces its
-own folders, so running it again changes nothing, and no batch rewrites the base.
+``base/upto=N`` holds the state after batch N, ``changes/batch_id=N`` the compacted changes of a
+batch, ``dead_letters/batch_id=N`` what it could not apply and ``stats/batch_id=N`` how many
+records had which outcome. ``folded`` names the base that counts: the one with the highest
+number, written before its name. A batch only ever replaces its own folders, so running it
+again changes nothing, and no batch rewrites the base. Rows lie in a struct beside the struct
+of the change, so a table may call its columns as it likes.
 """
 
 from __future__ import annotations
@@ -11,38 +14,72 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.model import SQL_TYPES, UPSERT, VALID_OUTCOMES, TableMapping
+from changeflow.model import CHANGE, UPSERT, VALID_OUTCOMES, TableMapping
 from changeflow.operators.compact import ARRIVAL, latest_per_key
-from changeflow.operators.decode import dead_letters, valid_changes
-from changeflow.operators.merge import merge_delete
+from changeflow.operators.decode import change_rows, dead_letters
+from changeflow.operators.merge import OUTCOME, by_key, named
+from changeflow.operators.quality import outcome_stats
 
 _DEAD_SCHEMA = (
     "topic string, partition int, offset bigint, timestamp timestamp, key string, "
     "value string, op string, outcome string, reason string"
 )
+_STATS_SCHEMA = "topic string, op string, outcome string, records bigint"
+_CHANGE_TYPE = (
+    "struct<outcome string, op string, ts_ms bigint, topic string, partition int, offset bigint>"
+)
+#: Number of the base a replica starts with; batches count from 0.
+START = -1
+#: As much for changes that were never put on rows.
+NO_BASE = -2
+
+
+def _stored_schema(mapping: TableMapping) -> str:
+    return f"row struct<{mapping.replica_schema}>, {CHANGE} {_CHANGE_TYPE}"
+
+
+def _stored(changes: DataFrame, mapping: TableMapping) -> DataFrame:
+    return changes.select(F.struct(*named(mapping.targets)).alias("row"), CHANGE)
 
 
-def _change_columns(mapping: TableMapping) -> list[str]:
-    return [*mapping.targets, "outcome", "ts_ms", "partition", "offset"]
+def _loaded(stored: DataFrame, mapping: TableMapping, *more: str) -> DataFrame:
+    return stored.select(*[F.col("row")[c].alias(c) for c in mapping.targets], CHANGE, *more)
 
 
-def _change_schema(mapping: TableMapping) -> str:
-    rows = ", ".join(f"{c.target} {SQL_TYPES[c.type]}" for c in mapping.columns)
-    return f"{rows}, outcome string, ts_ms bigint, partition int, offset bigint"
+def _write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).parquet(path)
+
+
+def _full(change: dict | None = None):
+    """The struct of a change with all its fields; those that are not given are null."""
+    given = change or {}
+    fields = [f.split() for f in _CHANGE_TYPE.removeprefix("struct<").removesuffix(">").split(", ")]
+    return F.struct(*[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in fields])
 
 
 def create_replica(rows: DataFrame, path: str, mapping: TableMapping) -> None:
     """Start a replica from the rows of a table."""
     spark = rows.sparkSession
-    rows.select(*mapping.targets).write.mode("errorifexists").parquet(f"{path}/base")
-    for name, schema in (("changes", _change_schema(mapping)), ("dead_letters", _DEAD_SCHEMA)):
-        # An empty first batch, so that readers find a table before anything was applied.
-        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(
-            f"{path}/{name}/batch_id=-1"
-        )
+    start = rows.select(*named(mapping.targets), _full({"outcome": F.lit(UPSERT)}).alias(CHANGE))
+    _write(_stored(start, mapping), f"{path}/base/upto={START}", "errorifexists")
+    create_store(spark, path, mapping, START)
 
 
-def slim(decoded: DataFrame, mapping: TableMapping) -> DataFrame:
+def create_store(
+    spark: SparkSession, path: str, mapping: TableMapping, upto: int = NO_BASE
+) -> None:
+    """The empty folders, so that readers find tables before any batch."""
+    empty = {
+        "changes": _stored_schema(mapping),
+        "dead_letters": _DEAD_SCHEMA,
+        "stats": _STATS_SCHEMA,
+    }
+    for name, schema in empty.items():
+        _write(spark.createDataFrame([], schema), f"{path}/{name}/batch_id={START}", "errorifexists")
+    _write(spark.createDataFrame([(upto,)], "upto bigint"), f"{path}/folded", "errorifexists")
+
+
+def slim(decoded: DataFrame) -> DataFrame:
     """What a batch has to carry: the raw record is kept where it becomes a dead letter only."""
     dead = ~F.col("outcome").isin(*VALID_OUTCOMES)
     return decoded.select(
@@ -56,52 +93,129 @@ def slim(decoded: DataFrame, mapping: TableMapping) -> DataFrame:
         "ts_ms",
         "outcome",
         "reason",
-        *mapping.targets,
+        "row",
     )
 
 
 def write_batch(slimmed: DataFrame, path: str, mapping: TableMapping, batch_id: int) -> None:
-    """Compact the valid changes of a batch and store them with its dead letters."""
-    # Two tables come out of one parse; what does not fit in memory goes to disk, and what is
+    """Compact the valid changes of a batch and store them with its dead letters and counts."""
+    # Three tables come out of one parse; what does not fit in memory goes to disk, and what is
     # lost with an executor is decoded again from the log.
     slimmed = slimmed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        valid = valid_changes(slimmed).select(*_change_columns(mapping))
-        latest_per_key(valid, mapping.key).write.mode("overwrite").parquet(
-            f"{path}/changes/batch_id={batch_id}"
-        )
-        dead_letters(slimmed).write.mode("overwrite").parquet(
-            f"{path}/dead_letters/batch_id={batch_id}"
-        )
+        latest = latest_per_key(change_rows(slimmed, mapping), mapping.keys)
+        _write(_stored(latest, mapping), f"{path}/changes/batch_id={batch_id}")
+        _write(dead_letters(slimmed), f"{path}/dead_letters/batch_id={batch_id}")
+        write_counts(slimmed, path, batch_id)
     finally:
         slimmed.unpersist()
 
 
-def read_changes(spark: SparkSession, path: str, mapping: TableMapping) -> DataFrame:
-    """The stored changes of all batches."""
-    schema = f"{_change_schema(mapping)}, batch_id bigint"
-    return spark.read.schema(schema).parquet(f"{path}/changes")
+def write_changes(changes: DataFrame, path: str, mapping: TableMapping, batch_id: int) -> None:
+    """Store change rows, one per key, as those of a batch."""
+    known = changes.schema[CHANGE].dataType.names
+    full = _full({n: F.col(f"{CHANGE}.{n}") for n in known}).alias(CHANGE)
+    stored = _stored(changes.select(*named(mapping.targets), full), mapping)
+    _write(stored, f"{path}/changes/batch_id={batch_id}")
+    written = read_changes(changes.sparkSession, path, mapping, after=batch_id - 1, until=batch_id)
+    write_counts(written.select(f"{CHANGE}.*"), path, batch_id)
+
+
+def write_counts(records: DataFrame, path: str, batch_id: int) -> None:
+    """Last step of a batch: it is complete when its counts are there."""
+    _write(outcome_stats(records).coalesce(1), f"{path}/stats/batch_id={batch_id}")
+
+
+def folded_upto(spark: SparkSession, path: str) -> int:
+    """The batch up to which changes are in the base."""
+    return spark.read.schema("upto bigint").parquet(f"{path}/folded").agg(F.max("upto")).first()[0]
+
+
+def read_changes(
+    spark: SparkSession,
+    path: str,
+    mapping: TableMapping,
+    after: int = START - 1,
+    until: int | None = None,
+) -> DataFrame:
+    """The stored changes of a range of batches, by default of all; the batch is in the change."""
+    schema = f"{_stored_schema(mapping)}, batch_id bigint"
+    stored = spark.read.schema(schema).parquet(f"{path}/changes").where(F.col("batch_id") > after)
+    if until is not None:
+        stored = stored.where(F.col("batch_id") <= until)
+    moved = F.col(CHANGE).withField("batch_id", F.col("batch_id")).alias(CHANGE)
+    return _loaded(stored.select("row", moved), mapping)
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{_DEAD_SCHEMA}, batch_id bigint").parquet(f"{path}/dead_letters")
 
 
-def read_replica(spark: SparkSession, path: str, mapping: TableMapping, order=ARRIVAL) -> DataFrame:
-    """The rows of the replica as of the last batch."""
-    base = spark.read.schema(mapping.replica_schema).parquet(f"{path}/base")
-    changes = read_changes(spark, path, mapping)
-    # Which base rows are outdated needs the keys alone; the rows are combined once only.
-    kept = merge_delete(base, changes.select(mapping.key).distinct(), mapping)
-    last = latest_per_key(changes, mapping.key, order).where(F.col("outcome") == UPSERT)
-    return kept.unionByName(last.select(*mapping.targets))
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """``topic, op, outcome, records`` over all batches ever written; a repeated one counts once."""
+    stats = spark.read.schema(f"{_STATS_SCHEMA}, batch_id bigint").parquet(f"{path}/stats")
+    return stats.groupBy("topic", "op", "outcome").agg(F.sum("records").alias("records"))
 
 
-def compact_replica(
-    spark: SparkSession, path: str, new_path: str, mapping: TableMapping, order=ARRIVAL
-) -> None:
-    """Fold all changes into the base of a new replica; the old one stays readable.
+BY_BATCH = (f"{CHANGE}.batch_id", *ARRIVAL)
+
 
-    A stream goes on with the new path and its old checkpoint.
+def read_state(
+    spark: SparkSession,
+    path: str,
+    mapping: TableMapping,
+    order=ARRIVAL,
+    until: int | None = None,
+) -> DataFrame:
+    """Change rows, one per key: the last change, or the row of the base where there is none.
+
+    Deleted keys are among them, so that an older change that comes late finds them newer.
+    ``until`` leaves out later batches, except those that are in the base already.
+    """
+    upto = folded_upto(spark, path)
+    changes = read_changes(spark, path, mapping, after=upto, until=until)
+    if upto == NO_BASE:
+        return latest_per_key(changes, mapping.keys, order)
+    stored = spark.read.schema(_stored_schema(mapping)).parquet(f"{path}/base/upto={upto}")
+    numbered = F.col(CHANGE).withField("batch_id", F.lit(upto).cast("bigint")).alias(CHANGE)
+    base = _loaded(stored.select("row", numbered), mapping)
+    # Which base rows are outdated needs the keys alone; only those are combined with changes.
+    keys = changes.select(*named(mapping.keys)).distinct()
+    touched = by_key(base, keys, mapping, "left_semi")
+    last = latest_per_key(changes.unionByName(touched), mapping.keys, order)
+    return by_key(base, keys, mapping, "left_anti").unionByName(last)
+
+
+def read_replica(
+    spark: SparkSession,
+    path: str,
+    mapping: TableMapping,
+    order=ARRIVAL,
+    until: int | None = None,
+) -> DataFrame:
+    """The rows of the replica as of the last batch, or as of an earlier one."""
+    state = read_state(spark, path, mapping, order, until)
+    return state.where(F.col(OUTCOME) == UPSERT).select(*named(mapping.targets))
+
+
+def fold_replica(spark: SparkSession, path: str, mapping: TableMapping, order=ARRIVAL) -> int:
+    """Fold the batches written so far into a new base; returns the number of the last one.
+
+    The stream goes on meanwhile and needs no restart: only batches whose counts are written are
+    folded, those that are being written have higher numbers, and readers follow the old base
+    until the new one is named. Offsets stay with the rows and deleted keys stay as deletes, so a
+    change that comes late still loses. Folders that no reader needs any more are left to the
+    retention rules of the place.
     """
-    create_replica(read_replica(spark, path, mapping, order), new_path, mapping)
+    stats = spark.read.schema(f"{_STATS_SCHEMA}, batch_id bigint").parquet(f"{path}/stats")
+    # The numbers are in the folder names.
+    done = stats.agg(F.max("batch_id")).first()[0]
+    upto = folded_upto(spark, path)
+    if done is None or done <= upto:
+        return upto
+    kept = F.col(CHANGE).dropFields("batch_id").alias(CHANGE)
+    state = read_state(spark, path, mapping, order, until=done)
+    folded = state.select(*named(mapping.targets), kept)
+    _write(_stored(folded, mapping), f"{path}/base/upto={done}")
+    spark.createDataFrame([(done,)], "upto bigint").write.mode("append").parquet(f"{path}/folded")
+    return done

@@ -82,7 +82,7 @@ def main():
     con, sql = connect(sf_dir), oracle_sql()
     failed = 0
     for name, query in queries().items():
-        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+        if name not in sql or len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
         start = time.time()
         try:

@@ -8,7 +8,7 @@ import pytest
 from changeflow import CUSTOMERS_TO_LOWER as LOWER
 from changeflow.operators import merge
 from changeflow.operators.compact import latest_per_key
-from changeflow.operators.decode import decode, valid_changes
+from changeflow.operators.decode import change_rows, decode
 from pyspark.sql import functions as F
 from test_decode import UPPER, make_log
 
@@ -66,9 +66,7 @@ def make_target(spark, rows):
 
 
 def changes_of(log):
-    valid = valid_changes(decode(log, LOWER))
-    columns = [*LOWER.targets, "outcome", "partition", "offset"]
-    return latest_per_key(valid.select(*columns), LOWER.key)
+    return latest_per_key(change_rows(decode(log, LOWER), LOWER), LOWER.keys)
 
 
 def apply_all(target, log):
@@ -119,8 +117,8 @@ def test_merge_forms_agree(spark):
     changes = changes_of(make_log(spark, values)).cache()
     want = as_state(merge.apply_batch(target, changes, LOWER))
     assert as_state(merge.apply_written(target, changes, LOWER)) == want
-    upserts = changes.where("outcome = 'upsert'")
-    deletes = changes.where("outcome = 'delete'")
+    upserts = changes.where("_change.outcome = 'upsert'")
+    deletes = changes.where("_change.outcome = 'delete'")
     by_steps = merge.merge_delete(merge.merge_upsert(target, upserts, LOWER), deletes, LOWER)
     assert as_state(by_steps) == want
 
@@ -131,12 +129,12 @@ def test_effective_changes_are_exactly_the_difference(spark):
     changes = changes_of(make_log(spark, values)).cache()
     after = replay(rows, values)
     effective = merge.effective_changes(target, changes, LOWER)
-    got = {(r.id, r.action) for r in effective.collect()}
+    got = {(r.id, r["_change"].action) for r in effective.collect()}
     want = {(k, "insert") for k in after.keys() - rows.keys()}
     want |= {(k, "delete") for k in rows.keys() - after.keys()}
     want |= {(k, "update") for k in rows.keys() & after.keys() if rows[k] != after[k]}
     assert got == want
-    applied = merge.apply_batch(target, effective.drop("action"), LOWER)
+    applied = merge.apply_batch(target, effective, LOWER)
     assert as_state(applied) == after
     echo = merge.effective_changes(make_target(spark, after), changes, LOWER)
     assert echo.count() == 0
@@ -173,9 +171,40 @@ def test_a_key_with_a_third_of_the_log_is_combined_before_the_shuffle(spark, tmp
         key.alias("key"), F.col("id").alias("offset"), F.lit(0).alias("partition"), "id"
     )
     rows.write.parquet(str(tmp_path / "rows"))
-    latest = latest_per_key(spark.read.parquet(str(tmp_path / "rows")), "key")
+    latest = latest_per_key(spark.read.parquet(str(tmp_path / "rows")), "key", ("offset", "partition"))
     result = {r.key: r.id for r in latest.where("key = 0 OR key = 1").collect()}
     assert result == {0: n - 3, 1: 1}
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max_by") > plan.index("Exchange")
     assert "Window" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_target_is_not_moved_to_look_up_a_few_rows(spark, tmp_path):
+    rows = spark.range(100_000).selectExpr(
+        "id", "uuid() AS first_name", "uuid() AS last_name", "uuid() AS email"
+    )
+    rows.write.parquet(str(tmp_path / "replica_rows"))
+    target = spark.read.parquet(str(tmp_path / "replica_rows"))
+    value = '{"op":"u","after":{"ID":%d,"FIRST_NAME":"n","LAST_NAME":"n","EMAIL":"n"}}'
+    changes_of(make_log(spark, [value % i for i in (1, 2, 300_000)])).write.parquet(str(tmp_path / "changes"))
+    changes = spark.read.parquet(str(tmp_path / "changes"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 10))
+    try:
+        effective = merge.effective_changes(target, changes, LOWER)
+        assert sorted((r.id, r["_change"].action) for r in effective.collect()) == [
+            (1, "update"), (2, "update"), (300_000, "insert"),
+        ]
+        plan = plan_of(effective).split("Initial Plan")[0]
+        # The scan of the target meets the broadcast keys before anything is moved.
+        lines = plan.splitlines()
+        semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+        scan = next(i for i, line in enumerate(lines) if i > semi and "Scan parquet" in line)
+        assert "BroadcastHashJoin" in lines[semi]
+        assert not any("Exchange" in line for line in lines[semi:scan])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

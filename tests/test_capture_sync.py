@@ -10,7 +10,7 @@ from changeflow import CUSTOMERS_TO_UPPER as TO_UPPER
 from changeflow.operators import merge, quality, route, sync
 from changeflow.operators.capture import diff_events, snapshot_events, with_position
 from changeflow.operators.compact import latest_per_key
-from changeflow.operators.decode import decode, valid_changes
+from changeflow.operators.decode import change_rows, decode
 from changeflow.sources import log as logs
 from changeflow.sources import tables
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ def rows_of(df):
 
 
 def latest(log, mapping):
-    return latest_per_key(valid_changes(decode(log, mapping)), mapping.key)
+    return latest_per_key(change_rows(decode(log, mapping), mapping), mapping.keys)
 
 
 A = [(1, "a", None, "m"), (2, "b", "", "m"), (3, "c", "z", None), (5, 'q"\\\n', "é", "漢")]
@@ -84,15 +84,18 @@ def test_conflicting_seeds(spark):
     )
     upper_as_feed = snapshot_events(upper.toDF(*TO_LOWER.targets), TO_LOWER, 9)
     log = with_position(lower_as_feed.union(upper_as_feed), F.lit(0))
-    winners = sync.resolve_conflicts(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER)
-    writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
-    assert writes.to_upper.count() == 0
+    decided = sync.decide(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER, TO_UPPER)
+    writes = sync.sync_changes(lower, upper, decided, TO_LOWER, TO_UPPER)
+    assert writes.to_upper.count() == 0 and writes.refused.count() == 0
     new_lower = merge.apply_batch(lower, writes.to_lower, TO_LOWER)
     assert rows_of(new_lower) == UPPER_SEED
     compared = quality.reconcile(new_lower, upper, TO_LOWER)
     assert {r.status for r in compared.collect()} == {"match"}
 
 
+UP, LOW = TO_LOWER.topic, TO_UPPER.topic
+
+
 def one_change(mapping, key, name, ts_ms, offset, op="u"):
     image = dict(zip([c.source for c in mapping.columns], (key, name, "", "e")))
     value = {"op": op, "before": image, "after": None if op == "d" else image, "ts_ms": ts_ms}
@@ -120,24 +123,66 @@ def test_conflicts(spark):
     log = log.select(
         "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"), "key", "value"
     )
-    winners = sync.resolve_conflicts(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER)
-    got = {r.id: (r.outcome, r.first_name) for r in winners.collect()}
-    assert got == {
+    want = {
         1: ("upsert", "other"),
         2: ("upsert", "truth"),
         3: ("delete", None),
         4: ("upsert", "timed"),
     }
+    # However the log is cut, the same changes win.
+    cuts = [["TRUE"], ["offset < 1", "offset >= 1"], ["offset % 2 = 1", "offset % 2 = 0"]]
+    cuts += [[f"topic = '{t}'" for t in (a, b)] for a, b in ((UP, LOW), (LOW, UP))]
+    for parts in cuts:
+        last = None
+        for part in parts:
+            last = sync.last_of_both(log.where(part), TO_LOWER, TO_UPPER, last)
+        decided = sync.decide(last, TO_LOWER, TO_UPPER).collect()
+        got = {}
+        for r in decided:
+            change = r["_change"][r["_change"].winner]
+            got[r.id] = (change.outcome, change.first_name)
+        assert got == want, parts
+    decided = sync.decide(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER, TO_UPPER)
     start = [(k, "old", "", "e") for k in (1, 2, 3, 4)]
     lower = frame(spark, start, TO_LOWER)
     upper = frame(spark, [(k, a, None, e) for k, a, _, e in start], TO_UPPER)
-    writes = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
-    lower = merge.apply_batch(lower, writes.to_lower, TO_LOWER)
-    upper = merge.apply_batch(upper, writes.to_upper, TO_UPPER)
+    writes = sync.sync_changes(lower, upper, decided, TO_LOWER, TO_UPPER)
+    # A side gets what the other one won and nothing of its own.
+    assert {r.id for r in writes.to_lower.collect()} == {2}
+    assert {r.ID for r in writes.to_upper.collect()} == {1, 3, 4}
+    held = {}
+    for origin, rows, mapping in ((sync.LOWER, lower, TO_LOWER), (sync.UPPER, upper, TO_UPPER)):
+        settled = sync.settled_changes(decided, origin, TO_LOWER, mapping)
+        held[origin] = merge.apply_written(rows, settled, mapping)
+    lower, upper = held[sync.LOWER], held[sync.UPPER]
     assert rows_of(lower) == [(1, "other", "", "e"), (2, "truth", "", "e"), (4, "timed", "", "e")]
     assert {r.status for r in quality.reconcile(lower, upper, TO_LOWER).collect()} == {"match"}
-    again = sync.sync_changes(lower, upper, winners, TO_LOWER, TO_UPPER)
-    assert again.to_lower.count() == 0 and again.to_upper.count() == 0
+
+
+def test_a_side_keeps_what_the_other_cannot_store(spark):
+    wide = "é" * 200
+    changes = [
+        one_change(TO_UPPER, 1, "ok", 1, 0),
+        one_change(TO_UPPER, 1, wide, 2, 1),
+        one_change(TO_LOWER, 2, "upper", 1, 0),
+        one_change(TO_UPPER, 2, wide, 5, 2),
+        # By the rules of its own side this one was never valid.
+        one_change(TO_LOWER, 3, wide, 9, 1),
+    ]
+    schema = "topic string, partition int, offset bigint, key string, value string"
+    log = spark.createDataFrame(changes, schema).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    decided = sync.decide(sync.last_of_both(log, TO_LOWER, TO_UPPER), TO_LOWER, TO_UPPER)
+    nothing = {m: frame(spark, [], m) for m in (TO_LOWER, TO_UPPER)}
+    lower = sync.settled_changes(decided, sync.LOWER, TO_LOWER, TO_LOWER)
+    upper = sync.settled_changes(decided, sync.UPPER, TO_LOWER, TO_UPPER)
+    lower = merge.apply_written(nothing[TO_LOWER], lower, TO_LOWER)
+    upper = merge.apply_written(nothing[TO_UPPER], upper, TO_UPPER)
+    assert {r.id: r.first_name for r in lower.collect()} == {1: wide, 2: wide}
+    assert {r.ID: r.FIRST_NAME for r in upper.collect()} == {2: "upper"}
+    refused = sync.refused_changes(decided, TO_LOWER).collect()
+    assert {(r.side, r.key, r.outcome) for r in refused} == {
+        ("upper", "1", "error_constraint"), ("upper", "2", "error_constraint"),
+    }
 
 
 def test_reconcile(spark):
@@ -156,9 +201,18 @@ def test_constraints(spark):
         ("not_null", "id", None, 1),
         ("unique", "id", "1", 2),
     }
-    for mapping, extra in ((TO_LOWER, set()), (in_bytes, {("length", "first_name", "1", 256)})):
+    wide = {("length", "first_name", "1", 256)}
+    for mapping, extra in ((TO_LOWER, set()), (in_bytes, wide)):
         found = quality.constraint_violations(table, mapping)
         assert {tuple(r) for r in found.collect()} == expected | extra
+    both = quality.constraint_violations(table, {"c": TO_LOWER, "b": in_bytes})
+    got = {tuple(r) for r in both.collect()}
+    assert got == {("c", *r) for r in expected} | {("b", *r) for r in expected | wide}
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+    pairs = replace(TO_LOWER, key_columns=2)
+    unique = quality.constraint_violations(table, pairs).where("rule = 'unique'")
+    assert unique.count() == 0
 
 
 def test_health(spark):
@@ -183,14 +237,18 @@ def test_health(spark):
 
 
 def test_routes(spark):
-    names = ["oracle.DBZUSER.CUSTOMERS", "postgres.public.orders", "schema-changes.oracle", "x"]
+    names = ["oracle.DBZUSER.CUSTOMERS", "postgres.public.orders", "ddl-journal.upper", "x"]
+    names.append("oracle.my.site.public.t")
     log = spark.createDataFrame([(n,) for n in names], "topic string")
     routed = {r.topic: tuple(r)[1:] for r in route.route_topics(log).collect()}
     assert routed["oracle.DBZUSER.CUSTOMERS"] == ("oracle", "DBZUSER", "CUSTOMERS", True)
-    assert routed["schema-changes.oracle"] == ("schema-changes", "oracle", None, False)
+    assert routed["ddl-journal.upper"] == ("ddl-journal", "upper", None, False)
+    assert routed["oracle.my.site.public.t"] == ("oracle.my.site", "public", "t", True)
     assert routed["x"] == ("x", None, None, False)
     kept = route.include_tables(log, ["DBZUSER"], ["DBZUSER.CUSTOMERS", "public.orders"])
     assert [r.topic for r in kept.collect()] == ["oracle.DBZUSER.CUSTOMERS"]
+    kept = route.include_tables(log, ["public"], ["public.t"])
+    assert [r.topic for r in kept.collect()] == ["oracle.my.site.public.t"]
     assert route.topic_name("oracle", "DBZUSER", "CUSTOMERS") == TO_LOWER.topic
 
 
@@ -204,6 +262,10 @@ def test_kafka_options():
     }
     by_name = logs.kafka_options("host:9092", pattern=route.FEED_PATTERN, start="latest")
     assert by_name["subscribePattern"] == route.FEED_PATTERN
+    more = {"kafka.security.protocol": "SASL_SSL", "minPartitions": "64", "startingOffsets": "latest"}
+    secured = logs.kafka_options("host:9092", topics=["t"], more=more)
+    assert secured["kafka.security.protocol"] == "SASL_SSL" and secured["minPartitions"] == "64"
+    assert secured["startingOffsets"] == "earliest"
     with pytest.raises(ValueError):
         logs.kafka_options("host:9092")
 
@@ -212,9 +274,11 @@ def test_database_options():
     options = tables.jdbc_options("jdbc:x", "customers", "id", 0, 100, 4)
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "4"
     merge_rows, delete_rows = tables.merge_statements(TO_UPPER, "DBZUSER.CUSTOMERS", "STAGED")
-    assert "ON (t.ID = s.ID)" in merge_rows
-    assert "UPDATE SET FIRST_NAME = s.FIRST_NAME, LAST_NAME" in merge_rows
-    assert delete_rows.startswith("DELETE FROM DBZUSER.CUSTOMERS WHERE ID IN")
+    assert 'ON (t."ID" = s."ID")' in merge_rows
+    assert 'UPDATE SET "FIRST_NAME" = s."FIRST_NAME", "LAST_NAME"' in merge_rows
+    assert delete_rows.startswith("DELETE FROM DBZUSER.CUSTOMERS t WHERE EXISTS")
+    # Both statements use the column that staging creates, by its exact name.
+    assert all(f'"{tables.STAGED_OUTCOME}" = ' in text for text in (merge_rows, delete_rows))
 
 
 def test_lookup_reaches_the_scan(spark, sf_dir):

@@ -5,7 +5,9 @@ import json
 import pytest
 
 from changeflow import CUSTOMERS_TO_LOWER, CUSTOMERS_TO_UPPER, Column, TableMapping
-from changeflow.operators.decode import dead_letters, decode, op_name, valid_changes
+from changeflow.operators import merge
+from changeflow.operators.compact import latest_per_key
+from changeflow.operators.decode import change_rows, dead_letters, decode, op_name, valid_changes
 from pyspark.sql import functions as F
 
 UPPER = CUSTOMERS_TO_LOWER.topic
@@ -120,7 +122,7 @@ def decoded_rows(df):
 
 def test_every_outcome(spark):
     rows = decoded_rows(decode(make_log(spark, [c[0] for c in CASES]), CUSTOMERS_TO_LOWER))
-    got = [(c[0], r.outcome, r.id) for c, r in zip(CASES, rows)]
+    got = [(c[0], r.outcome, r.row.id) for c, r in zip(CASES, rows)]
     assert len(rows) == len(CASES)
     assert got == CASES
 
@@ -137,7 +139,7 @@ def test_outcomes_do_not_depend_on_session_settings(spark):
         spark.conf.set(name, value)
         try:
             rows = decoded_rows(decode(make_log(spark, values), CUSTOMERS_TO_LOWER))
-            assert [(c[0], r.outcome, r.id) for c, r in zip(CASES, rows)] == CASES, name
+            assert [(c[0], r.outcome, r.row.id) for c, r in zip(CASES, rows)] == CASES, name
         finally:
             spark.conf.set(name, before)
 
@@ -164,8 +166,8 @@ def test_strict_keys(spark):
     ]
     log = make_log(spark, [create(c[0]) for c in cases])
     rows = decoded_rows(decode(log, CUSTOMERS_TO_LOWER, "strict"))
-    assert [r.id for r in rows] == [c[1] for c in cases]
-    assert {r.outcome for r in rows if r.id is None} == {"error_bad_key"}
+    assert [r.row.id for r in rows] == [c[1] for c in cases]
+    assert {r.outcome for r in rows if r.row.id is None} == {"error_bad_key"}
 
 
 def test_text_columns(spark):
@@ -175,7 +177,7 @@ def test_text_columns(spark):
         '{"op":"d","before":{"ID":1,"FIRST_NAME":"gone"}}',
     ]
     rows = decoded_rows(decode(make_log(spark, values), CUSTOMERS_TO_LOWER))
-    got = [(r.first_name, r.last_name, r.email) for r in rows]
+    got = [(r.row.first_name, r.row.last_name, r.row.email) for r in rows]
     assert got == [("12.5", "true", None), ("7", "", "y"), (None, None, None)]
 
 
@@ -185,7 +187,7 @@ def test_upper_side_counts_bytes_and_has_no_empty_text(spark):
 
     log = make_log(spark, [image("x" * 255), image("é" * 128)], topic=CUSTOMERS_TO_UPPER.topic)
     first, second = decoded_rows(decode(log, CUSTOMERS_TO_UPPER))
-    assert (first.outcome, first.FIRST_NAME, first.LAST_NAME) == ("upsert", None, "b")
+    assert (first.outcome, first.row.FIRST_NAME, first.row.LAST_NAME) == ("upsert", None, "b")
     assert (second.outcome, second.reason) == ("error_constraint", "email")
 
 
@@ -242,14 +244,18 @@ def test_typed_columns_that_do_not_fit(spark):
         image(N=2.0, D=3),
         image(N="x"),
         image(N=3000000000),
+        image(N=12.7),
+        image(N="3.9"),
         image(D="x"),
         image(T=9223372036854775807),
+        image(T=1.5),
         image(DAY="1970-01-01"),
+        image(DAY=0.5),
     ]
     rows = decoded_rows(decode(make_log(spark, values), mapping))
-    assert [r.outcome for r in rows] == ["upsert"] * 3 + ["error_constraint"] * 5
-    assert [r.reason for r in rows[3:]] == ["N", "N", "D", "T", "DAY"]
-    first, second, third = rows[:3]
+    assert [r.outcome for r in rows] == ["upsert"] * 3 + ["error_constraint"] * 9
+    assert [r.reason for r in rows[3:]] == ["N"] * 4 + ["D", "T", "T", "DAY", "DAY"]
+    first, second, third = [r.row for r in rows[:3]]
     assert (first.n, first.d, first.t.second, str(first.day)) == (2, 0.5, 1, "1970-01-02")
     assert (second.n, second.d, second.t, second.day) == (None, None, None, None)
     assert (third.n, third.d) == (2, 3.0)
@@ -270,7 +276,7 @@ def test_the_record_is_parsed_once(spark, tmp_path):
     # Through a file: on local rows the optimizer would evaluate the plan itself.
     make_log(spark, [c[0] for c in CASES]).write.parquet(str(tmp_path / "log"))
     decoded = decode(spark.read.parquet(str(tmp_path / "log")), CUSTOMERS_TO_LOWER)
-    filters = ["TRUE", "outcome = 'upsert'", "op = 'd'", "ts_ms > 5", "id = 3 AND has_after"]
+    filters = ["TRUE", "outcome = 'upsert'", "op = 'd'", "ts_ms > 5", "row.id = 3 AND has_after"]
     for condition in filters:
         plan = decoded.where(condition)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("StructField(_flawed") == 1, condition
@@ -280,21 +286,102 @@ def test_the_record_is_parsed_once(spark, tmp_path):
 def test_unneeded_columns_are_not_read(spark, tmp_path):
     make_log(spark, [c[0] for c in CASES]).write.parquet(str(tmp_path / "log"))
     decoded = decode(spark.read.parquet(str(tmp_path / "log")), CUSTOMERS_TO_LOWER)
-    plan = decoded.select("id", "outcome")._jdf.queryExecution().executedPlan().toString()
+    plan = decoded.select("row.id", "outcome")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<topic:string,value:string>" in plan
     assert "EqualTo(topic,oracle.DBZUSER.CUSTOMERS)" in plan
 
 
-def test_generated_methods_stay_small_enough_to_compile(spark, tmp_path):
-    make_log(spark, [c[0] for c in CASES]).write.parquet(str(tmp_path / "log"))
-    decoded = decode(spark.read.parquet(str(tmp_path / "log")), CUSTOMERS_TO_LOWER)
+def method_sizes(spark, df):
     debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$")
-    plan = decoded._jdf.queryExecution().executedPlan()
+    plan = df._jdf.queryExecution().executedPlan()
     stages = debug.__getattr__("MODULE$").codegenStringSeq(plan).iterator()
     sizes = []
     while stages.hasNext():
         sizes.append(stages.next()._3().maxMethodCodeSize())
-    assert sizes and max(sizes) < 8000
+    return sizes
+
+
+@pytest.mark.parametrize("width", [4, 16, 40])
+def test_generated_methods_stay_small_enough_to_compile(spark, tmp_path, width):
+    kinds = ["string", "bigint", "double", "timestamp_millis", "date_days"]
+    columns = [Column("K", "k", "bigint")]
+    columns += [
+        Column(f"C{i}", f"c{i}", kinds[i % 5], 50 if i % 5 == 0 else None) for i in range(width - 1)
+    ]
+    mapping = TableMapping(topic=UPPER, columns=tuple(columns))
+    image = {"K": 1, **{f"C{i}": 5 for i in range(width - 1)}}
+    values = [create(json.dumps(image)), create(json.dumps({**image, "C1": "x"})), create('{"K":1}')]
+    make_log(spark, values).write.parquet(str(tmp_path / "log"))
+    decoded = decode(spark.read.parquet(str(tmp_path / "log")), mapping)
+    sizes = method_sizes(spark, decoded)
+    assert sizes and 0 < max(sizes) < 8000
+    rows = decoded_rows(decoded)
+    assert [r.outcome for r in rows] == ["upsert", "error_constraint", "error_missing_column"]
+    assert rows[1].reason == "C1" and rows[2].reason == ",".join(f"C{i}" for i in range(width - 1))
+    assert len(rows[0].row) == width and rows[0].row.c1 == 5
+
+
+def test_names_that_clash_or_need_quoting(spark):
+    names = ["unit price", "a$b", "value", "source", "timestamp", "key", "op", "outcome", "row", "x.y", "`"]
+    columns = tuple(Column(n, n) for n in names)
+    mapping = TableMapping(topic=UPPER, columns=columns, key_columns=2)
+    image = {n: f"<{n}>" for n in names}
+    values = [create(json.dumps(image)), json.dumps({"op": "d", "before": {"a$b": "2", "unit price": "1"}})]
+    decoded = decode(make_log(spark, values), mapping)
+    changes = change_rows(decoded, mapping)
+    first, second = sorted(changes.collect(), key=lambda r: r["_change"].offset)
+    assert tuple(first)[:-1] == tuple(image.values())
+    assert tuple(second)[:2] == ("1", "2") and set(second[2:-1]) == {None}
+    latest = latest_per_key(changes, mapping.keys)
+    target = spark.createDataFrame([["1", "2", *["old"] * 9]], mapping.replica_schema)
+    after = merge.apply_batch(target, latest, mapping).collect()
+    assert [tuple(r) for r in after] == [tuple(image.values())]
+    assert merge.effective_changes(target, latest, mapping).count() == 2
+    assert merge.apply_written(target, latest, mapping).count() == 1
+
+
+def test_text_and_composite_keys(spark):
+    mapping = TableMapping(
+        topic=UPPER,
+        columns=(Column("K", "k", max_length=4), Column("N", "n", "int"), Column("D", "d", "date_days"), Column("V", "v")),
+        key_columns=3,
+    )
+
+    def image(k, n, d, **more):
+        return json.dumps({"K": k, "N": n, "D": d, **more})
+
+    values = [
+        create(image("u-1", 1, 0, V="a")),
+        create(image("u-2", 1, 0, V="b")),
+        create(image("u-1", 2.7, 0, V="c")),
+        create(image("u-1", 1, 0, V="last")),
+        create(image(None, 1, 0, V="x")),
+        create(image("u-1", 3000000000, 0, V="x")),
+        create(image("u-1", 1, "soon", V="x")),
+        create(image("longer", 1, 0, V="x")),
+        '{"op":"d","before":' + image("u-2", 1, 0) + "}",
+        '{"op":"d","before":{"K":"u-1","N":1}}',
+    ]
+    decoded = decode(make_log(spark, values), mapping)
+    assert [r.outcome for r in decoded_rows(decoded)] == [
+        *["upsert"] * 4, *["error_bad_key"] * 3, "error_constraint", "delete", "skip_no_before_key",
+    ]
+    latest = latest_per_key(change_rows(decoded, mapping), mapping.keys)
+    got = {(r.k, r.n): (r["_change"].outcome, r.v) for r in latest.collect()}
+    assert got == {("u-1", 1): ("upsert", "last"), ("u-1", 2): ("upsert", "c"), ("u-2", 1): ("delete", None)}
+
+
+def test_mappings_that_cannot_work_are_refused():
+    good = Column("A", "a", "bigint")
+    for columns, keys in (
+        ((Column("A", "a", "double"),), 1),
+        ((Column("A", "a", "timestamp_millis"),), 1),
+        ((good, Column("B", "a")), 1),
+        ((good,), 2),
+        ((good, Column("B", "_change")), 1),
+    ):
+        with pytest.raises(ValueError):
+            TableMapping(topic=UPPER, columns=columns, key_columns=keys)
 
 
 def test_unknown_policy_is_refused(spark):
