@@ -2,6 +2,9 @@
 
 from changeflow.llm.common import UPPER
 
+#: A word: no ASCII white space in it.
+WORD = r"[^\x20\x09-\x0D]+"
+
 ORACLE_SQL = {
     "op1_exact_dedup": f"""
         WITH d AS (
@@ -12,4 +15,44 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY t)
     """,
+    "op2_ngram_join": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{WORD}') AS w
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p : p + 2], ' ') AS g
+            FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS t(p) WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+            FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes sx ON sx.doc_id = x JOIN sizes sy ON sy.doc_id = y
+            WHERE 100 * o >= 90 * (sx.n + sy.n - o)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (
+            SELECT doc_id AS x, doc_id AS y FROM d
+            UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
+    """,
+    "op10_phrase_dedup": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, p, array_to_string(w[p : p + 49], ' ') AS k
+            FROM d, unnest(range(1, len(w) - 48)) AS t(p)),
+        firsts AS (SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k),
+        hits AS (SELECT doc_id, p FROM windows JOIN firsts USING (k) WHERE first_id < doc_id),
+        gone AS (SELECT DISTINCT doc_id, p + o AS p FROM hits, range(0, 50) AS t(o)),
+        words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS rest
+            FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(rest, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }
