@@ -5,11 +5,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import quoted
+from changeflow.llm.common import in_slices, quoted
 from changeflow.llm.tokens import default_tokenizer, encoder_for
 
 #: How a turn is written; the role of a null is empty.
@@ -115,17 +114,17 @@ def tokenized(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
     def encode(batches):
         encoder = encoder_for(path)
         for b in batches:
-            found = [x for i in range(0, len(b), 500) for x in encoder.encode(b["rendered"][i : i + 500].tolist())]
+            found = encoder.encode(b["rendered"].tolist())
             ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in found]
             b["n_tokens"] = [len(i) for i in ids]
             b["ids_crc32"] = [zlib.crc32(x) for x in found]
             b["ids"] = ids
             b["mask"] = [np.full(len(i), int(t), np.int8) for i, t in zip(ids, b["trained"], strict=True)]
-            yield b.astype({"n_tokens": "int64", "ids_crc32": "int64"}) if len(b) else pd.DataFrame(columns=b.columns)
+            yield b
 
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    return rows.mapInPandas(
-        encode, f"{kinds}, n_tokens long, ids_crc32 long, ids array<int>, mask array<tinyint>"
+    return in_slices(
+        rows, encode, f"{kinds}, n_tokens long, ids_crc32 long, ids array<int>, mask array<tinyint>"
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -27,9 +28,56 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``SLICE`` rows for the job that is started inside.
+
+    Ten thousand texts, the default, are buffers of tens of megabytes in every task, in the JVM and
+    in Python.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SLICE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back, so that later jobs start from there."""
-    return written(df, workspace(df.sparkSession, purpose))
+    with small_batches(df.sparkSession):
+        return written(df, workspace(df.sparkSession, purpose))
+
+
+#: Rows that a Python function sees at a time.
+SLICE = 500
+
+
+def in_slices(df: DataFrame, function, schema: str) -> DataFrame:
+    """Like ``mapInPandas``, with at most ``SLICE`` rows in a frame.
+
+    An Arrow batch may hold ten thousand texts; turning all of them into Python strings at once
+    would cost several times their size.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        def parts():
+            for b in batches:
+                for i in range(0, b.num_rows, SLICE):
+                    yield b.slice(i, SLICE).to_pandas(integer_object_nulls=True)
+
+        for out in function(parts()):
+            yield pa.RecordBatch.from_pandas(out, schema=target, preserve_index=False)
+        # The worker may wait for its next task for long; others need the memory.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import gram_hashes, mixed, quoted, texts
+from changeflow.llm.common import gram_hashes, in_slices, mixed, quoted, texts
 
 WORD = re.compile(r"[^\W_]+")
 #: Text of a benchmark that is handed to every task at a time, in bytes.
@@ -214,7 +214,7 @@ def find_contaminated(
     block_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))
     for k in range(blocks):
         block = [(r["item_id"], r["text"]) for r in items.filter(block_of == k).collect()]
-        found = found.mapInPandas(_tiler(spark.sparkContext.broadcast(block), least, threshold), RESULT)
+        found = in_slices(found, _tiler(spark.sparkContext.broadcast(block), least, threshold), RESULT)
     return found.select(
         "doc_id",
         (F.size("items") > 0).alias("contaminated"),

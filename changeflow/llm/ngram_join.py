@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import (
     components,
+    in_slices,
     mixed,
     one_of_twins,
     quoted,
@@ -145,7 +146,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int,
     keyed = rows.withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
     found = rows_of(keyed.withColumnRenamed("no_id", "row_no_id"), named).filter("no_id = row_no_id")
     sets = saved(
-        found.select("text", "set_key", "node").mapInPandas(_sets(size), "node long, grams array<bigint>"), "sets"
+        in_slices(found.select("text", "set_key", "node"), _sets(size), "node long, grams array<bigint>"), "sets"
     ).dropDuplicates(["node"])
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
@@ -191,7 +192,8 @@ def ngram_components(
         raise ValueError("percent is above 0 and at most 100")
     rows = texts(docs, id_col, text_col)
     profiles = saved(
-        rows.withColumn("mark", text_mark(F.col("text"))).mapInPandas(
+        in_slices(
+            rows.withColumn("mark", text_mark(F.col("text"))),
             _profile(size, percent),
             "doc_id long, mark long, n long, set_key string, block array<bigint>, sketch array<bigint>",
         ),

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import saved, texts
+from changeflow.llm.common import in_slices, saved, texts
 from changeflow.llm.tokens import default_tokenizer, encoder_for
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, place long"
@@ -165,18 +165,16 @@ def _cutter(tokenizer: str, capacity: int, end_id: int) -> Callable:
         for batch in batches:
             doc_ids = batch["doc_id"].astype("Int64")
             rows = []
-            for i in range(0, len(batch), 500):
-                encoded = encoder.encode(batch["text"][i : i + 500].tolist())
-                for doc_id, data in zip(doc_ids[i : i + 500], encoded, strict=True):
-                    data += end
-                    total = len(data) // 4
-                    start = 0
-                    for piece in range(-(-total // capacity)):
-                        size = (total - 1) % capacity + 1 if piece == 0 else capacity
-                        crc = zlib.crc32(data[4 * start : 4 * (start + size)])
-                        rows.append((doc_id, piece, start, size, crc, task, seen[size]))
-                        seen[size] += 1
-                        start += size
+            for doc_id, data in zip(doc_ids, encoder.encode(batch["text"].tolist()), strict=True):
+                data += end
+                total = len(data) // 4
+                start = 0
+                for piece in range(-(-total // capacity)):
+                    size = (total - 1) % capacity + 1 if piece == 0 else capacity
+                    crc = zlib.crc32(data[4 * start : 4 * (start + size)])
+                    rows.append((doc_id, piece, start, size, crc, task, seen[size]))
+                    seen[size] += 1
+                    start += size
             if rows:
                 columns = zip(*rows, strict=True)
                 names = [c.split()[0] for c in PIECES.split(", ")]
@@ -210,7 +208,9 @@ def pack_documents(
     Hot lengths are therefore never gathered anywhere.
     """
     rows = texts(docs, id_col, text_col)
-    pieces = saved(rows.mapInPandas(_cutter(tokenizer or default_tokenizer(), capacity, end_id), PIECES), "pieces")
+    pieces = saved(
+        in_slices(rows, _cutter(tokenizer or default_tokenizer(), capacity, end_id), PIECES), "pieces"
+    )
     by_task = saved(pieces.groupBy("length", "task").count(), "piece-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     lengths, firsts, lasts, each, sequence, offset = [], [], [], [], [], []

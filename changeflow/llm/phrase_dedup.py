@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import gram_hashes, rows_of, saved, texts, word_hashes, words_of
+from changeflow.llm.common import gram_hashes, in_slices, rows_of, saved, texts, word_hashes, words_of
 
 WINDOW, PHRASE = 50, 8
 #: Text that one automaton is compiled for and streamed over, in characters.
@@ -168,8 +168,8 @@ def remove_repeats(
     """
     rows = texts(docs, id_col, text_col)
     survey = saved(
-        rows.mapInPandas(
-            _survey(window, phrase), "doc_id long, n_words long, sha string, phrases array<string>"
+        in_slices(
+            rows, _survey(window, phrase), "doc_id long, n_words long, sha string, phrases array<string>"
         ),
         "phrase-survey",
     )
@@ -189,8 +189,8 @@ def remove_repeats(
     wanted = spoken.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_set("phrase").alias("phrases"))
     active = saved(rows_of(rows, saved(wanted, "phrase-wanted")), "phrase-active")
     windows = saved(
-        active.mapInPandas(
-            _locate(window, phrase), "doc_id long, sha string, starts array<int>, hashes array<bigint>"
+        in_slices(
+            active, _locate(window, phrase), "doc_id long, sha string, starts array<int>, hashes array<bigint>"
         ),
         "phrase-windows",
     )
@@ -210,9 +210,11 @@ def remove_repeats(
         .agg(F.collect_set("start").alias("starts"))
     )
     cut = saved(
-        active.select("doc_id", "text")
-        .join(hits, "doc_id")
-        .mapInPandas(_cut(window, with_text), "doc_id long, sha string, cut long, cut_sha string, cut_text string"),
+        in_slices(
+            active.select("doc_id", "text").join(hits, "doc_id"),
+            _cut(window, with_text),
+            "doc_id long, sha string, cut long, cut_sha string, cut_text string",
+        ),
         "phrase-cut",
     ).dropDuplicates(["doc_id", "sha"])
     if not with_text:

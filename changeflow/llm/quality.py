@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import quoted, rows_of, saved, texts, words_of
+from changeflow.llm.common import in_slices, quoted, rows_of, saved, texts, words_of
 
 #: Buckets that words and pairs of words are hashed into.
 BUCKETS = 10_007
@@ -36,7 +36,7 @@ def bucket_model(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
         yield pd.DataFrame({"bucket": used, "n": total[used]})
 
     found = (
-        docs.select("text").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+        in_slices(docs.select("text"), count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     )
     n = np.full(buckets, SMOOTHING)
     for r in found:
@@ -119,7 +119,7 @@ def resample_quality(
                 {"log_weight": float, "mark": "int64"}
             )
 
-    weighed = rows.mapInPandas(weigh, "doc_id long, log_weight double, mark long")
+    weighed = in_slices(rows, weigh, "doc_id long, log_weight double, mark long")
     noise = -F.log(-F.log(uniform(seed, F.col("doc_id"), F.col("mark"))))
     keyed = saved(weighed.withColumn("gumbel_key", F.col("log_weight") + noise).drop("mark"), "quality")
     n = keyed.count()

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import saved, texts
+from changeflow.llm.common import in_slices, saved, texts
 from changeflow.llm.tokens import default_tokenizer, encoder_for, largest_id
 from changeflow.sources.workspace import workspace
 
@@ -128,11 +128,10 @@ def _writer(path: str, tokenizer: str, end_id: int, largest: int) -> Callable:
                 out = system.open_output_stream(place, compression=None)
                 writer = TokenFileWriter(out, width)
             ids = batch["doc_id"].astype("Int64")
-            for i in range(0, len(batch), 500):
-                for doc_id, data in zip(ids[i : i + 500], encoder.encode(batch["text"][i : i + 500].tolist()), strict=True):
-                    data += end
-                    n_ids += len(data) // width
-                    writer.add(None if doc_id is pd.NA else int(doc_id), data)
+            for doc_id, data in zip(ids, encoder.encode(batch["text"].tolist()), strict=True):
+                data += end
+                n_ids += len(data) // width
+                writer.add(None if doc_id is pd.NA else int(doc_id), data)
         if writer is not None:
             writer.close()
             out.close()
@@ -165,7 +164,7 @@ def write_token_files(
     ties = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id"), ties).sortWithinPartitions(F.col("doc_id"), ties)
     return saved(
-        ordered.mapInPandas(_writer(path, tokenizer, end_id, largest), MANIFEST), "token-manifest"
+        in_slices(ordered, _writer(path, tokenizer, end_id, largest), MANIFEST), "token-manifest"
     )
 
 

@@ -13,7 +13,7 @@ import numpy as np
 #: A space that the word after it does not take along, because white space stands on both sides.
 LOOSE = re.compile(r"\s (?:\s|\Z)")
 #: Pieces longer than this are not remembered, and so many are remembered at most.
-LONGEST_KNOWN, MOST_KNOWN = 48, 600_000
+LONGEST_KNOWN, MOST_KNOWN = 48, 200_000
 #: Pieces that go through the tokenizer as one text.
 TOGETHER = 500
 

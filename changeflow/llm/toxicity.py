@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import quoted, rows_of, saved, text_mark, texts
+from changeflow.llm.common import in_slices, quoted, rows_of, saved, text_mark, texts
 
 #: Symbols have five bits: 26 letters, white space, digits and four kinds of other signs.
 BITS = 5
@@ -55,20 +55,20 @@ def gram_codes(text: str, order: int = ORDER) -> np.ndarray:
 
 
 def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``code, toxic, ordinary``: how often each run occurs in rows with ``label`` 1 and 0."""
+    """``code, toxic, ordinary``: how often each run occurs in rows with ``label`` 1 and 0.
+
+    A task holds two counts for each possible run, 16 MB for runs of four."""
 
     def count(batches):
+        total = np.zeros((2, 1 << (BITS * order)), np.int64)
         for b in batches:
-            for label in (0, 1):
-                own = b["text"][b["label"] == label]
-                if len(own):
-                    code, n = np.unique(np.concatenate([gram_codes(t, order) for t in own]), return_counts=True)
-                    zero = np.zeros(len(code), np.int64)
-                    yield pd.DataFrame(
-                        {"code": code, "toxic": n if label else zero, "ordinary": zero if label else n}
-                    )
-
-    counted = docs.mapInPandas(count, "code int, toxic long, ordinary long")
+            for text, label in zip(b["text"], b["label"], strict=True):
+                code, n = np.unique(gram_codes(text, order), return_counts=True)
+                total[label, code] += n
+        used = np.flatnonzero(total.any(0))
+        yield pd.DataFrame({"code": used, "toxic": total[1, used], "ordinary": total[0, used]})
+
+    counted = in_slices(docs, count, "code int, toxic long, ordinary long")
     return counted.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -202,7 +202,7 @@ def score_toxicity(
 
     marked = rows.withColumn("text_mark", text_mark(F.col("text")))
     weighed = saved(
-        marked.mapInPandas(weigh, "doc_id long, text_mark long, mean double, peak double"), "toxicity"
+        in_slices(marked, weigh, "doc_id long, text_mark long, mean double, peak double"), "toxicity"
     )
     fit = (
         weighed.filter(fold(F.col("doc_id")) == 3)
