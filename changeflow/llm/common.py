@@ -206,40 +206,46 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``id, component``: the smallest id that each id of ``links`` (a, b) can reach.
 
-    Each round takes the smallest label among the neighbours, then the label of that label, so
-    the number of rounds follows the logarithm of the longest chain rather than its length.
-    Labels are written every round; nothing but a count comes to the driver. Raises if
-    ``rounds`` are not enough, rather than return labels that are not final.
+    The graph is contracted until no link is left. In each round every node goes over to the
+    first of itself and its neighbours, in an order that is drawn anew by a hash; links are
+    replaced by those of the nodes gone over to. The last node of a component in that order always
+    goes, so it ends; on average a fixed share goes, whatever the shape and numbering, so rounds
+    follow the logarithm of the number of nodes. Where each node went is written every round and
+    followed back at the end, from the smallest table to the largest; nothing but a count comes
+    to the driver.
     """
-    pairs = links.select("a", "b").filter("a <> b")
-    edges = saved(
-        pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
-    )
-    labels = saved(
-        edges.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component")),
-        "labels",
-    )
-    for _ in range(rounds):
-        near = (
-            edges.join(labels.select(F.col("id").alias("b"), "component"), "b")
-            .select(F.col("a").alias("id"), "component")
-            .unionByName(labels)
-            .groupBy("id")
-            .agg(F.min("component").alias("component"))
-        )
-        root = labels.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        jumped = near.join(root, "component", "left").select(
-            "id", F.least("component", F.coalesce("root", "component")).alias("component")
+
+    def both_ways(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.filter("a <> b")
+        return saved(
+            pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
         )
-        old = labels.select("id", F.col("component").alias("old"))
-        after = saved(
-            jumped.join(old, "id").select("id", "component", (F.col("component") != F.col("old")).alias("moved")),
-            "labels",
+
+    def place(node: str, number: int) -> Column:
+        return F.struct(F.xxhash64(F.col(node), F.lit(number)).alias("place"), F.col(node).alias("node"))
+
+    edges = both_ways(links.select("a", "b"))
+    none = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    moves: list[DataFrame] = []
+    while edges.limit(1).count():
+        k = len(moves)
+        first = edges.groupBy("a").agg(F.min(place("b", k)).alias("near"))
+        move = saved(first.select(F.col("a").alias("id"), F.least(place("a", k), "near")["node"].alias("to")), "moves")
+        moves.append(move)
+        ends = edges.filter("a < b")
+        for end in "ab":
+            ends = ends.join(move.toDF(end, f"to_{end}"), end)
+        edges = both_ways(ends.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")))
+    if not moves:
+        return none
+    reached = moves.pop()
+    while moves:
+        further = reached.toDF("to", "further")
+        reached = saved(
+            moves.pop().join(further, "to", "left").select("id", F.coalesce("further", "to").alias("to")), "labels"
         )
-        labels = after.select("id", "component")
-        if not after.filter("moved").limit(1).count():
-            return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
+    smallest = reached.groupBy("to").agg(F.min("id").alias("component"))
+    return reached.join(smallest, "to").select("id", "component")

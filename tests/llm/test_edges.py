@@ -156,6 +156,20 @@ def test_components_of_a_long_chain(spark):
     assert {r["id"]: r["component"] for r in got} == {**{i: 0 for i in range(301)}, 999: 999, 1000: 999}
 
 
+@pytest.mark.parametrize("numbering", ["random", "rising"])
+def test_components_of_a_chain_of_near_copies(spark, numbering):
+    """Versions of a text, each linked to the next only, numbered as hashed sets are or in order."""
+    import random
+
+    ids = list(range(2000))
+    if numbering == "random":
+        random.Random(3).shuffle(ids)
+    rows = [*zip(ids, ids[1:]), (5000, 5001), (5001, 5002), (5002, 5000)]
+    got = components(spark.createDataFrame(rows, "a long, b long").repartition(4)).collect()
+    assert {r["id"]: r["component"] for r in got} == {**{i: 0 for i in ids}, 5000: 5000, 5001: 5000, 5002: 5000}
+    assert len(got) == 2003
+
+
 def test_decontamination(spark, odd):
     items = [(1, "the quick brown fox jumps over the lazy dog"), (2, "two words"), (3, "..."), (4, None), (None, "x")]
     bench = spark.createDataFrame(items, "item_id long, text string")
