@@ -54,28 +54,46 @@ def gram_codes(text: str, order: int = ORDER) -> np.ndarray:
     return code
 
 
+#: Folds whose labels may be used. Fold 2 is held out.
+LEARNED = (0, 1, 3)
+
+
 def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``code, toxic, ordinary``: how often each run occurs in rows with ``label`` 1 and 0.
+    """``fold, code, toxic, ordinary``: how often each run occurs in rows with ``label`` 1 and 0.
 
-    A task holds two counts for each possible run, 16 MB for runs of four."""
+    A task holds two counts for each possible run and fold, 48 MB for runs of four."""
 
     def count(batches):
-        total = np.zeros((2, 1 << (BITS * order)), np.int64)
+        total = np.zeros((len(LEARNED), 2, 1 << (BITS * order)), np.int64)
         for b in batches:
-            for text, label in zip(b["text"], b["label"], strict=True):
+            for text, label, own in zip(b["text"], b["label"], b["fold"], strict=True):
                 code, n = np.unique(gram_codes(text, order), return_counts=True)
-                total[label, code] += n
-        used = np.flatnonzero(total.any(0))
-        yield pd.DataFrame({"code": used, "toxic": total[1, used], "ordinary": total[0, used]})
+                total[LEARNED.index(own), label, code] += n
+        for k, own in enumerate(LEARNED):
+            used = np.flatnonzero(total[k].any(0))
+            yield pd.DataFrame({"fold": own, "code": used, "toxic": total[k, 1, used], "ordinary": total[k, 0, used]})
+
+    counted = in_slices(docs, count, "fold int, code int, toxic long, ordinary long")
+    return counted.groupBy("fold", "code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
 
-    counted = in_slices(docs, count, "code int, toxic long, ordinary long")
-    return counted.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+def codes_of_all(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """``code`` of each run that occurs in any row; labels are not needed for that."""
+
+    def collect(batches):
+        met = np.zeros(1 << (BITS * order), bool)
+        for b in batches:
+            for text in b["text"]:
+                met[gram_codes(text, order)] = True
+        yield pd.DataFrame({"code": np.flatnonzero(met)})
+
+    return in_slices(docs, collect, "code int").distinct()
 
 
 def _shared(codes: np.ndarray, order: int, discount: float) -> np.ndarray:
     """Probability of the last symbol of each run, by in how many ways the run is preceded.
 
-    ``codes`` are the distinct runs of ``order`` symbols of both classes together.
+    ``codes`` are the distinct runs of ``order`` symbols of all documents.
     """
     size = 1 << (BITS * (order - 1))
     suffix = codes & (size - 1)
@@ -92,13 +110,13 @@ def _shared(codes: np.ndarray, order: int, discount: float) -> np.ndarray:
     return found[suffix]
 
 
-def ratios(counts: pd.DataFrame, order: int = ORDER, discount: float = DISCOUNT):
-    """Log-likelihood ratios, toxic against ordinary.
+def ratios(counts: pd.DataFrame, codes: np.ndarray, order: int = ORDER, discount: float = DISCOUNT):
+    """Log-likelihood ratios, toxic against ordinary. ``codes`` are the runs of all documents, sorted.
 
     Two arrays: by run of ``order`` symbols (NaN: never seen) and by run of ``order - 1``, for an
     unseen symbol after it. A symbol that follows a run in one class gets the class's
-    discounted share; what the discount frees is spread by the counts that both classes share, so
-    an expression that one class lacks is judged by how ordinary it is at all.
+    discounted share; what the discount frees is spread by the counts of all documents, so an
+    expression that one class lacks is judged by how ordinary it is at all.
     """
     size = 1 << (BITS * order)
     seen, unseen = np.full(size, np.nan, np.float16), np.zeros(size >> BITS, np.float32)
@@ -106,7 +124,7 @@ def ratios(counts: pd.DataFrame, order: int = ORDER, discount: float = DISCOUNT)
         return seen, unseen
     code = counts["code"].to_numpy(np.int64)
     context = code >> BITS
-    shared = _shared(code, order, discount)
+    shared = _shared(codes, order, discount)[np.searchsorted(codes, code)]
     logs, free = [], []
     for name in ("toxic", "ordinary"):
         n = counts[name].to_numpy(float)
@@ -168,10 +186,12 @@ def score_toxicity(
     """One row per input row: ``doc_id, text_mark, held_out, score, predicted``.
 
     Rows of fold 2 are held out: their labels are never used. The counts of both models cover
-    every labelled row of folds 0 and 1, and the two weights that turn the evidence into a score are
-    fitted on labelled rows of fold 3, which the models have not seen, at most ``fit_rows`` of
-    them (those with the smallest hash of the id). The model has at most ``32 ** order``
-    entries whatever the corpus, so it can be handed to every task.
+    every labelled row of the other folds, and the shared backoff counts every row. The two weights
+    that turn the evidence into a score are fitted on labelled rows of those folds, at most
+    ``fit_rows`` of them (those with the smallest hash of the id); the evidence of such a row is
+    taken without the counts of its own fold, so from models that have not seen it. The model
+    has at most ``32 ** order`` entries whatever the corpus, so it and those without a fold can be
+    handed to every task.
 
     A null text is empty; an empty text has no evidence and gets the score of no evidence.
     Labels other than 0 and 1 and labels of null ids are not used; an id with two labels counts
@@ -185,10 +205,20 @@ def score_toxicity(
         .filter("doc_id is not null and label in (0, 1)")
         .distinct()
     )
-    learn = rows_of(rows, known.filter(fold(F.col("doc_id")) < 2))
-    counts = class_counts(learn.select("text", "label"), order).toPandas()
-    seen, unseen = ratios(counts, order)
+    own = fold(F.col("doc_id")).cast("int").alias("fold")
+    learn = saved(
+        rows_of(rows, known.filter(fold(F.col("doc_id")) != 2)).select("doc_id", "text", "label", own), "labelled"
+    )
+    counts = saved(class_counts(learn.select("text", "label", "fold"), order), "counts").toPandas()
+    codes = np.sort(saved(codes_of_all(rows.select("text"), order), "codes").toPandas()["code"].to_numpy(np.int64))
+
+    def without_fold(left_out: int | None):
+        part = counts if left_out is None else counts[counts["fold"] != left_out]
+        return ratios(part.groupby("code", as_index=False)[["toxic", "ordinary"]].sum(), codes, order)
+
+    seen, unseen = without_fold(None)
     both = len(counts) and counts["toxic"].any() and counts["ordinary"].any()
+    crossed = spark.sparkContext.broadcast({k: without_fold(k) for k in LEARNED})
     model = spark.sparkContext.broadcast((seen, unseen))
 
     def weigh(batches):
@@ -200,13 +230,21 @@ def score_toxicity(
                 {"doc_id": b["doc_id"].astype("Int64"), "text_mark": b["text_mark"], "mean": mean, "peak": peak}
             ).astype({"mean": float, "peak": float})
 
+    def weigh_crossed(batches):
+        tables = crossed.value
+        for b in batches:
+            found = [evidence(t, *tables[k], order) for t, k in zip(b["text"], b["fold"], strict=True)]
+            mean, peak = zip(*found, strict=True) if found else ((), ())
+            yield pd.DataFrame(
+                {"doc_id": b["doc_id"], "label": b["label"], "mean": mean, "peak": peak}
+            ).astype({"mean": float, "peak": float})
+
     marked = rows.withColumn("text_mark", text_mark(F.col("text")))
     weighed = saved(
         in_slices(marked, weigh, "doc_id long, text_mark long, mean double, peak double"), "toxicity"
     )
     fit = (
-        weighed.filter(fold(F.col("doc_id")) == 3)
-        .join(known, "doc_id")
+        in_slices(learn, weigh_crossed, "doc_id long, label int, mean double, peak double")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "mean")
         .limit(fit_rows)
         .toPandas()

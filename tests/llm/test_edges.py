@@ -377,6 +377,40 @@ def test_toxicity(odd, labels, none):
     assert score_toxicity(odd, labels.filter("false")).filter("predicted = 1").count() == 0
 
 
+def test_toxicity_learns_from_all_folds_but_the_held_out(spark):
+    """Two toxic words: one stands in labelled rows of one fold only, whichever that is."""
+    from zlib import crc32
+
+    fold_of = lambda i: crc32(str(i).encode()) % 4
+    base = "the weather is fine today and we walk along the river"
+    for only in (0, 1, 3):
+        rows, known = [], []
+        for i in range(400):
+            toxic = i % 3 == 0
+            word = "wretchlump" if fold_of(i) == only else "gobknuckle"
+            rows.append((i, f"{base} {word} {word} with {i}" if toxic else f"{base} with {i}"))
+            known.append((i, int(toxic)))
+        held = [i for i in range(400, 500) if fold_of(i) == 2][:2]
+        rows += [(held[0], f"{base} wretchlump wretchlump with 7"), (held[1], f"{base} with 7")]
+        got = score_toxicity(
+            spark.createDataFrame(rows, "doc_id long, text string").repartition(3),
+            spark.createDataFrame(known, "doc_id long, toxic int"),
+        )
+        score = {r["doc_id"]: (r["score"], r["predicted"]) for r in got.filter(F.col("doc_id") >= 400).collect()}
+        assert score[held[0]][1] == 1 and score[held[1]][1] == 0, (only, score)
+
+
+def test_toxicity_counts_cover_all_rows(spark):
+    from changeflow.llm.toxicity import class_counts, codes_of_all, gram_codes
+
+    rows = [("abab", 1, 0), ("abcd", 0, 1), ("wxyz", 1, 3)]
+    frame = spark.createDataFrame(rows, "text string, label int, fold int")
+    got = {(r["fold"], r["code"]): (r["toxic"], r["ordinary"]) for r in class_counts(frame).collect()}
+    assert got == {(k, int(c)): (y, 1 - y) for t, y, k in rows for c in gram_codes(t)}
+    codes = {r["code"] for r in codes_of_all(frame.select("text")).collect()}
+    assert codes == {int(c) for t, _, _ in rows for c in gram_codes(t)}
+
+
 def test_quality(odd, labels, none):
     got = resample_quality(odd, labels, share=0.5)
     assert got.count() == odd.count()
