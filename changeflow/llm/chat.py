@@ -5,10 +5,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import in_slices, quoted
+from changeflow.llm.common import in_slices, partitions, quoted, saved
 from changeflow.llm.tokens import default_tokenizer, encoder_for
 
 #: How a turn is written; the role of a null is empty.
@@ -128,32 +128,40 @@ def tokenized(rows: DataFrame, tokenizer: str | None = None) -> DataFrame:
     )
 
 
-def swapped_replies(
+def neighbour_pairs(
     turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """Turns and pairs made from plain conversations, as ``preference_turns`` takes them.
+) -> DataFrame:
+    """``pair_id, chosen, rejected``: every conversation as chosen, and its neighbour as rejected.
+
+    Conversations are put in order by a hash of their first turn, then by id, so those that begin
+    alike stand together; the neighbour is the next one, and the first one after the last. So any
+    conversation is chosen once and rejected once, whatever its id and whoever speaks in it.
+    The only conversation of a table has an id without turns as neighbour.
 
-    Every conversation up to its last reply is a chosen one. Its rejected counterpart ends with
-    the last reply of its neighbour, the conversation whose id differs in the lowest bit, and
-    has the id ``-1 - id``. Conversations without a reply, or whose neighbour has none, make no pair.
+    The order is dealt out by ranges of both, so a first turn that many share is not one task;
+    the driver sees one id per range.
     """
-    said = clean_turns(turns, conv_col, turn_col, role_col, text_col).filter("conv >= 0")
-    last = (
-        said.filter(F.col("role") == TRAINED_ROLE)
-        .groupBy("conv")
-        .agg(F.max(F.struct("turn", "text")).alias("l"))
-        .select("conv", F.col("l.turn").alias("last"), F.col("l.text").alias("reply"))
+    spark = turns.sparkSession
+    said = clean_turns(turns, conv_col, turn_col, role_col, text_col)
+    heads = said.groupBy("conv").agg(F.min(F.struct("turn", F.xxhash64("role", "text").alias("first"))).alias("h"))
+    dealt = saved(
+        heads.select("conv", F.col("h.first").alias("first"))
+        .repartitionByRange(partitions(spark), "first", "conv")
+        .withColumn("part", F.spark_partition_id()),
+        "conversations",
     )
-    other = last.select(F.col("conv").bitwiseXOR(F.lit(1).cast("long")).alias("conv"), F.col("reply").alias("swap"))
-    chosen = said.join(last.join(other, "conv").select("conv", "last", "swap"), "conv").filter("turn <= last")
-    rejected = chosen.select(
-        (-1 - F.col("conv")).alias("conv"),
-        "turn",
-        "role",
-        F.when(F.col("turn") == F.col("last"), F.col("swap")).otherwise(F.col("text")).alias("text"),
+    starts = sorted(
+        (r["part"], r["start"]["conv"])
+        for r in dealt.groupBy("part").agg(F.min(F.struct("first", "conv")).alias("start")).collect()
     )
-    made = chosen.select("conv", "turn", "role", "text").unionByName(rejected)
-    pairs = last.join(other, "conv").select(
-        F.col("conv").alias("pair_id"), F.col("conv").alias("chosen"), (-1 - F.col("conv")).alias("rejected")
+    follows = [(part, starts[(i + 1) % len(starts)][1]) for i, (part, _) in enumerate(starts)]
+    following = spark.createDataFrame(follows, "part int, following long")
+    order = Window.partitionBy("part").orderBy("first", "conv")
+    paired = dealt.withColumn("after", F.lead("conv").over(order)).join(following, "part")
+    other = F.coalesce("after", "following")
+    nobody = F.col("conv").bitwiseXOR(F.lit(1).cast("long"))
+    return paired.select(
+        F.col("conv").alias("pair_id"),
+        F.col("conv").alias("chosen"),
+        F.when(other == F.col("conv"), nobody).otherwise(other).alias("rejected"),
     )
-    return made.toDF("conv_id", "turn", "role", "text"), pairs

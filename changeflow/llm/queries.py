@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.chat import preference_turns, swapped_replies, tokenized
+from changeflow.llm.chat import neighbour_pairs, preference_turns, tokenized
 from changeflow.llm.decontaminate import find_contaminated
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.ngram_join import ngram_components
@@ -66,8 +66,8 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns, pairs = swapped_replies(table(spark, sf_dir, "conversations"))
-    return tokenized(preference_turns(turns, pairs)).drop("ids", "mask")
+    turns = table(spark, sf_dir, "conversations")
+    return tokenized(preference_turns(turns, neighbour_pairs(turns))).drop("ids", "mask")
 
 
 def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -474,6 +474,38 @@ def test_chat(spark):
         assert r["mask"] == [int(r["trained"])] * r["n_tokens"] and len(r["ids"]) == r["n_tokens"]
 
 
+def test_every_conversation_is_paired(spark):
+    """Sparse and negative ids, conversations without reply, a first turn that many share."""
+    from changeflow.llm.chat import neighbour_pairs
+
+    turns = []
+    for i in range(-40, 400, 10):
+        first = "shared" if i % 20 else f"own {i}"
+        turns += [(i, 0, "user", first), (i, 1, "assistant", f"a{i}"), (i, 2, "user", "more"), (i, 5, "user", f"z{i}")]
+    turns.append((777, 0, "user", "shared"))
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").repartition(3)
+    ids = {t[0] for t in turns}
+    pairs = neighbour_pairs(frame).collect()
+    assert len(pairs) == len(ids)
+    assert {p["chosen"] for p in pairs} == {p["rejected"] for p in pairs} == ids
+    assert all(p["chosen"] != p["rejected"] for p in pairs)
+    got = preference_turns(frame, neighbour_pairs(frame)).collect()
+    used = {(r["pair_id"], r["turn"]) for r in got if r["part"] in ("prompt", "chosen")}
+    assert used == {(t[0], t[1]) for t in turns}
+    assert sum(r["part"] == "prompt" for r in got) == sum(t[3] == "shared" for t in turns) - 1
+    alone = frame.filter("conv_id = 777")
+    assert [(r["part"], r["turn"]) for r in preference_turns(alone, neighbour_pairs(alone)).collect()] == [("chosen", 0)]
+    assert neighbour_pairs(frame.filter("false")).count() == 0
+
+
+def test_registered_chat_uses_the_whole_table(spark, sf_dir):
+    from changeflow.llm.queries import op9_preference_chat
+
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn").distinct()
+    got = op9_preference_chat(spark, sf_dir).filter("part <> 'rejected'")
+    assert pairs_of(got, "pair_id", "turn") == pairs_of(table, "conv_id", "turn")
+
+
 def test_empty_tables(none, labels, spark):
     assert exact_dedup(none).count() == deduplicated(none).count() == 0
     assert ngram_components(none).count() == one_of_each(none).count() == 0
