@@ -31,7 +31,9 @@ BASE = {
 LEAST_VALUE = 6
 #: Parts that mean little alone. Identifiers include the base kind ``access``.
 IDENTIFIERS = r"\b(?:ASIA[A-Z0-9]{12,}|(?:[Uu]ser(?:name)?|[Ll]ogin|[Aa]ccess_?[Kk]ey_?[Ii]d)\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@+-]{3,})"
-SECRETS = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z]{0,80}[A-Z])[A-Za-z0-9+/_-]{32,80}={0,2}(?![A-Za-z0-9+/=_-])"
+#: A whole run of 32 characters or more with a digit and a capital letter. The value of a name
+#: may stand directly after "="; a run that "=" and a value follow is a name itself.
+SECRETS = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])[A-Za-z0-9+/_-]{32,}+={0,2}+(?![A-Za-z0-9+/=_-])"
 ENDPOINTS = r"\b(?:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9.-]+(?::[0-9]{2,5})?"
 KINDS = (*BASE, "secret", "endpoint")
 #: Steps of the running sums; places of n matches cost about n times this.
