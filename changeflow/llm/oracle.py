@@ -5,6 +5,21 @@ from changeflow.llm.common import UPPER
 #: A word: no ASCII white space in it.
 WORD = r"[^\x20\x09-\x0D]+"
 
+
+
+def _leaf(n_chars: str) -> str:
+    """The columns of a row as its leaf has them."""
+    columns = ("doc_id", "source", "lang", n_chars, "text")
+    return " || ".join(
+        f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in columns
+    )
+
+
+#: The level above a list of digests, and the step of a proof at one level (end: only the root is left).
+_NEXT = "list_transform(range((len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')))"
+_STEP = """CASE WHEN len(l) = 1 THEN 'end' WHEN (pos >> lv) & 1 = 1 THEN 'L' || l[(pos >> lv)]
+    ELSE 'R' || coalesce(l[(pos >> lv) + 2], '') END"""
+
 ORACLE_SQL = {
     "op1_exact_dedup": f"""
         WITH d AS (
@@ -55,4 +70,48 @@ ORACLE_SQL = {
                sha256(coalesce(rest, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op11_merkle": rf"""
+        WITH RECURSIVE d AS (
+            SELECT *, list_reduce(
+                list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+                lambda crc, c: list_reduce(
+                    list_prepend(xor(crc, c), range(8)::UBIGINT[]),
+                    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, {0xEDB88320}::UBIGINT) ELSE x >> 1 END)) AS crc
+            FROM documents),
+        claims AS (
+            SELECT *, CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS claimed
+            FROM d),
+        hashed AS (
+            SELECT doc_id, lang, sha256({_leaf("n_chars")}) AS leaf, sha256({_leaf("claimed")}) AS tried
+            FROM claims),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+        tree AS (
+            SELECT lang, 0 AS lv, list(leaf ORDER BY pos) AS l FROM placed GROUP BY lang
+            UNION ALL SELECT lang, lv + 1, {_NEXT} FROM tree WHERE len(l) > 1),
+        subroots AS (SELECT lang, l[1] AS subroot FROM tree WHERE len(l) = 1),
+        ranked AS (
+            SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM subroots),
+        top AS (
+            SELECT 0 AS lv, list(subroot ORDER BY pos) AS l FROM ranked
+            UNION ALL SELECT lv + 1, {_NEXT} FROM top WHERE len(l) > 1),
+        low AS (
+            SELECT p.doc_id, p.lang, p.leaf, p.tried, list({_STEP} ORDER BY t.lv) AS steps
+            FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang
+            GROUP BY ALL),
+        high AS (
+            SELECT p.lang, p.subroot, list({_STEP} ORDER BY t.lv) AS steps FROM ranked p, top t GROUP BY ALL),
+        paths AS (
+            SELECT doc_id, leaf, subroot, tried,
+                   list_filter(list_concat(low.steps, high.steps), lambda s: s <> 'end') AS steps
+            FROM low JOIN high ON low.lang IS NOT DISTINCT FROM high.lang),
+        folded AS (
+            SELECT doc_id, leaf, subroot,
+                   sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+                   list_reduce(list_prepend('x' || tried, steps), lambda a, s: 'x' || sha256(
+                       CASE s[1] WHEN 'L' THEN s[2:] || a[2:] ELSE a[2:] || s[2:] END))[2:] AS folded_root
+            FROM paths)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+        FROM folded, (SELECT l[1] AS root FROM top WHERE len(l) = 1)
+    """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from changeflow.llm.chat import neighbour_pairs, preference_turns, tokenized
 from changeflow.llm.decontaminate import find_contaminated
 from changeflow.llm.exact_dedup import exact_dedup
+from changeflow.llm.merkle import build_manifest, folded, path_digest, proofs
 from changeflow.llm.ngram_join import ngram_components
 from changeflow.llm.packing import pack_documents
 from changeflow.llm.phrase_dedup import remove_repeats
@@ -74,6 +75,23 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row proved; where 7 divides the CRC of its id, with a length that is one too many."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claimed = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    proved = proofs(build_manifest(docs, claims={"n_chars": claimed}))
+    end = folded(F.coalesce("claimed", "leaf"), F.col("path"))
+    return proved.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        path_digest(F.col("path")).alias("proof_sha256"),
+        end.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,5 +105,6 @@ QUERIES = {
         op8_token_files,
         op9_preference_chat,
         op10_phrase_dedup,
+        op11_merkle,
     )
 }
