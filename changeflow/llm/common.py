@@ -249,3 +249,20 @@ def components(links: DataFrame) -> DataFrame:
         )
     smallest = reached.groupBy("to").agg(F.min("id").alias("component"))
     return reached.join(smallest, "to").select("id", "component")
+
+
+#: A value is hot if it holds more than this share of all rows, so no more than 4,096 values are.
+HOT_SHARE = 4096
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``facts`` (unique by ``key``), whatever share of the rows a key has.
+
+    ``weight`` says how many of the ``total`` rows have the key. The facts of hot keys, of which
+    there can be ``HOT_SHARE`` at most, are broadcast and their rows stay where they are; the others
+    meet in a shuffle, with less than one part in ``HOT_SHARE`` of the rows under any key.
+    """
+    is_hot = F.col(weight) * HOT_SHARE >= total
+    hot = facts.filter(is_hot)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.filter(~is_hot), key)
+    return rows.join(F.broadcast(hot), key).select(*cold.columns).unionByName(cold)

@@ -9,9 +9,11 @@ from changeflow.llm.chat import neighbour_pairs, preference_turns, tokenized
 from changeflow.llm.decontaminate import find_contaminated
 from changeflow.llm.exact_dedup import exact_dedup
 from changeflow.llm.merkle import build_manifest, folded, path_digest, proofs
+from changeflow.llm.minhash import minhash_components
 from changeflow.llm.ngram_join import ngram_components
 from changeflow.llm.packing import pack_documents
 from changeflow.llm.phrase_dedup import remove_repeats
+from changeflow.llm.phrases import collocations
 from changeflow.llm.quality import resample_quality
 from changeflow.llm.secrets import scan_secrets
 from changeflow.llm.token_files import token_digests, write_token_files
@@ -92,6 +94,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_components(table(spark, sf_dir, "documents"), size=5, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,5 +118,7 @@ QUERIES = {
         op9_preference_chat,
         op10_phrase_dedup,
         op11_merkle,
+        op12_phrases,
+        op13_minhash,
     )
 }

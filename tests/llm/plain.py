@@ -97,3 +97,90 @@ def repeats(rows, window):
 
 def crc(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def sha_of(*parts):
+    return sha("".join(parts))
+
+
+def merkle_levels(nodes):
+    """All levels of a tree, the given one first."""
+    levels = [list(nodes)]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        levels.append([sha_of(*low[i : i + 2]) for i in range(0, len(low), 2)])
+    return levels
+
+
+def merkle_path(levels, place):
+    path = []
+    for low in levels[:-1]:
+        other = place ^ 1
+        path.append((low[other] if other < len(low) else "", place & 1))
+        place >>= 1
+    return path
+
+
+def merkle(rows, tampered):
+    """``doc_id, leaf, subroot, root, proof, folded root`` of rows (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(values):
+        return sha_of(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+    by_lang = defaultdict(list)
+    for row in rows:
+        tried = row if row[3] is None or not tampered(row[0]) else (*row[:3], row[3] + 1, row[4])
+        by_lang[row[2]].append((row[0] is not None, row[0] or 0, leaf(row), leaf(tried)))
+    langs = sorted(by_lang, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: merkle_levels([x[2] for x in sorted(by_lang[g])]) for g in langs}
+    top = merkle_levels([trees[g][-1][0] for g in langs]) if langs else []
+    out = []
+    for k, g in enumerate(langs):
+        for place, (named, doc_id, own, tried) in enumerate(sorted(by_lang[g])):
+            path = merkle_path(trees[g], place) + merkle_path(top, k)
+            node = tried
+            for sibling, left in path:
+                node = sha_of(sibling, node) if left else sha_of(node, sibling)
+            ends = trees[g][-1][0], top[-1][0]
+            out.append((doc_id if named else None, own, *ends, sha_of(*[s for s, _ in path]), node))
+    return out
+
+
+def phrase_counts(rows, longest):
+    """Counts of words by language, and of runs of up to ``longest`` words in a piece."""
+    totals, runs = defaultdict(int), defaultdict(int)
+    for _, lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", folded(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, longest + 1):
+                for i in range(len(words) - n + 1):
+                    runs[lang, tuple(words[i : i + n])] += 1
+    return totals, runs
+
+
+def collocations(rows, longest=3, least=10, within=50, most=2000):
+    totals, runs = phrase_counts(rows, longest)
+    frequent = {k: a for k, a in runs.items() if a >= least and len(k[1]) > 1}
+    hidden = defaultdict(int)
+    for (lang, words), a in frequent.items():
+        for n in range(2, len(words)):
+            for i in range(len(words) - n + 1):
+                part = lang, words[i : i + n]
+                hidden[part] = max(hidden[part], a)
+    by_lang = defaultdict(list)
+    for (lang, words), a in frequent.items():
+        if 100 * hidden[lang, words] >= within * a:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            x, y = runs[lang, words[:k]], runs[lang, words[k:]]
+            cuts.append((1_000_000 * a * a // (x * y), k, x, y))
+        score, _, x, y = min(cuts)
+        by_lang[lang].append((-score, -a, " ".join(words).encode(), x, y))
+    out = []
+    for lang, found in by_lang.items():
+        for rank, (score, a, phrase, x, y) in enumerate(sorted(found)[:most], 1):
+            out.append((lang, rank, phrase.decode(), -a, x, y, totals[lang], -score))
+    return out
