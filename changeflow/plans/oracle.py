@@ -148,6 +148,9 @@ all_topics AS (
   UNION ALL SELECT 'ddl-journal.upper' FROM region)"""
 
 _APPLIED_LOWER = f"WITH {STATES} SELECT * FROM lower_after"
+_APPLIED_HALF = _APPLIED_LOWER.replace(
+    "FROM events)", "FROM events WHERE event_id <= (SELECT floor(avg(event_id)) FROM events))"
+)
 _APPLIED_UPPER = f"""WITH {STATES} SELECT id AS "ID", first_name AS "FIRST_NAME",
   last_name AS "LAST_NAME", email AS "EMAIL" FROM upper_after"""
 _WINNERS = """
@@ -391,4 +394,11 @@ FROM ranked JOIN runs USING (part) WHERE place = 1""",
     "stream_dead_letters": f"""WITH {LOG}
 SELECT {_DEAD} FROM log WHERE {_NOT_VALID} AND topic = '{UPPER_TOPIC}'""",
     "bootstrap_then_stream": _APPLIED_LOWER,
+    "snapshot_chunks": _APPLIED_LOWER,
+    "repeated_batch": f"""
+SELECT *, 'after the first died' AS seen FROM ({_APPLIED_HALF})
+UNION ALL SELECT *, 'after the repetition' FROM ({_APPLIED_LOWER})
+UNION ALL SELECT *, 'after folding' FROM ({_APPLIED_LOWER})""",
+    "fold_parts": _APPLIED_LOWER,
+    "sync_batches": _SYNCED,
 }

@@ -13,18 +13,20 @@ from changeflow.model import CUSTOMERS_TO_LOWER as TO_LOWER
 from changeflow.model import CUSTOMERS_TO_UPPER as TO_UPPER
 from changeflow.model import Column, TableMapping
 from changeflow.operators import merge, quality, route, sync
-from changeflow.operators.capture import diff_events, snapshot_events, with_position
+from changeflow.operators.capture import chunk_events, diff_events, end_marks, snapshot_events, with_position
 from changeflow.operators.compact import latest_per_key
 from changeflow.operators.decode import dead_letters as dead_letters_of
 from changeflow.model import CHANGE, ERROR_TORN, ident
 from changeflow.operators.decode import change_rows, decode, op_name
 from changeflow.operators.merge import OUTCOME, named
+from changeflow.plans.change_log import ID_STEP, PARTITIONS
 from changeflow.plans.change_log import change_log as derive_log
 from changeflow.sources.log import read_log, stream_log, write_log
-from changeflow.sources.tables import lookup, scan_replica
+from changeflow.sources.tables import in_range, key_ranges, lookup, scan_replica
 from changeflow.sources.workspace import workspace, written
 from changeflow.streaming.apply import apply_stream, latest_stream, read_latest
 from changeflow.streaming.replica import (
+    clean_replica,
     create_replica,
     create_store,
     fold_replica,
@@ -33,6 +35,7 @@ from changeflow.streaming.replica import (
     read_dead_letters,
     read_replica,
     slim,
+    stage_changes,
     write_batch,
 )
 from changeflow.streaming.sync import create_sync, read_side, sync_stream
@@ -41,8 +44,10 @@ from changeflow.streaming.sync import create_sync, read_side, sync_stream
 CAPTURED_AT = 1704067200000
 # Share of records that may be dead letters before a feed counts as unhealthy.
 MAX_DEAD_RATE = 0.25
-# Snapshots lie before the first live offset.
-BEFORE_ALL = 2**40
+# Where a snapshot stands that was taken before the first live change.
+BEFORE_ALL = -1
+# Parts of a key space and of a log, files of a base, batches until changes are folded.
+CHUNKS, PARTS, BASE_FILES, FOLD_AFTER = 4, 6, 8, 2
 # How much of a log one micro-batch takes at most.
 BATCH_BYTES = 64 * 2**30
 
@@ -706,7 +711,7 @@ def bootstrap_then_stream(spark: SparkSession, sf: str) -> DataFrame:
     customers = _customers(spark, sf, TO_LOWER)
     create_replica(spark.createDataFrame([], TO_LOWER.replica_schema), f"{base}/replica", TO_LOWER)
     events = snapshot_events(customers, TO_LOWER, CAPTURED_AT)
-    snapshot = with_position(events, F.col("row_key.ID") - F.lit(BEFORE_ALL))
+    snapshot = with_position(events, F.lit(BEFORE_ALL))
     for records in (snapshot, _log(spark, sf)):
         write_log(records, f"{base}/log", mode="append")
         log = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
@@ -714,6 +719,97 @@ def bootstrap_then_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_replica(spark, f"{base}/replica", TO_LOWER)
 
 
+def snapshot_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot in chunks of the key, each read at another time while the table changes.
+
+    The table is the customers with its feed applied so far; each chunk is read between two
+    marks that have changes between them, before and after the reading.
+    """
+    base = workspace(spark, "chunks")
+    log = _log(spark, sf).where(F.col("topic") == TO_LOWER.topic)
+    live = written(change_rows(decode(log, TO_LOWER), TO_LOWER), f"{base}/live")
+    customers = _customers(spark, sf, TO_LOWER)
+    offset = F.col(f"{CHANGE}.offset")
+    create_replica(spark.createDataFrame([], TO_LOWER.replica_schema), f"{base}/replica", TO_LOWER)
+    last = max(end_marks(log).values(), default=0)
+    times = [last * i // (2 * CHUNKS + 1) for i in range(1, 2 * CHUNKS + 2)]
+    seen = -1
+    for i, chunk in enumerate(key_ranges(customers, TO_LOWER, CHUNKS)):
+        low, read_at, high = times[2 * i : 2 * i + 3]
+        now = latest_per_key(live.where(offset <= read_at), TO_LOWER.keys)
+        rows = merge.apply_batch(customers, now, TO_LOWER).where(in_range(TO_LOWER, chunk))
+        marks = [end_marks(log.where(F.col("offset") <= mark)) for mark in (low, high)]
+        # The partition that has the changes of a key is the log's own rule.
+        partition = F.pmod(F.floor(F.col("id") / ID_STEP), F.lit(PARTITIONS))
+        events = chunk_events(rows, live, TO_LOWER, *marks, CAPTURED_AT, partition)
+        # The records of a chunk come late or early among those of the log.
+        upto = high if i % 2 else low
+        write_log(log.where(F.col("offset").between(seen + 1, upto)), f"{base}/log", mode="append")
+        write_log(events, f"{base}/log", mode="append")
+        seen = upto
+    write_log(log.where(F.col("offset") > seen), f"{base}/log", mode="append")
+    feed = stream_log(spark, f"{base}/log", TO_LOWER.topic, max_bytes=BATCH_BYTES)
+    _run(apply_stream(feed, TO_LOWER, f"{base}/replica", f"{base}/checkpoint"))
+    return read_replica(spark, f"{base}/replica", TO_LOWER)
+
+
+def repeated_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers see while a batch dies between its writes, is repeated and dies once more."""
+    path = workspace(spark, "repeated")
+    create_replica(_customers(spark, sf, TO_LOWER), path, TO_LOWER)
+    log = _log(spark, sf)
+    middle = _table(spark, sf, "events").agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    halves = [slim(decode(log.where(p), TO_LOWER)) for p in (F.col("offset") <= middle, F.col("offset") > middle)]
+    seen = None
+
+    def look(name: str) -> None:
+        nonlocal seen
+        # A reader keeps the files of its snapshot, so all of them can be read at the end.
+        rows = read_replica(spark, path, TO_LOWER).withColumn("seen", F.lit(name))
+        seen = rows if seen is None else seen.unionByName(rows)
+
+    write_batch(halves[0], path, TO_LOWER, 0)
+    stage_changes(halves[1], path, TO_LOWER, 1)
+    look("after the first died")
+    write_batch(halves[1], path, TO_LOWER, 1)
+    stage_changes(halves[1], path, TO_LOWER, 1)
+    look("after the repetition")
+    fold_replica(spark, path, TO_LOWER)
+    clean_replica(spark, path, TO_LOWER)
+    look("after folding")
+    return seen
+
+
+def fold_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The log in parts, folded after each, into a base of several files."""
+    path = workspace(spark, "parts")
+    create_replica(_customers(spark, sf, TO_LOWER), path, TO_LOWER, files=BASE_FILES)
+    log = _log(spark, sf)
+    for i in range(CHUNKS):
+        part = log.where(F.col("offset") % CHUNKS == i)
+        write_batch(slim(decode(part, TO_LOWER)), path, TO_LOWER, i)
+        fold_replica(spark, path, TO_LOWER, files=BASE_FILES)
+    return read_replica(spark, path, TO_LOWER)
+
+
+def sync_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feeds in many batches, with state and sides folded meanwhile."""
+    base = workspace(spark, "sync-batches")
+    lower, upper = (_customers(spark, sf, m) for m in (TO_LOWER, TO_UPPER))
+    create_sync(lower, upper, f"{base}/sides", TO_LOWER, TO_UPPER)
+    log = _log(spark, sf)
+    for i in range(PARTS):
+        write_log(log.where(F.col("offset") % PARTS == i).coalesce(1), f"{base}/log", mode="append")
+    feeds = [stream_log(spark, f"{base}/log", m.topic, max_files=2) for m in (TO_LOWER, TO_UPPER)]
+    both = feeds[0].unionByName(feeds[1])
+    _run(sync_stream(both, TO_LOWER, TO_UPPER, f"{base}/sides", f"{base}/checkpoint", fold_every=FOLD_AFTER))
+    sides = [
+        read_side(spark, f"{base}/sides", side, mapping).withColumn("side", F.lit(side))
+        for side, mapping in ((sync.LOWER, TO_LOWER), (sync.UPPER, TO_UPPER))
+    ]
+    return sides[0].union(sides[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_log": change_log,
     "include_list": include_list,
@@ -762,4 +858,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "torn_lines": torn_lines,
     "stream_counters": stream_counters,
     "compact_then_follow": compact_then_follow,
+    "snapshot_chunks": snapshot_chunks,
+    "repeated_batch": repeated_batch,
+    "fold_parts": fold_parts,
+    "sync_batches": sync_batches,
 }
