@@ -136,8 +136,8 @@ ORACLE_SQL = {
         scored AS (
             SELECT c.lang, c.m, c.phrase, a, k, x.f AS l, y.f AS r,
                    (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
-            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : k], ' ')
-            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1 : m], ' ')),
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.m], ' ')),
         weakest AS (
             SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         inner_ones AS (

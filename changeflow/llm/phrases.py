@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import in_slices, mixed, quoted, saved
+from changeflow.llm.common import in_slices, mixed, quoted, rows_of, saved
 
 #: Grams that a task gathers before it sends their counts on.
-GATHERED = 1 << 20
+GATHERED = 1 << 19
 #: Words a task remembers the hash of, before it starts anew.
 KNOWN = 1 << 20
 #: Bits a fingerprint that is frequent gets in the filter, and what the filter may have at most.
@@ -28,15 +30,17 @@ class _Words(dict):
 
     def __init__(self):
         super().__init__({b"\n": 0, b"": 1})
-        self.words, self.hashes = [b"\n", b""], [0, 0]
+        self.words, self.hashes, self.checks = [b"\n", b""], [0, 0], [0, 0]
 
     def __missing__(self, word):
         self[word] = number = len(self.words)
         self.words.append(word)
         self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        self.checks.append(xxhash.xxh3_64_intdigest(word, seed=1))
         return number
 
 
+@lru_cache(maxsize=4)
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """``base`` to the powers 0 to n - 1, modulo 2**64."""
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n - 1, 0), base)]), dtype=np.uint64)[:n]
@@ -51,9 +55,11 @@ def fingerprints(hashes: np.ndarray, size: int, salt: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers(_BASE, len(hashes)), dtype=np.uint64)])
-    runs = (prefix[size:] - prefix[:n]) * powers(_INVERSE, n)
-    return mixed(runs + np.uint64(salt))
+    # Powers for the next power of two many words serve for all lengths up to it.
+    some = 1 << len(hashes).bit_length()
+    prefix = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers(_BASE, some)[: len(hashes)], out=prefix[1:])
+    return mixed((prefix[size:] - prefix[:n]) * powers(_INVERSE, some)[:n] + np.uint64(salt))
 
 
 def _salt(lang: str, size: int) -> int:
@@ -82,6 +88,7 @@ class Chunk:
     def close(self) -> None:
         self.numbers = np.concatenate([np.zeros(0, np.int64), *self.numbers])
         self.hashes = np.array(self.known.hashes, np.uint64)[self.numbers]
+        self.checks = np.array(self.known.checks, np.uint64)[self.numbers]
         self.ends = np.concatenate([[0], np.cumsum(self.numbers == 0)])
 
     def total(self) -> int:
@@ -95,6 +102,10 @@ class Chunk:
     def prints(self, size: int) -> np.ndarray:
         return fingerprints(self.hashes, size, _salt(self.lang, size))
 
+    def second_prints(self, size: int) -> np.ndarray:
+        """Fingerprints of other hashes of the words, which tell runs apart that share the first."""
+        return fingerprints(self.checks, size, _salt(self.lang, size))
+
     def doc_of(self, starts: np.ndarray) -> np.ndarray:
         ids, lengths = np.array([d for d, _ in self.docs]), np.array([n for _, n in self.docs])
         return ids[np.searchsorted(np.cumsum(lengths), starts, side="right")]
@@ -137,31 +148,62 @@ def _promising(chunk: Chunk, size: int, bits) -> np.ndarray:
 
 
 def _count_prints(sizes, bits):
-    """Fingerprints of runs with their counts, and a document that holds one."""
+    """Fingerprints of runs with their counts, a second fingerprint, and a document that holds one.
+
+    As runs of no words, all words of a language are counted.
+    """
 
     def count(batches):
         for chunk in _chunks(batches):
             for size in sizes:
+                if size == 0:
+                    mark = np.array([_salt(chunk.lang, 0)], np.uint64).astype(np.int64)
+                    yield pd.DataFrame({"print": mark, "n": [chunk.total()], "doc": [chunk.docs[0][0]], "second": mark})
+                    continue
                 starts = _promising(chunk, size, bits)
                 prints, first, n = np.unique(chunk.prints(size)[starts], return_index=True, return_counts=True)
                 if len(prints):
-                    yield pd.DataFrame({"print": prints.astype(np.int64), "n": n, "doc": chunk.doc_of(starts[first])})
+                    out = {"print": prints.astype(np.int64), "n": n, "doc": chunk.doc_of(starts[first])}
+                    yield pd.DataFrame(out | {"second": chunk.second_prints(size)[starts[first]].astype(np.int64)})
 
     return count
 
 
-def _count_phrases(sizes, bits, with_totals: bool):
-    """Runs whose fingerprint the filter lets through, by their words, with counts.
+def _write_out(sizes):
+    """The words of the runs that a document was pointed to for."""
+
+    def write(batches):
+        for b in batches:
+            for doc_id, lang, text, wanted in zip(b["doc_id"], b["lang"], b["text"], b["prints"], strict=True):
+                chunk = Chunk(lang)
+                chunk.add(doc_id, text)
+                chunk.close()
+                rows, wanted = [], np.asarray(wanted, np.int64).view(np.uint64)
+                if 0 in sizes and np.isin(np.uint64(_salt(lang, 0)), wanted):
+                    rows.append((np.uint64(_salt(lang, 0)).astype(np.int64), 0, None))
+                for size in filter(None, sizes):
+                    starts = chunk.within(size)
+                    prints = chunk.prints(size)[starts]
+                    for at in np.flatnonzero(np.isin(prints, wanted)):
+                        rows.append((prints[at].astype(np.int64), size, chunk.text_of(starts[at], size)))
+                if rows:
+                    out = pd.DataFrame(list(dict.fromkeys(rows)), columns=["print", "size", "phrase"])
+                    out.insert(1, "lang", lang)
+                    yield out.astype({"size": "int32"})
+
+    return write
 
-    Row ``phrase`` null has the number of all words of a language.
-    """
+
+def _count_phrases(sizes, bits):
+    """Runs whose fingerprint the filter lets through, by their words, with counts."""
 
     def count(batches):
         for chunk in _chunks(batches):
-            rows = [(0, None, chunk.total(), None)] if with_totals else []
             for size in sizes:
                 starts = chunk.within(size)
-                starts = starts[_passes(bits.value, chunk.prints(size)[starts])]
+                prints = chunk.prints(size)[starts]
+                passed = _passes(bits.value, prints)
+                starts, prints = starts[passed], prints[passed]
                 if not len(starts):
                     continue
                 # Runs are told apart by the numbers of their words, so no two share a count.
@@ -169,13 +211,10 @@ def _count_phrases(sizes, bits, with_totals: bool):
                 for k in range(1, size):
                     codes = np.unique(codes, return_inverse=True)[1] * len(chunk.known) + chunk.numbers[starts + k]
                 _, first, n = np.unique(codes, return_index=True, return_counts=True)
-                docs = chunk.doc_of(starts[first])
-                rows += [
-                    (size, chunk.text_of(s, size), int(c), int(d)) for s, c, d in zip(starts[first], n, docs, strict=True)
-                ]
-            out = pd.DataFrame(rows, columns=["size", "phrase", "n", "doc"]).astype({"size": "int32", "n": "int64", "doc": "Int64"})
-            out.insert(0, "lang", chunk.lang)
-            if len(out):
+                phrases = [chunk.text_of(s, size) for s in starts[first]]
+                out = {"print": prints[first].astype(np.int64), "size": size, "phrase": phrases, "n": n}
+                out = pd.DataFrame(out | {"doc": chunk.doc_of(starts[first])}).astype({"size": "int32"})
+                out.insert(1, "lang", chunk.lang)
                 yield out
 
     return count
@@ -197,36 +236,75 @@ def _filter_of(spark: SparkSession, frequent: DataFrame):
     return spark.sparkContext.broadcast(array)
 
 
+def _by_text(rows: DataFrame, frequent: DataFrame, sizes) -> DataFrame:
+    """``print, lang, size, phrase``: the words of frequent fingerprints.
+
+    They are read in the first and the last document that a fingerprint points to; no other
+    document is looked at.
+    """
+    pointed = frequent.select("print", F.explode(F.array("doc", "last_doc")).alias("doc_id")).distinct()
+    # A document has no more prints than runs of words.
+    wanted = pointed.groupBy("doc_id").agg(F.collect_list("print").alias("prints"))
+    found = rows_of(rows, saved(wanted, "phrase-pointers"))
+    schema = "print long, lang string, size int, phrase string"
+    return in_slices(found.select("doc_id", "lang", "text", "prints"), _write_out(sizes), schema)
+
+
+def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, object]:
+    """Frequent phrases of some sizes with their counts, and the filter of their fingerprints."""
+    spark = rows.sparkSession
+    counted = in_slices(rows, _count_prints(sizes, bits), "print long, n long, doc long, second long")
+    totals = counted.groupBy("print").agg(
+        F.sum("n").alias("n"),
+        F.min("doc").alias("doc"),
+        F.max("doc").alias("last_doc"),
+        (F.min("second") < F.max("second")).alias("shared"),
+    )
+    frequent = saved(totals.filter(F.col("n") >= least), "phrase-prints")
+    texts = _by_text(rows, frequent, sizes).groupBy("print").agg(
+        *[F.min(c).alias(c) for c in ("lang", "size", "phrase")],
+        (F.min(F.struct("lang", "size", "phrase")) < F.max(F.struct("lang", "size", "phrase"))).alias("unlike"),
+    )
+    known = saved(frequent.join(texts, "print"), "phrase-texts")
+    several = F.col("shared") | F.col("unlike")
+    found = known.filter(~several).select("lang", "size", "phrase", "n", "doc")
+    apart = known.filter(several).select("print")
+    if apart.limit(1).count():
+        # Runs that share a fingerprint are counted again by their words.
+        again = in_slices(
+            rows,
+            _count_phrases([size for size in sizes if size], _filter_of(spark, apart)),
+            "print long, lang string, size int, phrase string, n long, doc long",
+        )
+        again = again.join(apart, "print", "left_semi").groupBy("lang", "size", "phrase")
+        again = again.agg(F.sum("n").alias("n"), F.min("doc").alias("doc")).filter(F.col("n") >= least)
+        found = found.unionByName(saved(again, "phrase-apart"))
+    return found, _filter_of(spark, frequent)
+
+
 def count_phrases(
     docs: DataFrame, longest: int = 3, least: int = 10, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text"
 ) -> DataFrame:
     """``lang, size, phrase, n, doc``: phrases of up to ``longest`` words that occur ``least`` times.
 
     ``doc`` points to a document that holds the phrase. Row with ``size`` 0 and no phrase: how
-    many words a language has. For conventions see ``collocations``.
+    many words a language has, if they are that many. For conventions see ``collocations``.
 
-    Fingerprints of all runs are counted over all tasks first, shorter runs before longer ones;
-    a run is a candidate only if both runs within it that are a word shorter are frequent. Only
-    runs whose fingerprint is frequent are then written out as text and counted by their words,
-    so runs that share a fingerprint are counted apart.
+    Tasks count fingerprints, and a shuffle sums the counts up with pointers to documents that
+    hold a run. A run is looked at only if both runs within it that are a word shorter are
+    frequent. Frequent fingerprints alone are written out as text, from the documents pointed to.
+    Where two such texts differ, or second fingerprints do, runs share a fingerprint; those are
+    counted again by their words, so no count is that of two phrases.
     """
-    spark = docs.sparkSession
     rows = docs.select(
         F.coalesce(quoted(id_col).cast("long"), F.lit(-1)).alias("doc_id"),
         F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"),
     )
     found, bits = None, None
-    steps = [(1, 2), *[(size,) for size in range(3, longest + 1)]] if longest > 1 else [(1,)]
+    steps = [(0, 1, 2), *[(size,) for size in range(3, longest + 1)]] if longest > 1 else [(0, 1)]
     for step in steps:
-        counted = in_slices(rows, _count_prints(step, bits), "print long, n long, doc long")
-        totals = counted.groupBy("print").agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
-        frequent = saved(totals.filter(F.col("n") >= least), "phrase-prints")
-        bits = _filter_of(spark, frequent)
-        schema = "lang string, size int, phrase string, n long, doc long"
-        texts = in_slices(rows, _count_phrases(step, bits, 1 in step), schema)
-        exact = texts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
-        exact = saved(exact.filter((F.col("n") >= least) | (F.col("size") == 0)), "phrase-counts")
+        exact, bits = _exact(rows, least, step, bits)
         found = exact if found is None else found.unionByName(exact)
     return found
 
