@@ -262,7 +262,9 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: i
     there can be ``HOT_SHARE`` at most, are broadcast and their rows stay where they are; the others
     meet in a shuffle, with less than one part in ``HOT_SHARE`` of the rows under any key.
     """
-    is_hot = F.col(weight) * HOT_SHARE >= total
-    hot = facts.filter(is_hot)
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.filter(~is_hot), key)
-    return rows.join(F.broadcast(hot), key).select(*cold.columns).unionByName(cold)
+    hot = facts.filter(F.col(weight) * HOT_SHARE >= total)
+    keys = [r[0] for r in hot.select(key).collect()]
+    if not keys:
+        return rows.join(facts, key)
+    cold = rows.filter(~F.col(key).isin(keys)).join(facts.filter(~F.col(key).isin(keys)), key)
+    return rows.filter(F.col(key).isin(keys)).join(F.broadcast(hot), key).select(*cold.columns).unionByName(cold)
