@@ -73,7 +73,8 @@ def in_slices(df: DataFrame, function, schema: str) -> DataFrame:
                     yield b.slice(i, SLICE).to_pandas(integer_object_nulls=True)
 
         for out in function(parts()):
-            yield pa.RecordBatch.from_pandas(out, schema=target, preserve_index=False)
+            # A long text column comes in several chunks; large frames are handed over in parts.
+            yield from pa.Table.from_pandas(out, schema=target, preserve_index=False).to_batches(50_000)
         # The worker may wait for its next task for long; others need the memory.
         pa.default_memory_pool().release_unused()
 
@@ -268,3 +269,29 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: i
         return rows.join(facts, key)
     cold = rows.filter(~F.col(key).isin(keys)).join(facts.filter(~F.col(key).isin(keys)), key)
     return rows.filter(F.col(key).isin(keys)).join(F.broadcast(hot), key).select(*cold.columns).unionByName(cold)
+
+
+#: Bits a fingerprint gets in a filter, and what a filter may have at most.
+FILTER_BITS, MOST_BITS = 16, 1 << 28
+
+
+def passes(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Which fingerprints the filter lets through: all that are in it, and a few others."""
+    at = prints & np.uint64(64 * len(bits) - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def filter_of(spark: SparkSession, prints: DataFrame):
+    """A bitmap of ``prints`` (print), sent to all tasks; at most ``MOST_BITS``."""
+    bits = 1 << 16
+    wanted = prints.count() * FILTER_BITS
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    at = F.col("print").bitwiseAND(F.lit(bits - 1))
+    words = prints.groupBy(F.shiftright(at, 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(print & 63L AS int)))").alias("set")
+    )
+    held = words.toPandas()
+    array = np.zeros(bits // 64, np.uint64)
+    array[held["word"].to_numpy(np.int64)] = held["set"].to_numpy(np.int64).view(np.uint64)
+    return spark.sparkContext.broadcast(array)

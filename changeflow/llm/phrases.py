@@ -7,17 +7,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import in_slices, mixed, quoted, rows_of, saved
+from changeflow.llm.common import filter_of, in_slices, mixed, passes, quoted, rows_of, saved
 
 #: Grams that a task gathers before it sends their counts on.
 GATHERED = 1 << 19
 #: Words a task remembers the hash of, before it starts anew.
 KNOWN = 1 << 20
-#: Bits a fingerprint that is frequent gets in the filter, and what the filter may have at most.
-FILTER_BITS, MOST_BITS = 16, 1 << 28
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -132,18 +130,12 @@ def _chunks(batches):
         yield chunk
 
 
-def _passes(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    """Which fingerprints the filter lets through: all that are in it, and a few others."""
-    at = prints & np.uint64(64 * len(bits) - 1)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _promising(chunk: Chunk, size: int, bits) -> np.ndarray:
     """Starts of runs of ``size`` words of which both runs that are one word shorter are frequent."""
     starts = chunk.within(size)
     if bits is None or size == 1 or not len(starts):
         return starts
-    passed = _passes(bits.value, chunk.prints(size - 1))
+    passed = passes(bits.value, chunk.prints(size - 1))
     return starts[passed[starts] & passed[starts + 1]]
 
 
@@ -202,7 +194,7 @@ def _count_phrases(sizes, bits):
             for size in sizes:
                 starts = chunk.within(size)
                 prints = chunk.prints(size)[starts]
-                passed = _passes(bits.value, prints)
+                passed = passes(bits.value, prints)
                 starts, prints = starts[passed], prints[passed]
                 if not len(starts):
                     continue
@@ -220,22 +212,6 @@ def _count_phrases(sizes, bits):
     return count
 
 
-def _filter_of(spark: SparkSession, frequent: DataFrame):
-    """A bitmap of the frequent fingerprints, sent to all tasks; at most ``MOST_BITS``."""
-    bits = 1 << 16
-    wanted = frequent.count() * FILTER_BITS
-    while bits < min(wanted, MOST_BITS):
-        bits *= 2
-    at = F.col("print").bitwiseAND(F.lit(bits - 1))
-    words = frequent.groupBy(F.shiftright(at, 6).alias("word")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast(print & 63L AS int)))").alias("set")
-    )
-    held = words.toPandas()
-    array = np.zeros(bits // 64, np.uint64)
-    array[held["word"].to_numpy(np.int64)] = held["set"].to_numpy(np.int64).view(np.uint64)
-    return spark.sparkContext.broadcast(array)
-
-
 def _by_text(rows: DataFrame, frequent: DataFrame, sizes) -> DataFrame:
     """``print, lang, size, phrase``: the words of frequent fingerprints.
 
@@ -273,13 +249,13 @@ def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, object]
         # Runs that share a fingerprint are counted again by their words.
         again = in_slices(
             rows,
-            _count_phrases([size for size in sizes if size], _filter_of(spark, apart)),
+            _count_phrases([size for size in sizes if size], filter_of(spark, apart)),
             "print long, lang string, size int, phrase string, n long, doc long",
         )
         again = again.join(apart, "print", "left_semi").groupBy("lang", "size", "phrase")
         again = again.agg(F.sum("n").alias("n"), F.min("doc").alias("doc")).filter(F.col("n") >= least)
         found = found.unionByName(saved(again, "phrase-apart"))
-    return found, _filter_of(spark, frequent)
+    return found, filter_of(spark, frequent)
 
 
 def count_phrases(

@@ -1,155 +1,214 @@
-"""Toxicity by two Kneser-Ney models of characters, one per class, with shared backoff counts."""
+"""Toxicity by two Kneser-Ney models of words, one per class, with shared backoff counts."""
 
 from __future__ import annotations
 
-import unicodedata
-from functools import lru_cache
+from collections import Counter
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import in_slices, quoted, rows_of, saved, text_mark, texts
-
-#: Symbols have five bits: 26 letters, white space, digits and four kinds of other signs.
-BITS = 5
-SPACE, DIGIT, STOP, QUOTE, SIGN, OTHER = 26, 27, 28, 29, 30, 31
-ORDER = 4
-#: Length of the passages whose highest mean is the second feature.
-PASSAGE = 16
+from changeflow.llm.common import (
+    filter_of,
+    in_slices,
+    passes,
+    quoted,
+    rows_of,
+    saved,
+    text_mark,
+    texts,
+)
+
+#: Characters of a word that make its stem, to which a word that is rare or new backs off.
+STEM = 5
 DISCOUNT = 0.75
-#: Labelled rows that the two weights are fitted on, at most.
+#: An expression counts as telling if the likelihood ratio test of its class counts reaches this,
+#: which one in ten thousand does by chance.
+TELLING = 15.0
+#: A word is strong evidence if it is so much likelier in toxic text, as a logarithm.
+STRONG = 1.0
+#: Labelled rows that the weights are fitted on, at most.
 FIT_ROWS = 20_000
+#: Words that a task gathers before it sends their counts on.
+GATHERED = 500_000
 
+#: Folds whose labels may be used. Fold 2 is held out.
+LEARNED = (0, 1, 3)
+#: A model of all these folds, and one without each of them.
+VARIANTS = (None, *LEARNED)
 
-@lru_cache(maxsize=1)
-def symbols() -> np.ndarray:
-    """Symbol of each code point. Letters lose case and accents; those of other scripts are dealt
-    over the 26 letters by code point."""
-    table = (np.arange(0x110000) % 26).astype(np.int32)
-    for c in range(0x3000):
-        base = unicodedata.normalize("NFKD", chr(c))[0].lower()
-        kind = unicodedata.category(base)[0]
-        if "a" <= base <= "z":
-            table[c] = ord(base) - 97
-        elif base.isspace() or kind in "CZ":
-            table[c] = SPACE
-        elif kind == "N":
-            table[c] = DIGIT
-        elif kind != "L":
-            table[c] = STOP if base in ".,;:!?" else QUOTE if base in "'\"" else SIGN if kind in "SM" else OTHER
-    return table
-
-
-def gram_codes(text: str, order: int = ORDER) -> np.ndarray:
-    """Code of the run of ``order`` symbols that ends at each symbol; a text starts after spaces."""
-    s = symbols()[np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")]
-    s = np.concatenate([np.full(order - 1, SPACE, np.int32), s])
-    n = len(s) - order + 1
-    code = s[:n].copy()
-    for i in range(1, order):
-        code <<= BITS
-        code |= s[i : i + n]
-    return code
+#: ASCII signs and digits separate words.
+_SIGNS = bytes.maketrans(bytes([*range(0x21, 0x41), *b"[\\]^_`{|}~"]), b" " * 42)
 
 
-#: Folds whose labels may be used. Fold 2 is held out.
-LEARNED = (0, 1, 3)
+def words_of_text(text: str) -> list[bytes]:
+    """Words in lower case: what white space, ASCII signs and digits leave."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_SIGNS).split()
 
 
-def class_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``fold, code, toxic, ordinary``: how often each run occurs in rows with ``label`` 1 and 0.
+def _text(word: bytes) -> str:
+    return word.decode("utf-8", "replace")
 
-    A task holds two counts for each possible run and fold, 48 MB for runs of four."""
 
-    def count(batches):
-        total = np.zeros((len(LEARNED), 2, 1 << (BITS * order)), np.int64)
-        for b in batches:
-            for text, label, own in zip(b["text"], b["label"], b["fold"], strict=True):
-                code, n = np.unique(gram_codes(text, order), return_counts=True)
-                total[LEARNED.index(own), label, code] += n
-        for k, own in enumerate(LEARNED):
-            used = np.flatnonzero(total[k].any(0))
-            yield pd.DataFrame({"fold": own, "code": used, "toxic": total[k, 1, used], "ordinary": total[k, 0, used]})
+def _types(batches):
+    """Words of the texts of a task, each once or a few times."""
+    met = set()
+    for b in batches:
+        for text in b["text"]:
+            met.update(words_of_text(text))
+            if len(met) >= GATHERED:
+                yield pd.DataFrame({"word": list(map(_text, met))})
+                met = set()
+    yield pd.DataFrame({"word": list(map(_text, met))})
 
-    counted = in_slices(docs, count, "fold int, code int, toxic long, ordinary long")
-    return counted.groupBy("fold", "code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
+def _class_words(batches):
+    """Counts of words by fold and label."""
 
-def codes_of_all(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """``code`` of each run that occurs in any row; labels are not needed for that."""
+    def frame(met):
+        rows = [(_text(w), *key, n) for key, counts in met.items() for w, n in counts.items()]
+        return pd.DataFrame(rows, columns=["word", "fold", "label", "n"]).astype({"fold": "int32", "label": "int32"})
 
-    def collect(batches):
-        met = np.zeros(1 << (BITS * order), bool)
-        for b in batches:
-            for text in b["text"]:
-                met[gram_codes(text, order)] = True
-        yield pd.DataFrame({"code": np.flatnonzero(met)})
+    met = {}
+    for b in batches:
+        for text, label, own in zip(b["text"], b["label"], b["fold"], strict=True):
+            met.setdefault((own, label), Counter()).update(words_of_text(text))
+            if sum(map(len, met.values())) >= GATHERED:
+                yield frame(met)
+                met = {}
+    if met:
+        yield frame(met)
 
-    return in_slices(docs, collect, "code int").distinct()
 
+def _name(kind: str, label: int, left_out: int | None) -> str:
+    return f"{kind}{label}_{'all' if left_out is None else left_out}"
 
-def _shared(codes: np.ndarray, order: int, discount: float) -> np.ndarray:
-    """Probability of the last symbol of each run, by in how many ways the run is preceded.
 
-    ``codes`` are the distinct runs of ``order`` symbols of all documents.
-    """
-    size = 1 << (BITS * (order - 1))
-    suffix = codes & (size - 1)
-    ways = np.bincount(suffix, minlength=size).astype(float)
-    if order == 2:
-        return (ways[suffix] + 1) / (ways.sum() + size)
-    runs = np.flatnonzero(ways)
-    context = runs >> BITS
-    total = np.bincount(context, ways[runs], size >> BITS)[context]
-    kinds = np.bincount(context, minlength=size >> BITS)[context]
-    lower = _shared(runs, order - 1, discount)
-    found = np.zeros(size)
-    found[runs] = (np.maximum(ways[runs] - discount, 0) + discount * kinds * lower) / total
-    return found[suffix]
-
-
-def ratios(counts: pd.DataFrame, codes: np.ndarray, order: int = ORDER, discount: float = DISCOUNT):
-    """Log-likelihood ratios, toxic against ordinary. ``codes`` are the runs of all documents, sorted.
-
-    Two arrays: by run of ``order`` symbols (NaN: never seen) and by run of ``order - 1``, for an
-    unseen symbol after it. A symbol that follows a run in one class gets the class's
-    discounted share; what the discount frees is spread by the counts of all documents, so an
-    expression that one class lacks is judged by how ordinary it is at all.
+def word_counts(learn: DataFrame) -> DataFrame:
+    """``word`` and ``n0_all``, ``n1_all``, ``n0_0`` ...: counts by class, in all folds and without one."""
+    counted = in_slices(learn, _class_words, "word string, fold int, label int, n long")
+    sums = []
+    for left_out in VARIANTS:
+        for label in (0, 1):
+            used = (F.col("label") == label) & (F.lit(True) if left_out is None else F.col("fold") != left_out)
+            sums.append(F.sum(F.when(used, F.col("n")).otherwise(0)).alias(_name("n", label, left_out)))
+    return counted.groupBy("word").agg(*sums)
+
+
+def _stem(word: str = "word") -> Column:
+    return F.substring(word, 1, STEM)
+
+
+def stem_types(rows: DataFrame) -> DataFrame:
+    """``stem, types``: how many different words of all documents begin with a stem."""
+    met = in_slices(rows.select("text"), _types, "word string").distinct()
+    return met.groupBy(_stem().alias("stem")).agg(F.count(F.lit(1)).alias("types"))
+
+
+def _telling(n: list[Column], total: list[float], least: float) -> Column:
+    """Whether class counts differ from what the sizes of the classes let expect."""
+    both = n[0] + n[1]
+    parts = [
+        F.when(c > 0, c * F.log(c / (both * (t / sum(total))))).otherwise(0.0) for c, t in zip(n, total, strict=True)
+    ]
+    return 2 * (parts[0] + parts[1]) >= least
+
+
+def expressions(words: DataFrame, stems: DataFrame, discount: float = DISCOUNT, least: float = TELLING):
+    """Log-likelihood ratios of telling expressions: by ``word``, and by ``stem``.
+
+    Columns ``llr_all``, ``llr_0`` ... are those of the variants. A stem has the discounted share of
+    its class; what the discount frees goes to all stems by the number of different words that
+    begin with them in any document. A word has its stem's probability times its discounted share
+    of it, and what is freed there goes to all words with the stem alike. So a word that a
+    class has rarely or never seen is judged by how many words of its kind there are at all.
+    Expressions whose counts are not telling keep the ratio of what they back off to.
     """
-    size = 1 << (BITS * order)
-    seen, unseen = np.full(size, np.nan, np.float16), np.zeros(size >> BITS, np.float32)
-    if not len(counts):
-        return seen, unseen
-    code = counts["code"].to_numpy(np.int64)
-    context = code >> BITS
-    shared = _shared(codes, order, discount)[np.searchsorted(codes, code)]
-    logs, free = [], []
-    for name in ("toxic", "ordinary"):
-        n = counts[name].to_numpy(float)
-        total = np.bincount(context, n, size >> BITS)
-        kinds = np.bincount(context, n > 0, size >> BITS)
-        spread = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-        share = np.maximum(n - discount, 0) / np.maximum(total[context], 1)
-        logs.append(np.log(share + spread[context] * shared))
-        free.append(np.log(spread))
-    seen[code] = logs[0] - logs[1]
-    unseen[:] = free[0] - free[1]
-    return seen, unseen
-
-
-def evidence(text: str, seen: np.ndarray, unseen: np.ndarray, order: int = ORDER) -> tuple[float, float]:
-    """Mean log-likelihood ratio of a symbol, and the highest mean of a passage. Empty: zeros."""
-    code = gram_codes(text, order)
-    if not len(code):
-        return 0.0, 0.0
-    value = seen[code].astype(np.float64)
-    gone = np.isnan(value)
-    value[gone] = unseen[code[gone] >> BITS]
-    sums = np.concatenate([[0.0], np.cumsum(value)])
-    width = min(PASSAGE, len(value))
-    return sums[-1] / len(value), (sums[width:] - sums[:-width]).max() / PASSAGE
+    names = [_name("n", label, v) for v in VARIANTS for label in (0, 1)]
+    kinds = [F.sum((F.col(n) > 0).cast("long")).alias(f"k{n[1:]}") for n in names]
+    of_stem = words.groupBy(_stem().alias("stem")).agg(*[F.sum(n).alias(n) for n in names], *kinds)
+    of_stem = saved(of_stem.join(stems, "stem"), "toxicity-stems")
+    total = of_stem.agg(
+        *[F.sum(n).alias(n) for n in names], *[F.sum((F.col(n) > 0).cast("long")).alias(f"k{n[1:]}") for n in names]
+    ).first()
+    all_types = stems.agg(F.sum("types")).first()[0] or 1
+    stem_llr, word_llr, telling_words = {}, {}, []
+    for v in VARIANTS:
+        size = [float(total[_name("n", label, v)] or 0) for label in (0, 1)]
+        llr = f"llr_{'all' if v is None else v}"
+        if not all(size):
+            stem_llr[llr] = word_llr[llr] = F.lit(0.0)
+            continue
+        ends = []
+        for label in (0, 1):
+            n, freed = F.col(_name("n", label, v)), discount * total[_name("k", label, v)]
+            shared = F.col("types") / all_types
+            ends.append((F.greatest(n - discount, F.lit(0.0)) + freed * shared) / size[label])
+        n = [F.col(_name("n", label, v)) for label in (0, 1)]
+        stem_llr[llr] = F.when(_telling(n, size, least), F.log(ends[1] / ends[0])).otherwise(0.0)
+        inner = []
+        for label in (0, 1):
+            name = _name("n", label, v)
+            n, of, k = F.col(name), F.col(f"s_{name}"), F.col(f"s_k{name[1:]}")
+            seen = F.when(of > 0, F.greatest(n - discount, F.lit(0.0)) / of).otherwise(0.0)
+            inner.append(seen + F.when(of > 0, discount * k / of).otherwise(1.0) / F.col("s_types"))
+        n = [F.col(_name("n", label, v)) for label in (0, 1)]
+        telling = _telling(n, size, least)
+        telling_words.append(telling)
+        word_llr[llr] = F.col(f"s_{llr}") + F.when(telling, F.log(inner[1] / inner[0])).otherwise(0.0)
+    judged = saved(of_stem.withColumns(stem_llr), "toxicity-judged")
+    prefixed = judged.select("stem", *[F.col(c).alias(f"s_{c}") for c in judged.columns if c != "stem"])
+    any_telling = telling_words[0] if telling_words else F.lit(False)
+    for t in telling_words[1:]:
+        any_telling = any_telling | t
+    longer = words.withColumn("stem", _stem()).filter("word <> stem").join(prefixed, "stem")
+    by_word = longer.filter(any_telling).select("word", *[c.alias(n) for n, c in word_llr.items()])
+    used = " or ".join(f"{n} <> 0" for n in stem_llr)
+    return saved(by_word, "toxicity-words"), saved(judged.select("stem", *stem_llr).filter(used), "toxicity-expressions")
+
+
+def _prints(batches):
+    for b in batches:
+        prints = [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in b["x"]]
+        yield pd.DataFrame({"print": np.array(prints, np.uint64).astype(np.int64)})
+
+
+class _Hits(dict):
+    """For each word, the word and its stem as text if the table of expressions may have one of them."""
+
+    def __init__(self, words: np.ndarray, stems: np.ndarray):
+        self.filters = words, stems
+
+    def __missing__(self, word: bytes):
+        if len(self) >= GATHERED:
+            self.clear()
+        text = _text(word)
+        found = [
+            passes(bits, np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))], np.uint64))[0]
+            for bits, x in zip(self.filters, (text, text[:STEM]), strict=True)
+        ]
+        self[word] = hit = (text, text[:STEM]) if any(found) else None
+        return hit
+
+
+def _weighed(words, stems):
+    def weigh(batches):
+        hits = _Hits(words.value, stems.value)
+        for b in batches:
+            rows = []
+            for text in b["text"]:
+                found = words_of_text(text)
+                some = [(hit, n) for w, n in Counter(found).items() if (hit := hits[w])]
+                rows.append((len(found), [h[0] for h, _ in some], [h[1] for h, _ in some], [n for _, n in some]))
+            n, word, stem, times = zip(*rows, strict=True) if rows else ((), (), (), ())
+            out = {"doc_id": b["doc_id"].astype("Int64"), "text_mark": b["text_mark"], "n": n}
+            yield pd.DataFrame(out | {"word": word, "stem": stem, "times": times}).astype(
+                {"n": "int64", "word": object, "stem": object, "times": object}
+            )
+
+    return weigh
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, steps: int = 30) -> np.ndarray:
@@ -179,19 +238,19 @@ def score_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    order: int = ORDER,
     threshold: float = 0.3,
     fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """One row per input row: ``doc_id, text_mark, held_out, score, predicted``.
 
     Rows of fold 2 are held out: their labels are never used. The counts of both models cover
-    every labelled row of the other folds, and the shared backoff counts every row. The two weights
-    that turn the evidence into a score are fitted on labelled rows of those folds, at most
-    ``fit_rows`` of them (those with the smallest hash of the id); the evidence of such a row is
-    taken without the counts of its own fold, so from models that have not seen it. The model
-    has at most ``32 ** order`` entries whatever the corpus, so it and those without a fold can be
-    handed to every task.
+    every labelled row of the other folds, and the shared backoff counts every row; both are tables
+    that grow with the corpus. Words of a document that the table of telling expressions may
+    have, by a filter of a bounded size, are joined with it; all other words are as likely in
+    one class as in the other. The evidence is the log-likelihood ratio per word, and the share
+    of strong words, weighed by how many words it is taken from. The weights that turn it into a
+    score are fitted on labelled rows of those folds, at most ``fit_rows`` of them (those with the
+    smallest hash of the id), whose evidence is taken from a model without their own fold.
 
     A null text is empty; an empty text has no evidence and gets the score of no evidence.
     Labels other than 0 and 1 and labels of null ids are not used; an id with two labels counts
@@ -200,61 +259,62 @@ def score_toxicity(
     """
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col)
-    known = (
+    known = saved(
         labels.select(quoted(id_col).cast("long").alias("doc_id"), quoted(label_col).cast("int").alias("label"))
         .filter("doc_id is not null and label in (0, 1)")
         .distinct()
+        .filter(fold(F.col("doc_id")) != 2)
+        .withColumn("fold", fold(F.col("doc_id")).cast("int")),
+        "labels",
     )
-    own = fold(F.col("doc_id")).cast("int").alias("fold")
-    learn = saved(
-        rows_of(rows, known.filter(fold(F.col("doc_id")) != 2)).select("doc_id", "text", "label", own), "labelled"
-    )
-    counts = saved(class_counts(learn.select("text", "label", "fold"), order), "counts").toPandas()
-    codes = np.sort(saved(codes_of_all(rows.select("text"), order), "codes").toPandas()["code"].to_numpy(np.int64))
-
-    def without_fold(left_out: int | None):
-        part = counts if left_out is None else counts[counts["fold"] != left_out]
-        return ratios(part.groupby("code", as_index=False)[["toxic", "ordinary"]].sum(), codes, order)
-
-    seen, unseen = without_fold(None)
-    both = len(counts) and counts["toxic"].any() and counts["ordinary"].any()
-    crossed = spark.sparkContext.broadcast({k: without_fold(k) for k in LEARNED})
-    model = spark.sparkContext.broadcast((seen, unseen))
-
-    def weigh(batches):
-        tables = model.value
-        for b in batches:
-            found = [evidence(t, *tables, order) for t in b["text"]]
-            mean, peak = zip(*found, strict=True) if found else ((), ())
-            yield pd.DataFrame(
-                {"doc_id": b["doc_id"].astype("Int64"), "text_mark": b["text_mark"], "mean": mean, "peak": peak}
-            ).astype({"mean": float, "peak": float})
-
-    def weigh_crossed(batches):
-        tables = crossed.value
-        for b in batches:
-            found = [evidence(t, *tables[k], order) for t, k in zip(b["text"], b["fold"], strict=True)]
-            mean, peak = zip(*found, strict=True) if found else ((), ())
-            yield pd.DataFrame(
-                {"doc_id": b["doc_id"], "label": b["label"], "mean": mean, "peak": peak}
-            ).astype({"mean": float, "peak": float})
-
+    words = saved(word_counts(rows_of(rows, known).select("text", "label", "fold")), "toxicity-counts")
+    by_word, by_stem = expressions(words, saved(stem_types(rows), "toxicity-types"))
+    filters = [
+        filter_of(spark, in_slices(t.select(F.col(c).alias("x")), _prints, "print long"))
+        for t, c in ((by_word, "word"), (by_stem, "stem"))
+    ]
     marked = rows.withColumn("text_mark", text_mark(F.col("text")))
-    weighed = saved(
-        in_slices(marked, weigh, "doc_id long, text_mark long, mean double, peak double"), "toxicity"
+    weighed = in_slices(
+        marked,
+        _weighed(*filters),
+        "doc_id long, text_mark long, n long, word array<string>, stem array<string>, times array<long>",
     )
+    weighed = saved(weighed.withColumn("row", F.monotonically_increasing_id()), "toxicity-hits")
+    hits = weighed.select("row", F.explode(F.arrays_zip("word", "stem", "times")).alias("hit")).select("row", "hit.*")
+    ratios = [f"llr_{'all' if v is None else v}" for v in VARIANTS]
+    named = lambda t, key, side: t.select(key, *[F.col(r).alias(f"{side}_{r}") for r in ratios])
+    joined = hits.join(named(by_word, "word", "w"), "word", "left").join(named(by_stem, "stem", "s"), "stem", "left")
+    sums = []
+    for r in ratios:
+        llr = F.coalesce(F.col(f"w_{r}"), F.col(f"s_{r}"), F.lit(0.0))
+        sums += [F.sum(llr * F.col("times")).alias(f"sum_{r}"), F.sum(F.when(llr > STRONG, F.col("times"))).alias(f"strong_{r}")]
+    evidence = saved(joined.groupBy("row").agg(*sums), "toxicity-evidence")
+    found = weighed.select("row", "doc_id", "text_mark", "n").join(evidence, "row", "left")
+
+    def features(r: str) -> list[Column]:
+        n = F.greatest(F.col("n"), F.lit(1))
+        return [
+            (F.coalesce(F.col(f"sum_{r}"), F.lit(0.0)) / n).alias("mean"),
+            (F.coalesce(F.col(f"strong_{r}"), F.lit(0)) / F.sqrt(n)).alias("strong"),
+        ]
+
+    # Some more ids than rows wanted, because not every label has its document.
+    chosen = rows_of(found.select(*found.columns), known)
+    own = [F.when(F.col("fold") == v, F.struct(*features(f"llr_{v}"))) for v in LEARNED]
     fit = (
-        in_slices(learn, weigh_crossed, "doc_id long, label int, mean double, peak double")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "mean")
+        chosen.select("doc_id", "text_mark", "label", F.coalesce(*own).alias("x"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label", "text_mark")
         .limit(fit_rows)
+        .select("label", "x.*")
         .toPandas()
     )
     held_out = fold(F.col("doc_id")) == 2
-    if not both or fit["label"].nunique() < 2:
+    if fit["label"].nunique() < 2:
         score = F.lit(0.0)
     else:
-        w = fit_weights(fit[["mean", "peak"]].to_numpy(), fit["label"].to_numpy(float))
-        z = F.lit(float(w[0])) + F.col("mean") * float(w[1]) + F.col("peak") * float(w[2])
+        w = fit_weights(fit[["mean", "strong"]].to_numpy(float), fit["label"].to_numpy(float))
+        mean, strong = features("llr_all")
+        z = F.lit(float(w[0])) + mean * float(w[1]) + strong * float(w[2])
         score = 1 / (1 + F.exp(-z))
-    scored = weighed.select("doc_id", "text_mark", held_out.alias("held_out"), score.alias("score"))
+    scored = found.select("doc_id", "text_mark", held_out.alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

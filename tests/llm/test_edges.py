@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import os
+import random
 import sys
 
 import pytest
@@ -420,15 +421,65 @@ def test_toxicity_learns_from_all_folds_but_the_held_out(spark):
         assert score[held[0]][1] == 1 and score[held[1]][1] == 0, (only, score)
 
 
-def test_toxicity_counts_cover_all_rows(spark):
-    from changeflow.llm.toxicity import class_counts, codes_of_all, gram_codes
+def test_toxicity_tables_against_plain_python(spark):
+    """Counts by class and variant, types by stem, and ratios of both kinds, worked out by hand."""
+    from collections import Counter
+    from math import log
 
-    rows = [("abab", 1, 0), ("abcd", 0, 1), ("wxyz", 1, 3)]
-    frame = spark.createDataFrame(rows, "text string, label int, fold int")
-    got = {(r["fold"], r["code"]): (r["toxic"], r["ordinary"]) for r in class_counts(frame).collect()}
-    assert got == {(k, int(c)): (y, 1 - y) for t, y, k in rows for c in gram_codes(t)}
-    codes = {r["code"] for r in codes_of_all(frame.select("text")).collect()}
-    assert codes == {int(c) for t, _, _ in rows for c in gram_codes(t)}
+    from changeflow.llm.toxicity import STEM, VARIANTS, expressions, stem_types, word_counts, words_of_text
+
+    rng = random.Random(2)
+    common = [f"{a}{b}" for a in ("thing", "water", "an", "réeux") for b in ("", "er", "ing", "é")]
+    rows = []
+    for i in range(60):
+        toxic = i % 3 == 0
+        words = rng.choices(common, k=40) + ["wretchlump", "wretched", "Scum!"] * (2 if toxic else 0) + ["scum"] * (i % 7 == 0)
+        rows.append((" ".join(words), int(toxic), (0, 1, 3)[i % 4 % 3]))
+    frame = spark.createDataFrame(rows, "text string, label int, fold int").repartition(3)
+    others = spark.createDataFrame([("wretches and unheard-of things",), (None,)], "text string").fillna("")
+    types = stem_types(frame.select("text").unionByName(others))
+    met = {w.decode() for t, _, _ in rows for w in words_of_text(t)} | {"wretches", "and", "unheard", "of", "things"}
+    want_types = Counter(w[:STEM] for w in met)
+    assert {r["stem"]: r["types"] for r in types.collect()} == want_types
+    words = word_counts(frame)
+    by_word, by_stem = expressions(words, types, discount=0.75, least=8.0)
+    got_words = {r["word"]: r for r in by_word.collect()}
+    got_stems = {r["stem"]: r for r in by_stem.collect()}
+    seen = 0
+    for v in VARIANTS:
+        n = [Counter(), Counter()]
+        for t, y, k in rows:
+            if k != v:
+                n[y].update(w.decode() for w in words_of_text(t))
+        of = [Counter(), Counter()]
+        kinds = [Counter(), Counter()]
+        for y in (0, 1):
+            for w, c in n[y].items():
+                of[y][w[:STEM]] += c
+                kinds[y][w[:STEM]] += 1
+        size = [sum(c.values()) for c in n]
+
+        def telling(a, b):
+            return 2 * sum(x * log(x * sum(size) / ((a + b) * s)) for x, s in ((a, size[0]), (b, size[1])) if x) >= 8.0
+
+        name = f"llr_{'all' if v is None else v}"
+        ratio = {}
+        for s in set(of[0]) | set(of[1]):
+            p = [(max(of[y][s] - 0.75, 0) + 0.75 * len(of[y]) * want_types[s] / len(met)) / size[y] for y in (0, 1)]
+            ratio[s] = log(p[1] / p[0]) if telling(of[0][s], of[1][s]) else 0.0
+            assert abs((got_stems[s][name] if s in got_stems else 0.0) - ratio[s]) < 1e-9
+        for w in {w for c in n for w in c if w != w[:STEM]}:
+            s, p = w[:STEM], []
+            for y in (0, 1):
+                freed = 0.75 * kinds[y][s] / of[y][s] if of[y][s] else 1.0
+                p.append((max(n[y][w] - 0.75, 0) / of[y][s] if of[y][s] else 0.0) + freed / want_types[s])
+            want = ratio[s] + (log(p[1] / p[0]) if telling(n[0][w], n[1][w]) else 0.0)
+            if w in got_words:
+                assert abs(got_words[w][name] - want) < 1e-9
+                seen += 1
+            else:
+                assert want == ratio[s]
+    assert seen >= 8 and got_words["wretchlump"]["llr_all"] > 2
 
 
 def test_quality(odd, labels, none):
