@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from contextlib import contextmanager
+from threading import local
 
 import numpy as np
 import xxhash
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.sources.workspace import workspace, written
+from changeflow.streaming.commits import Folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -44,10 +47,41 @@ def small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+_MADE = local()
+
+
+@contextmanager
+def noting(folders: list[str]):
+    """Add the folders that ``saved`` makes in this thread to ``folders``."""
+    before = getattr(_MADE, "folders", None)
+    _MADE.folders = folders
+    try:
+        yield
+    finally:
+        _MADE.folders = before
+
+
 def saved(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back, so that later jobs start from there."""
+    path = workspace(df.sparkSession, purpose)
+    if getattr(_MADE, "folders", None) is not None:
+        _MADE.folders.append(path)
     with small_batches(df.sparkSession):
-        return written(df, workspace(df.sparkSession, purpose))
+        return written(df, path)
+
+
+def release(docs: DataFrame, folders: list[str]) -> None:
+    """Remove ``folders`` that ``docs`` does not read, and shuffle files that nothing refers to.
+
+    Whatever else was derived from the folders cannot be read any more.
+    """
+    used = {part for f in docs.inputFiles() for part in f.split("/")}
+    for path in [f for f in folders if f.rsplit("/", 1)[-1] not in used]:
+        Folder(docs.sparkSession, path).remove()
+        folders.remove(path)
+    # Spark removes the files of a shuffle once the JVM has collected what refers to it.
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
 
 
 #: Rows that a Python function sees at a time.

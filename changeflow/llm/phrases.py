@@ -162,26 +162,33 @@ def _count_prints(sizes, bits):
 
 
 def _write_out(sizes):
-    """The words of the runs that a document was pointed to for."""
+    """The words of runs whose fingerprints are wanted of the documents.
+
+    Documents of a frame are looked at together; a run comes once for each second fingerprint.
+    """
 
     def write(batches):
         for b in batches:
-            for doc_id, lang, text, wanted in zip(b["doc_id"], b["lang"], b["text"], b["prints"], strict=True):
+            rows = []
+            for lang, part in b.groupby("lang"):
                 chunk = Chunk(lang)
-                chunk.add(doc_id, text)
+                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+                    chunk.add(doc_id, text)
                 chunk.close()
-                rows, wanted = [], np.asarray(wanted, np.int64).view(np.uint64)
+                wanted = np.unique(np.concatenate([np.asarray(w, np.int64) for w in part["prints"]])).view(np.uint64)
+                wanted = np.sort(wanted)
                 if 0 in sizes and np.isin(np.uint64(_salt(lang, 0)), wanted):
-                    rows.append((np.uint64(_salt(lang, 0)).astype(np.int64), 0, None))
+                    rows.append((np.uint64(_salt(lang, 0)).astype(np.int64), lang, 0, None))
                 for size in filter(None, sizes):
                     starts = chunk.within(size)
                     prints = chunk.prints(size)[starts]
-                    for at in np.flatnonzero(np.isin(prints, wanted)):
-                        rows.append((prints[at].astype(np.int64), size, chunk.text_of(starts[at], size)))
-                if rows:
-                    out = pd.DataFrame(list(dict.fromkeys(rows)), columns=["print", "size", "phrase"])
-                    out.insert(1, "lang", lang)
-                    yield out.astype({"size": "int32"})
+                    met = wanted[np.minimum(np.searchsorted(wanted, prints), len(wanted) - 1)] == prints
+                    starts, prints = starts[met], prints[met]
+                    both = prints ^ mixed(chunk.second_prints(size)[starts])
+                    for i in np.unique(both, return_index=True)[1]:
+                        rows.append((prints[i].astype(np.int64), lang, size, chunk.text_of(starts[i], size)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["print", "lang", "size", "phrase"]).astype({"size": "int32"})
 
     return write
 
@@ -230,7 +237,8 @@ def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, object]
     """Frequent phrases of some sizes with their counts, and the filter of their fingerprints."""
     spark = rows.sparkSession
     counted = in_slices(rows, _count_prints(sizes, bits), "print long, n long, doc long, second long")
-    totals = counted.groupBy("print").agg(
+    # Tasks have counted already; once more before the shuffle would only widen the rows.
+    totals = counted.repartition("print").groupBy("print").agg(
         F.sum("n").alias("n"),
         F.min("doc").alias("doc"),
         F.max("doc").alias("last_doc"),
