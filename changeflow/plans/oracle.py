@@ -401,4 +401,10 @@ UNION ALL SELECT *, 'after the repetition' FROM ({_APPLIED_LOWER})
 UNION ALL SELECT *, 'after folding' FROM ({_APPLIED_LOWER})""",
     "fold_parts": _APPLIED_LOWER,
     "sync_batches": _SYNCED,
+    "many_feeds": f"""WITH {STATES}
+SELECT '{UPPER_TOPIC}' AS topic, id AS key, coalesce(first_name, '-') AS value FROM lower_after
+UNION ALL SELECT '{LOWER_TOPIC}', id, coalesce(first_name, '-') FROM upper_after
+UNION ALL SELECT 'postgres.public.orders', o_orderkey, coalesce(o_custkey::VARCHAR, '-') FROM orders
+UNION ALL SELECT 'oracle.DBZUSER.NATION', n_nationkey, coalesce(n_name, '-') FROM nation
+UNION ALL SELECT 'oracle.DBZUSER.NATION', NULL, 'parked ' || count(*) FROM nation""",
 }

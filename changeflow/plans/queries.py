@@ -21,10 +21,11 @@ from changeflow.operators.decode import change_rows, decode, op_name
 from changeflow.operators.merge import OUTCOME, named
 from changeflow.plans.change_log import ID_STEP, PARTITIONS
 from changeflow.plans.change_log import change_log as derive_log
-from changeflow.sources.log import read_log, stream_log, write_log
+from changeflow.sources.log import read_log, stream_log, stream_topics, write_log
 from changeflow.sources.tables import in_range, key_ranges, lookup, scan_replica
 from changeflow.sources.workspace import workspace, written
 from changeflow.streaming.apply import apply_stream, latest_stream, read_latest
+from changeflow.streaming.feeds import apply_feeds, create_feeds, read_parked, registry, replay_parked, replica_path
 from changeflow.streaming.replica import (
     clean_replica,
     create_replica,
@@ -810,6 +811,42 @@ def sync_batches(spark: SparkSession, sf: str) -> DataFrame:
     return sides[0].union(sides[1])
 
 
+def many_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """Four tables from one stream, chosen by a pattern; one of them cannot be written at first."""
+    base = workspace(spark, "feeds")
+    feeds = registry([TO_LOWER, TO_UPPER, ORDERS_FEED, NATION_FEED])
+    tables = {
+        TO_LOWER.topic: _customers(spark, sf, TO_LOWER),
+        TO_UPPER.topic: _customers(spark, sf, TO_UPPER),
+        ORDERS_FEED.topic: spark.createDataFrame([], ORDERS_FEED.replica_schema),
+    }
+    healthy = {t: m for t, m in feeds.items() if t != NATION_FEED.topic}
+    create_feeds(tables, f"{base}/feeds", healthy)
+    orders = snapshot_events(_orders(spark, sf), ORDERS_FEED, CAPTURED_AT)
+    nation = snapshot_events(_table(spark, sf, "nation"), NATION_FEED, CAPTURED_AT)
+    region = snapshot_events(_table(spark, sf, "region"), REGION_FEED, CAPTURED_AT)
+    log = _log(spark, sf)
+    for events in (orders, nation, region):
+        log = log.unionByName(with_position(events, F.lit(0)))
+    write_log(log, f"{base}/log")
+    # The nations have no replica yet, so their records cannot be written.
+    blocked = replica_path(f"{base}/feeds", NATION_FEED.topic)
+    stream = stream_topics(spark, f"{base}/log", r"(oracle|postgres)\..*", max_bytes=BATCH_BYTES)
+    _run(apply_feeds(stream, feeds, f"{base}/feeds", f"{base}/checkpoint"))
+    waiting = read_parked(spark, f"{base}/feeds", feeds).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    waiting = written(waiting, f"{base}/waiting")
+    create_replica(spark.createDataFrame([], NATION_FEED.replica_schema), blocked, NATION_FEED)
+    replay_parked(spark, f"{base}/feeds", NATION_FEED)
+    out = waiting.select("topic", F.lit(None).cast("bigint").alias("key"), F.concat(F.lit("parked "), "n").alias("value"))
+    for topic, mapping in feeds.items():
+        rows = read_replica(spark, replica_path(f"{base}/feeds", topic), mapping)
+        key, *payload = named(mapping.targets)
+        # The second column stands for the row; it is text or a whole number in all four tables.
+        value = F.coalesce(payload[0].cast("string"), F.lit("-"))
+        out = out.unionByName(rows.select(F.lit(topic).alias("topic"), key.alias("key"), value.alias("value")))
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_log": change_log,
     "include_list": include_list,
@@ -862,4 +899,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repeated_batch": repeated_batch,
     "fold_parts": fold_parts,
     "sync_batches": sync_batches,
+    "many_feeds": many_feeds,
 }

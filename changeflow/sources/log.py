@@ -83,6 +83,33 @@ def stream_log(
     return _whole_or_torn(records.select(F.lit(topic).alias("topic"), "*"))
 
 
+def stream_topics(
+    spark: SparkSession,
+    path: str,
+    pattern: str,
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    file_format: str = "json",
+    max_file_age: str = FOR_EVER,
+    **options: str,
+) -> DataFrame:
+    """Subscribe to all topics of a file log whose whole name matches a regular expression.
+
+    One source reads them all, and topics that appear later are among them. The topic is the
+    folder of a file, so files of other topics are not read. Options as in ``stream_log``.
+    """
+    reader = spark.readStream.option("maxFileAge", max_file_age).options(**options)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    wanted = F.col("topic").rlike(f"^(?:{pattern})$")
+    if file_format != "json":
+        return reader.schema(LOG_SCHEMA).format(file_format).load(path).where(wanted)
+    records = _json(reader).schema(f"{LOG_SCHEMA}, {_TORN} string").json(path)
+    return _whole_or_torn(records.where(wanted))
+
+
 def kafka_options(
     servers: str,
     topics: list[str] | None = None,
