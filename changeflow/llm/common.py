@@ -75,7 +75,7 @@ def release(docs: DataFrame, folders: list[str]) -> None:
 
     Whatever else was derived from the folders cannot be read any more.
     """
-    used = {part for f in docs.inputFiles() for part in f.split("/")}
+    used = {part for f in docs.inputFiles() for part in f.split("/")} if folders else set()
     for path in [f for f in folders if f.rsplit("/", 1)[-1] not in used]:
         Folder(docs.sparkSession, path).remove()
         folders.remove(path)

@@ -592,3 +592,20 @@ def test_pipeline_stages_keep_columns(spark, odd, sf_dir):
         kept = stage(spark, odd, sf_dir)
         assert kept.columns == odd.columns
         assert kept.filter("doc_id in (5, 7, 10)").count() == 3
+
+
+def test_a_stage_removes_what_the_stage_before_has_left(spark, odd, tmp_path):
+    from changeflow.sources.workspace import written
+
+    left = corpus_pipeline._LEFT.__dict__.setdefault("folders", [])
+    kept = corpus_pipeline.drop_copies(spark, odd, "")
+    made = list(left)
+    assert made and all(os.path.isdir(f) for f in made)
+    # An input that reads the folders keeps them.
+    corpus_pipeline.release(kept, left)
+    assert all(os.path.isdir(f) for f in made)
+    count = kept.count()
+    stored = written(kept, str(tmp_path / "stage"))
+    corpus_pipeline.release(stored, left)
+    assert not left and not any(os.path.isdir(f) for f in made)
+    assert stored.count() == count
