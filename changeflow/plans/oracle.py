@@ -401,6 +401,13 @@ UNION ALL SELECT *, 'after the repetition' FROM ({_APPLIED_LOWER})
 UNION ALL SELECT *, 'after folding' FROM ({_APPLIED_LOWER})""",
     "fold_parts": _APPLIED_LOWER,
     "sync_batches": _SYNCED,
+    "log_range": f"""WITH {FEED},
+placed AS (
+  SELECT topic, part, "offset",
+    min(CASE WHEN ts >= TIMESTAMP '2024-01-05' THEN "offset" END) OVER (PARTITION BY topic, part) AS first
+  FROM feed)
+SELECT topic, part AS "partition", "offset" FROM placed
+WHERE "offset" >= first AND "offset" < (SELECT floor(avg(event_id)) FROM events)""",
     "many_feeds": f"""WITH {STATES}
 SELECT '{UPPER_TOPIC}' AS topic, id AS key, coalesce(first_name, '-') AS value FROM lower_after
 UNION ALL SELECT '{LOWER_TOPIC}', id, coalesce(first_name, '-') FROM upper_after

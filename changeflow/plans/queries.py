@@ -22,6 +22,7 @@ from changeflow.operators.merge import OUTCOME, named
 from changeflow.plans.change_log import ID_STEP, PARTITIONS
 from changeflow.plans.change_log import change_log as derive_log
 from changeflow.sources.log import read_log, stream_log, stream_topics, write_log
+from changeflow.sources.positions import at_time, index_log, latest, read_between
 from changeflow.sources.tables import in_range, key_ranges, lookup, scan_replica
 from changeflow.sources.workspace import workspace, written
 from changeflow.streaming.apply import apply_stream, latest_stream, read_latest
@@ -847,6 +848,20 @@ def many_feeds(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def log_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A log in several files, read from a time to an offset; the index grows between two writes."""
+    base = workspace(spark, "range")
+    log = _log(spark, sf)
+    for part in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
+        write_log(log.where(part).repartitionByRange(PARTS, "offset"), f"{base}/log", mode="append")
+        index_log(spark, f"{base}/log", f"{base}/index")
+    middle = _table(spark, sf, "events").agg(F.floor(F.avg("event_id"))).first()[0] or 0
+    start = at_time(spark, f"{base}/log", f"{base}/index", F.to_timestamp(F.lit("2024-01-05 00:00:00")))
+    end = {partition: middle for partition in latest(spark, f"{base}/index")}
+    records = read_between(spark, f"{base}/log", f"{base}/index", start, end)
+    return records.select("topic", "partition", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_log": change_log,
     "include_list": include_list,
@@ -900,4 +915,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_parts": fold_parts,
     "sync_batches": sync_batches,
     "many_feeds": many_feeds,
+    "log_range": log_range,
 }
