@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from changeflow.llm.common import (
     filter_of,
     in_slices,
-    passes,
     quoted,
     rows_of,
     saved,
@@ -27,6 +26,9 @@ DISCOUNT = 0.75
 #: An expression counts as telling if the likelihood ratio test of its class counts reaches this,
 #: which one in ten thousand does by chance.
 TELLING = 15.0
+#: And only if it is so much likelier in one of the classes, as a logarithm: in large corpora small
+#: differences are beyond chance too, and say little.
+EFFECT = 0.7
 #: A word is strong evidence if it is so much likelier in toxic text, as a logarithm.
 STRONG = 1.0
 #: Labelled rows that the weights are fitted on, at most.
@@ -116,7 +118,9 @@ def _telling(n: list[Column], total: list[float], least: float) -> Column:
     return 2 * (parts[0] + parts[1]) >= least
 
 
-def expressions(words: DataFrame, stems: DataFrame, discount: float = DISCOUNT, least: float = TELLING):
+def expressions(
+    words: DataFrame, stems: DataFrame, discount: float = DISCOUNT, least: float = TELLING, effect: float = EFFECT
+):
     """Log-likelihood ratios of telling expressions: by ``word``, and by ``stem``.
 
     Columns ``llr_all``, ``llr_0`` ... are those of the variants. A stem has the discounted share of
@@ -147,7 +151,8 @@ def expressions(words: DataFrame, stems: DataFrame, discount: float = DISCOUNT,
             shared = F.col("types") / all_types
             ends.append((F.greatest(n - discount, F.lit(0.0)) + freed * shared) / size[label])
         n = [F.col(_name("n", label, v)) for label in (0, 1)]
-        stem_llr[llr] = F.when(_telling(n, size, least), F.log(ends[1] / ends[0])).otherwise(0.0)
+        ratio = F.log(ends[1] / ends[0])
+        stem_llr[llr] = F.when(_telling(n, size, least) & (F.abs(ratio) >= effect), ratio).otherwise(0.0)
         inner = []
         for label in (0, 1):
             name = _name("n", label, v)
@@ -155,9 +160,10 @@ def expressions(words: DataFrame, stems: DataFrame, discount: float = DISCOUNT,
             seen = F.when(of > 0, F.greatest(n - discount, F.lit(0.0)) / of).otherwise(0.0)
             inner.append(seen + F.when(of > 0, discount * k / of).otherwise(1.0) / F.col("s_types"))
         n = [F.col(_name("n", label, v)) for label in (0, 1)]
-        telling = _telling(n, size, least)
+        ratio = F.log(inner[1] / inner[0])
+        telling = _telling(n, size, least) & (F.abs(ratio) >= effect)
         telling_words.append(telling)
-        word_llr[llr] = F.col(f"s_{llr}") + F.when(telling, F.log(inner[1] / inner[0])).otherwise(0.0)
+        word_llr[llr] = F.col(f"s_{llr}") + F.when(telling, ratio).otherwise(0.0)
     judged = saved(of_stem.withColumns(stem_llr), "toxicity-judged")
     prefixed = judged.select("stem", *[F.col(c).alias(f"s_{c}") for c in judged.columns if c != "stem"])
     any_telling = telling_words[0] if telling_words else F.lit(False)
@@ -185,11 +191,12 @@ class _Hits(dict):
         if len(self) >= GATHERED:
             self.clear()
         text = _text(word)
-        found = [
-            passes(bits, np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))], np.uint64))[0]
-            for bits, x in zip(self.filters, (text, text[:STEM]), strict=True)
-        ]
-        self[word] = hit = (text, text[:STEM]) if any(found) else None
+        hit = None
+        for bits, x in zip(self.filters, (text, text[:STEM]), strict=True):
+            at = xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) & (64 * len(bits) - 1)
+            if int(bits[at >> 6]) >> (at & 63) & 1:
+                hit = (text, text[:STEM])
+        self[word] = hit
         return hit
 
 

@@ -442,7 +442,7 @@ def test_toxicity_tables_against_plain_python(spark):
     want_types = Counter(w[:STEM] for w in met)
     assert {r["stem"]: r["types"] for r in types.collect()} == want_types
     words = word_counts(frame)
-    by_word, by_stem = expressions(words, types, discount=0.75, least=8.0)
+    by_word, by_stem = expressions(words, types, discount=0.75, least=8.0, effect=0.0)
     got_words = {r["word"]: r for r in by_word.collect()}
     got_stems = {r["stem"]: r for r in by_stem.collect()}
     seen = 0
