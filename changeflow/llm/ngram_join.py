@@ -25,11 +25,14 @@ from changeflow.llm.common import (
 
 #: Overlap that a pair must have in the first block, in percent of a document's n-grams, minus 1.
 EVIDENCE = 5
-#: Columns with more documents than this are used only for documents that have little else.
-COMMON = 1000
-#: Neighbours in a column that are tried first, to join large groups before their pairs are formed.
-TRIED = 2
-SKETCH = 4
+#: Columns with more documents than this may be left out of a block, the longest ones first.
+COMMON = 1
+#: Rows of a column that all its others try first, to join large groups before their pairs are formed.
+TRIED = 4
+#: A product is passed over if the pair meets in one of so many columns before it as well.
+BEFORE = 3
+#: Words of the sketch that stands in every column, and the most words of a document's own sketch.
+SKETCH, WIDEST = 4, 4096
 
 
 def ngrams(words: list[bytes], size: int) -> np.ndarray:
@@ -70,17 +73,52 @@ def evidence(n):
     return 1 + n * EVIDENCE // 100
 
 
-def _evidence(n: Column) -> Column:
-    return 1 + F.floor(n * EVIDENCE / 100)
+def _spare(n: Column, percent: int) -> Column:
+    """How many columns of a block may be left out, if they are its last in an order that all share.
+
+    A pair then misses the larger of two such numbers at most; ``_least_shared`` stays above 0.
+    """
+    return F.greatest(F.lit(0), F.floor(n * min(EVIDENCE, percent // 2) / 100) - 1)
+
+
+def _least_shared(percent: int) -> Column:
+    """How many columns sets of ``a_n`` and ``b_n`` share at least, of those not left out.
+
+    The overlap is ``percent`` percent of the union or more. What is missing from one of the blocks
+    stands in the tail of one set, as both are the first part in the same order.
+    """
+
+    def tail(n: Column) -> Column:
+        return F.greatest(F.lit(0), F.ceil(n * percent / 100) - 1 - F.floor(n * EVIDENCE / 100))
+
+    a, b = F.col("a_n"), F.col("b_n")
+    left_out = F.greatest(_spare(a, percent), _spare(b, percent))
+    return F.ceil((a + b) * percent / (100 + percent)) - F.greatest(tail(a), tail(b)) - left_out
 
 
-def parity(grams: np.ndarray) -> list[int]:
-    """For each of 256 cells, whether it has an odd number of n-grams, in four words.
+def parity(grams: np.ndarray, words: int = SKETCH) -> np.ndarray:
+    """For each of 64 cells a word, whether it has an odd number of n-grams.
 
-    Two sets differ by at least as many n-grams as their words have different bits.
+    Two sets differ by at least as many n-grams as their words have different bits. ``words``
+    is a power of two; the exclusive or of both halves is the sketch of half as many words.
     """
-    odd = np.bincount((grams & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    odd = np.bincount((grams & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def own_parity(grams: np.ndarray) -> np.ndarray:
+    """``parity`` with two cells or more for each n-gram, up to ``WIDEST`` words."""
+    words = SKETCH
+    while words < WIDEST and 64 * words < 2 * len(grams):
+        words *= 2
+    return parity(grams, words)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many n-grams at least two sets differ, by their own sketches."""
+    words = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) for x in (a, b))
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
 
 
 def _profile(size: int, percent: int):
@@ -90,8 +128,9 @@ def _profile(size: int, percent: int):
             for t in b["text"]:
                 grams = ngrams(words_of(t, fold=True), size)
                 block = grams[: first_block(len(grams), percent)].astype(np.int64)
-                rows.append((len(grams), xxhash.xxh3_128_hexdigest(grams.tobytes()), block, parity(grams)))
-            n, key, block, sketch = zip(*rows, strict=True) if rows else ((), (), (), ())
+                key = xxhash.xxh3_128_hexdigest(grams.tobytes())
+                rows.append((len(grams), key, block, parity(grams), own_parity(grams).tobytes()))
+            n, key, block, sketch, own = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             yield pd.DataFrame(
                 {
                     "doc_id": b["doc_id"].astype("Int64"),
@@ -100,8 +139,9 @@ def _profile(size: int, percent: int):
                     "set_key": key,
                     "block": block,
                     "sketch": sketch,
+                    "own": own,
                 }
-            ).astype({"n": "int64", "set_key": object, "block": object, "sketch": object})
+            ).astype({"n": "int64", "set_key": object, "block": object, "sketch": object, "own": object})
 
     return profile
 
@@ -119,25 +159,60 @@ def _sets(size: int):
     return sets
 
 
-def _linked(overlap: Column, percent: int) -> Column:
-    return overlap * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+def _sizes_fit(percent: int) -> Column:
+    return F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
 
 
 def _possible(percent: int) -> Column:
     """What sizes and sketches allow: neither the smaller set nor the differing bits rule it out."""
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
     bits = sum(F.bit_count(F.col(f"a_s{i}").bitwiseXOR(F.col(f"b_s{i}"))) for i in range(SKETCH))
-    return (small * 100 >= large * percent) & (
+    return _sizes_fit(percent) & (
         bits * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
     )
 
 
+def _met_before() -> Column:
+    """Whether a pair also shares one of the columns before, where it came up or was passed over.
+
+    The first column that a pair shares has none before it, so the pair comes up there.
+    """
+    places = range(1, BEFORE + 1)
+    met = F.lit(False)
+    for i in places:
+        for k in places:
+            met = met | F.coalesce(F.col(f"a_before{i}") == F.col(f"b_before{k}"), F.lit(False))
+    return met
+
+
 def _side(columns: DataFrame, side: str) -> DataFrame:
     return columns.select("gram", *[F.col(c).alias(f"{side}_{c}") for c in columns.columns if c != "gram"])
 
 
+def _near(percent: int):
+    def near(batches):
+        for b in batches:
+            kept = []
+            for a_n, b_n, a_own, b_own in zip(b["a_n"], b["b_n"], b["a_own"], b["b_own"], strict=True):
+                bits = differing(np.frombuffer(a_own, np.int64), np.frombuffer(b_own, np.int64))
+                kept.append(bits * (100 + percent) <= (int(a_n) + int(b_n)) * (100 - percent))
+            yield b.loc[np.array(kept, bool), ["a", "b"]].astype("int64")
+
+    return near
+
+
+def _not_ruled_out(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of ``pairs`` (a, b) those with ``a_n`` and ``b_n`` that the documents' own sketches allow."""
+    for side in "ab":
+        pairs = pairs.join(
+            classes.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"), F.col("own").alias(f"{side}_own")),
+            side,
+        )
+    found = in_slices(pairs.select("a", "b", "a_n", "b_n", "a_own", "b_own"), _near(percent), "a long, b long")
+    return saved(found, "ngram-likely")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (a, b, a_n, b_n), by the overlap of the whole sets.
+    """Links among ``pairs`` (a, b), by the overlap of the whole sets.
 
     Only the texts of documents in a pair are read again and their sets formed.
     """
@@ -151,9 +226,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, size: int,
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
     both = pairs.join(left, "a").join(right, "b")
-    return saved(
-        both.filter(_linked(F.size(F.array_intersect("a_grams", "b_grams")), percent)).select("a", "b"), "links"
-    )
+    overlap = F.size(F.array_intersect("a_grams", "b_grams"))
+    linked = overlap * (100 + percent) >= (F.size("a_grams") + F.size("b_grams")) * percent
+    return saved(both.filter(linked).select("a", "b"), "links")
 
 
 def ngram_components(
@@ -178,15 +253,18 @@ def ngram_components(
     1. Equal sets become one row (a class), so copies are not multiplied with each other.
     2. The first block of columns of a row are its first n-grams in a fixed order, as many as a
        pair above the threshold must share ``evidence`` of. Columns with one row are left out.
-    3. The block is multiplied by a join on the n-gram; products are counted by pair. Sizes
-       and the parity sketch discard pairs in the join, and counts below the evidence that both
-       sizes demand discard pairs after it. Columns with over ``COMMON`` rows are left out for
-       rows whose other columns must still show the pair, and the demanded count is lowered by
-       as many; rows that are made of such columns mostly keep them among each other.
-    4. For what is left the whole sets are intersected.
-
-    Before step 3 each row of a column tries two others that a hash puts next to it. Those
-    links join large groups of near copies, and step 3 then forms pairs between groups only.
+       The last of a block in the order of the columns' lengths are left out too: as many
+       as ``_spare`` says, which leaves every pair above the threshold a column. Most long columns go that way.
+    3. The block is multiplied by a join on the n-gram. Sizes and a short parity sketch discard
+       pairs in the join. A product is also passed over if the pair meets in one of the ``BEFORE``
+       columns that stand before it in both blocks; its first column always counts, so a pair comes
+       up a few times however much it shares.
+    4. Sketches of the documents' own size discard pairs that are told to be below the threshold.
+    5. For what is left the whole sets are intersected.
+
+    Before step 3 each row of a column tries ``TRIED`` that hashes put first there. In a group of
+    near copies those are the same ones in most columns, so those links join large groups, columns
+    of one group alone are done with, and step 3 forms pairs between groups only.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent is above 0 and at most 100")
@@ -195,7 +273,7 @@ def ngram_components(
         in_slices(
             rows.withColumn("mark", text_mark(F.col("text"))),
             _profile(size, percent),
-            "doc_id long, mark long, n long, set_key string, block array<bigint>, sketch array<bigint>",
+            "doc_id long, mark long, n long, set_key string, block array<bigint>, sketch array<bigint>, own binary",
         ),
         "ngram-profiles",
     )
@@ -206,6 +284,7 @@ def ngram_components(
             F.first("n").alias("n"),
             F.first("block").alias("block"),
             F.first("sketch").alias("sketch"),
+            F.first("own").alias("own"),
             F.min("doc_id").alias("smallest"),
         )
         .select(
@@ -215,69 +294,64 @@ def ngram_components(
             F.coalesce("smallest", F.lit(0)).alias("doc_id"),
             F.col("smallest").isNull().alias("no_id"),
             "block",
+            "own",
             *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)],
         ),
         "ngram-classes",
     )
     incidence = classes.select("node", F.explode("block").alias("gram"))
-    in_column = F.count(F.lit(1)).over(Window.partitionBy("gram"))
+    column = Window.partitionBy("gram")
     shared = saved(
-        incidence.withColumn("rows", in_column)
-        .filter("rows > 1")
-        .select("gram", "node", (F.col("rows") > COMMON).alias("common")),
-        "ngram-columns",
+        incidence.withColumn("rows", F.count(F.lit(1)).over(column)).filter("rows > 1"), "ngram-columns"
     )
-    many = shared.filter("common").groupBy("node").agg(F.count(F.lit(1)).alias("n_common"))
-    facts = classes.join(many, "node", "left").select(
-        "node", "n", F.coalesce("n_common", F.lit(0)).alias("n_common"), *[f"s{i}" for i in range(SKETCH)]
+    longest = Window.partitionBy("node").orderBy(F.desc("rows"), "gram")
+    placed = shared.join(classes.select("node", "n"), "node").withColumn("place", F.row_number().over(longest))
+    block = saved(
+        placed.filter((F.col("place") > _spare(F.col("n"), percent)) | (F.col("rows") <= COMMON)).select("gram", "node", "n"),
+        "ngram-block",
     )
-    facts = facts.withColumn("made_of_common", F.col("n_common") >= _evidence(F.col("n")) * percent / 100 - 1)
-    columns = saved(
-        shared.join(facts, "node").filter("not common or made_of_common").drop("common"), "ngram-block"
-    )
-    # First links: neighbours in a column, in an order that differs from column to column.
-    order = Window.partitionBy("gram").orderBy(F.xxhash64("node", "gram"), "node")
-    fields = ("node", "n", *[f"s{i}" for i in range(SKETCH)])
-    tried = None
-    for step in range(1, TRIED + 1):
-        ahead = columns.select(
-            *[F.col(c).alias(f"a_{c}") for c in fields],
-            F.lead(F.struct(*fields)).over(order).alias("next")
-            if step == 1
-            else F.lead(F.struct(*fields), step).over(order).alias("next"),
-        )
-        ahead = ahead.filter("next is not null").select("*", *[F.col(f"next.{c}").alias(f"b_{c}") for c in fields])
-        tried = ahead if tried is None else tried.unionByName(ahead)
-    telling = (F.col("a_n") + F.col("b_n")) * (100 - percent) < (100 + percent) * 64 * SKETCH * 3 // 8
-    pair = lambda df: df.select(
-        F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"), "a_n", "b_n"
-    )
-    likely = saved(
-        pair(tried.filter(_possible(percent) & telling)).dropDuplicates(["a", "b"]), "ngram-likely"
+    # First links: with some rows of each column, mostly the same ones throughout a group.
+    drawn = [
+        F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("draw"), F.col("node").alias("other"), F.col("n").alias("b_n")))
+        .over(column)
+        .dropFields("draw")
+        for k in range(TRIED)
+    ]
+    tried = block.select("node", F.col("n").alias("a_n"), F.array(*drawn).alias("drawn"))
+    tried = tried.select("node", "a_n", F.inline(F.array_distinct("drawn")))
+    tried = tried.filter((F.col("node") != F.col("other")) & _sizes_fit(percent)).groupBy(
+        "node", "other", "a_n", "b_n"
     )
+    tried = tried.agg(F.count(F.lit(1)).alias("overlap")).filter(F.col("overlap") * 2 >= _least_shared(percent))
+    tried = tried.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    likely = _not_ruled_out(tried, classes, percent)
     first_links = _verified(likely, classes, rows, size, percent)
     first_labels = saved(components(first_links), "ngram-labels")
-    labelled = saved(
-        columns.join(first_labels.withColumnRenamed("id", "node"), "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        ),
+    labelled = block.join(first_labels.withColumnRenamed("id", "node"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    ends = (F.min("component").over(column).alias("low"), F.max("component").over(column).alias("high"))
+    several = saved(
+        labelled.select("gram", "node", "component", *ends).filter("low < high").drop("low", "high"),
         "ngram-labelled",
     )
-    # A common column is left to rows that are made of such columns, so it meets among them only.
-    a, b = _side(labelled, "a"), _side(labelled, "b")
+    in_order = Window.partitionBy("node").orderBy("gram")
+    facts = classes.select("node", "n", *[f"s{i}" for i in range(SKETCH)])
+    several = saved(
+        several.join(facts, "node").select(
+            "*", *[F.lag("gram", k).over(in_order).alias(f"before{k}") for k in range(1, BEFORE + 1)]
+        ),
+        "ngram-met",
+    )
+    a, b = _side(several, "a"), _side(several, "b")
     products = a.join(b, "gram").filter(
         (F.col("a_node") < F.col("b_node"))
         & (F.col("a_component") != F.col("b_component"))
         & _possible(percent)
+        & ~_met_before()
     )
-    counted = products.groupBy(
-        F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_n", "b_n", "a_n_common", "b_n_common"
-    ).agg(F.count(F.lit(1)).alias("overlap"))
-    demanded = F.least(_evidence(F.col("a_n")), _evidence(F.col("b_n"))) - F.least("a_n_common", "b_n_common")
-    candidates = saved(
-        counted.filter(F.col("overlap") >= F.greatest(F.lit(1), demanded)).select("a", "b", "a_n", "b_n"),
-        "ngram-candidates",
-    )
+    met = saved(products.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), "ngram-candidates")
+    candidates = _not_ruled_out(met.distinct(), classes, percent)
     links = first_links.unionByName(_verified(candidates, classes, rows, size, percent))
     labels = saved(components(links), "ngram-labels")
     members = classes.select("node", "set_key", "doc_id", "no_id").join(

@@ -4,6 +4,7 @@ import os
 import random
 import sys
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +17,7 @@ import plain  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from changeflow.llm import ngram_join  # noqa: E402
 from changeflow.llm.chat import preference_turns, tokenized  # noqa: E402
-from changeflow.llm.common import components  # noqa: E402
+from changeflow.llm.common import components, saved  # noqa: E402
 from changeflow.llm.decontaminate import find_contaminated, tiles, tokens  # noqa: E402
 from changeflow.llm.exact_dedup import deduplicated, exact_dedup  # noqa: E402
 from changeflow.llm.ngram_join import ngram_components, one_of_each  # noqa: E402
@@ -151,6 +152,50 @@ def test_near_copies_in_a_family(spark, monkeypatch, common, size, percent):
     assert got == plain.jaccard(rows, size, percent)
 
 
+@pytest.mark.parametrize("percent", [1, 4, 5, 33, 80, 90, 97, 100])
+def test_left_out_columns_leave_every_linked_pair_one(spark, percent):
+    sizes = spark.range(1, 500)
+    pairs = sizes.select(F.col("id").alias("a_n")).crossJoin(sizes.select(F.col("id").alias("b_n")))
+    linkable = pairs.filter(ngram_join._sizes_fit(percent))
+    assert linkable.agg(F.min(ngram_join._least_shared(percent))).first()[0] >= 1
+
+
+def test_sketches_of_different_sizes_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for n, m, common in [(50, 50, 40), (700, 500, 450), (900, 1500, 800), (9000, 9000, 8000)]:
+        grams = rng.integers(0, 1 << 63, n + m, np.uint64)
+        a, b = grams[:n], grams[n - common : n - common + m]
+        got = ngram_join.differing(ngram_join.own_parity(a), ngram_join.own_parity(b))
+        assert (n + m - 2 * common) * 0.6 < got <= n + m - 2 * common
+    short, long = (ngram_join.own_parity(grams[:k]) for k in (40, 9000))
+    assert ngram_join.differing(short, long) <= 8960
+
+
+def test_pairs_of_long_near_copies_come_up_a_few_times(spark, monkeypatch):
+    """Two families of long texts: each joins by first links; across them, texts share too little."""
+    rng = random.Random(8)
+    half = [f"s{rng.randrange(10**6)}" for _ in range(1300)]
+    families = [[f"f{k}x{rng.randrange(10**6)}" for _ in range(1100)] + half for k in range(2)]
+    rows = []
+    for i in range(60):
+        words = list(families[i % 2])
+        for _ in range(12):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    written = {}
+
+    def noted(df, purpose):
+        written[purpose] = saved(df, purpose)
+        return written[purpose]
+
+    monkeypatch.setattr(ngram_join, "saved", noted)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_components(frame, 5, 80).collect()}
+    assert got == plain.jaccard(rows, 5, 80)
+    assert {c for _, c in got.values()} == {0, 1}
+    assert written["ngram-candidates"].count() <= 4 * 30 * 30
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = components(links.unionByName(spark.createDataFrame([(1000, 999), (7, 7)], "a long, b long"))).collect()
