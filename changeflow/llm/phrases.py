@@ -233,8 +233,8 @@ def _by_text(rows: DataFrame, frequent: DataFrame, sizes) -> DataFrame:
     return in_slices(found.select("doc_id", "lang", "text", "prints"), _write_out(sizes), schema)
 
 
-def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, object]:
-    """Frequent phrases of some sizes with their counts, and the filter of their fingerprints."""
+def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, DataFrame]:
+    """Frequent phrases of some sizes with their counts, and their fingerprints."""
     spark = rows.sparkSession
     counted = in_slices(rows, _count_prints(sizes, bits), "print long, n long, doc long, second long")
     # Tasks have counted already; once more before the shuffle would only widen the rows.
@@ -263,7 +263,7 @@ def _exact(rows: DataFrame, least: int, sizes, bits) -> tuple[DataFrame, object]
         again = again.join(apart, "print", "left_semi").groupBy("lang", "size", "phrase")
         again = again.agg(F.sum("n").alias("n"), F.min("doc").alias("doc")).filter(F.col("n") >= least)
         found = found.unionByName(saved(again, "phrase-apart"))
-    return found, filter_of(spark, frequent)
+    return found, frequent
 
 
 def count_phrases(
@@ -285,10 +285,12 @@ def count_phrases(
         F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    found, bits = None, None
+    found, frequent = None, None
     steps = [(0, 1, 2), *[(size,) for size in range(3, longest + 1)]] if longest > 1 else [(0, 1)]
     for step in steps:
-        exact, bits = _exact(rows, least, step, bits)
+        # What the last step finds needs no filter.
+        bits = None if frequent is None else filter_of(rows.sparkSession, frequent)
+        exact, frequent = _exact(rows, least, step, bits)
         found = exact if found is None else found.unionByName(exact)
     return found
 
